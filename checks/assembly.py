@@ -187,7 +187,8 @@ def store_roundtrip(spark, sf_dir):
     features = assemble(spark, sf_dir, [SPEND])
     customers = sl.entity_spine(table(spark, sf_dir, "orders"), "o_custkey").withColumnRenamed("o_custkey", "user_id")
     sl.write_features(customers, root, "customer", ORDERS_RUN_DATE)
-    sl.write_features(features.limit(0).unionByName(features), root, "user", EVENTS_RUN_DATE)
+    stale = features.withColumn("spend_7d", F.lit(-1.0))
+    sl.write_features(stale, root, "user", EVENTS_RUN_DATE)
     sl.write_features(features, root, "user", EVENTS_RUN_DATE)
     stored = spark.read.schema(
         features.withColumns({"entity_type": F.lit(""), "date": F.lit(dt.date(2024, 1, 31))}).schema
