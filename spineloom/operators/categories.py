@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 64
 
+# A map up to this size is small enough to be written into the plan as array literals.
+LITERAL_LABELS = 256
+LITERAL_BYTES = 16 * 1024
+
 
 @dataclass(frozen=True)
 class Source:
@@ -26,13 +31,34 @@ class Source:
     keep: Column | None = None
 
 
+class Known(NamedTuple):
+    """A small map in full, in alphabetical order of the categories."""
+
+    categories: list[str]
+    share: list[float]
+    label: list[float]
+
+    def position(self, category: Column) -> Column:
+        """1-based place of the category; NULL for a missing one."""
+        return F.array_position(F.lit(self.categories), category)
+
+    def value(self, output: str, position: Column) -> Column:
+        """``share`` or ``label`` of the category at a place; NULL without a place."""
+        return F.get(F.lit(getattr(self, output)), (position - 1).cast("int"))
+
+
 @dataclass(frozen=True)
 class Attribute:
-    """Measured facts about one fitted attribute."""
+    """Measured facts about one fitted attribute; ``known`` is set if its map is small."""
 
     labels: int
     rows: int
     longest: int
+    known: Known | None = None
+
+    @property
+    def small(self) -> bool:
+        return 0 < self.labels <= LITERAL_LABELS and self.labels * self.longest <= LITERAL_BYTES
 
     def broadcastable(self, max_rows: int, max_bytes: int) -> int:
         """How many of the most frequent categories are certain to fit the broadcast limits."""
@@ -90,7 +116,7 @@ def fit_categories(
         )
         .collect()
     }
-    attributes = tuple(measured.get(i, Attribute(0, 0, 0)) for i in range(len(sources)))
+    attributes = [measured.get(i, Attribute(0, 0, 0)) for i in range(len(sources))]
     rows_of = F.create_map(*[F.lit(x) for i, a in enumerate(attributes) for x in (i, a.rows)])
 
     # Sorting by (is null, count descending, name) puts a missing category last, right after the final label.
@@ -110,7 +136,15 @@ def fit_categories(
         (F.col("n") / rows_of[F.col("attribute")]).alias("share"),
         F.col("position").cast("double").alias("label"),
     )
-    return CategoryMaps(frame, attributes)
+    small = [i for i, attribute in enumerate(attributes) if attribute.small]
+    if small:
+        rows = frame.where(F.col("attribute").isin(small) & F.col("category").isNotNull()).collect()
+        for i in small:
+            # Sorted like Spark sorts strings: by their UTF-8 bytes.
+            mine = sorted((r for r in rows if r["attribute"] == i), key=lambda r: r["category"].encode())
+            known = Known(*([r[column] for r in mine] for column in ("category", "share", "label")))
+            attributes[i] = replace(attributes[i], known=known)
+    return CategoryMaps(frame, tuple(attributes))
 
 
 def look_up(
@@ -124,11 +158,15 @@ def look_up(
 ) -> DataFrame:
     """Left-join map columns (``outputs``: map column -> new name) by the category held in column ``category``.
 
-    The most frequent categories, as many as the limits allow, are broadcast. If there are more, only the rows that are
-    still unresolved go through a shuffle join; their categories are rarer than every broadcast one, so none of them
-    can dominate a task, and rows without a category never meet on NULL.
+    A small map is a pair of array literals. Otherwise the most frequent categories, as many as the limits allow, are
+    broadcast. If there are more, only the rows that are still unresolved go through a shuffle join; their categories
+    are rarer than every broadcast one, so none of them can dominate a task, and rows without a category never meet on
+    NULL.
     """
     attribute = maps.attributes[index]
+    if attribute.known:
+        position = attribute.known.position(F.col(category))
+        return df.withColumns({name: attribute.known.value(c, position) for c, name in outputs.items()})
     top = attribute.broadcastable(max_rows or BROADCAST_ROWS, max_bytes or BROADCAST_BYTES)
     table = maps.map_of(index).where(F.col("category").isNotNull())
 

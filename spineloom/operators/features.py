@@ -3,6 +3,10 @@
 All aggregations, time features and latest categories of all definitions are compiled into conditional aggregates of a
 single ``groupBy(entity)``: one scan and one shuffle of partially aggregated rows, whatever the number of features. A
 hot entity is reduced on the map side like any other.
+
+Spark aggregates by hashing only while every aggregation buffer has a fixed width; a string in one of them turns the
+whole aggregation into a sort of all input rows. The latest category is therefore kept as a number, day and place of
+the category in its (small) map; attributes with many categories get a narrow aggregation of their own.
 """
 
 from __future__ import annotations
@@ -13,10 +17,19 @@ from collections.abc import Iterable, Mapping
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spineloom.functions.columns import as_run_date, calendar, numeric, ref, since
 from spineloom.functions.trend import ols_slope
-from spineloom.operators.categories import CategoryMaps, Source, as_category, fit_categories, look_up
+from spineloom.operators.categories import (
+    LITERAL_LABELS,
+    CategoryMaps,
+    Known,
+    Source,
+    as_category,
+    fit_categories,
+    look_up,
+)
 from spineloom.operators.nulls import Cleaned, compile_nulls
 from spineloom.recipe import Aggregation, Definition, Encoding, TimeWindow, definitions, distinct_keys
 
@@ -50,6 +63,13 @@ class _Rows:
     def _raw_date(self) -> Column:
         return calendar(self.view.columns[self.date_column], self.view.types[self.date_column])
 
+    @property
+    def by_day(self) -> bool:
+        """Whether the order of rows in time is an order of days (or there is none)."""
+        return self.date_column is None or isinstance(
+            self.view.types[self.date_column], (T.DateType, T.StringType)
+        )
+
     def kept(self) -> Column | None:
         return None if self.view.keep is None else self._input(("keep",), self.view.keep)
 
@@ -60,13 +80,16 @@ class _Rows:
         return self._input(("value", name), self.view.columns[name])
 
     def number(self, name: str) -> Column:
+        if not isinstance(self.view.types[name], T.StringType):
+            return self.value(name)
         return self._input(("number", name), numeric(self.view.columns[name], self.view.types[name]))
 
     def real(self, name: str) -> Column:
-        value = numeric(self.view.columns[name], self.view.types[name]).cast("double")
-        return self._input(("real", name), value)
+        return self.number(name).cast("double")
 
     def category(self, name: str) -> Column:
+        if isinstance(self.view.types[name], T.StringType):
+            return self.value(name)
         return self._input(("category", name), as_category(self.view.columns[name], self.view.types[name]))
 
     def inside(self, days: int | None) -> Column | None:
@@ -124,6 +147,16 @@ def latest_category(rows: _Rows, name: str) -> Column:
     return F.max(F.when(named, F.struct(*order, category.alias("category"))))["category"]
 
 
+def latest_position(rows: _Rows, name: str, known: Known) -> Column:
+    """The place of the latest category in a small map, by the same rule, from a maximum over plain numbers."""
+    place = known.position(rows.category(name))
+    if rows.date_column is not None:
+        # Rows without a date come before every dated one.
+        day = F.coalesce(F.unix_date(rows.date()), F.lit(-(2**31))).cast("long")
+        place = day * (2 * LITERAL_LABELS) + place
+    return F.pmod(F.max(_where(rows.kept(), place)), F.lit(2 * LITERAL_LABELS))
+
+
 def present(feature: Aggregation | Encoding | TimeWindow, view: Cleaned) -> bool:
     """Encodings and rolling features over an absent column are left out; aggregations fail instead."""
     if isinstance(feature, Aggregation):
@@ -172,6 +205,7 @@ def _aggregate(
     plain: dict[str, Column] = {}
     encodings: dict[str, tuple[Encoding, int]] = {}
     helpers: dict[str, Column] = {}
+    categories: dict[int, Column] = {}
     for view_id, recipe, rows in members:
         for feature in recipe.features:
             if not present(feature, rows.view):
@@ -184,7 +218,13 @@ def _aggregate(
             else:
                 i = attribute_of[view_id, feature.source_column]
                 encodings[feature.name] = (feature, i)
-                helpers[f"__category{i}"] = latest_category(rows, feature.source_column)
+                known = maps.attributes[i].known
+                if known and rows.by_day:
+                    place = latest_position(rows, feature.source_column, known)
+                    helpers[f"__share{i}"] = known.value("share", place)
+                    helpers[f"__label{i}"] = known.value("label", place)
+                else:
+                    categories[i] = latest_category(rows, feature.source_column)
                 if rows.view.keep is not None:
                     helpers[f"__seen{i}"] = F.bool_or(rows.kept())
 
@@ -193,16 +233,18 @@ def _aggregate(
 
     readers = {id(rows): rows for _, _, rows in members}.values()
     inputs = [column.alias(alias) for rows in readers for alias, column in rows.inputs.values()]
+    grouped = df.select(key.alias(entity_key), *inputs).groupBy(entity)
     # A row without an entity has a group of its own, but no features.
-    wide = (
-        df.select(key.alias(entity_key), *inputs)
-        .groupBy(entity)
-        .agg(
-            *[F.when(entity.isNotNull(), column).alias(name) for name, column in plain.items()],
-            *[column.alias(name) for name, column in helpers.items()],
-        )
-    )
-    for i in sorted({i for _, i in encodings.values()}):
+    numbers = [F.when(entity.isNotNull(), column).alias(name) for name, column in plain.items()]
+    numbers += [column.alias(name) for name, column in helpers.items()]
+    latest = [column.alias(f"__category{i}") for i, column in categories.items()]
+    if not latest:
+        wide = grouped.agg(*numbers)
+    elif not numbers:
+        wide = grouped.agg(*latest)
+    else:
+        wide = grouped.agg(*numbers).join(grouped.agg(*latest), entity_key, "left")
+    for i in categories:
         wide = look_up(wide, f"__category{i}", maps, i, {"share": f"__share{i}", "label": f"__label{i}"})
 
     def finished(name: str) -> Column:

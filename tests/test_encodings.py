@@ -43,14 +43,12 @@ def test_one_hot_has_a_slot_for_the_unknown(plans):
 
 
 def test_one_hot_vector(spark, plans):
-    group = "vector"
     got = sl.encode_entities(plans, [enc("hot", "plan_type", "onehot"), enc("f", "plan_type", "frequency")], "customer_id", onehot="vector")
     assert dict(got.dtypes)["hot"] == "vector"
     assert got.columns == ["customer_id", "hot", "f"]
     rows = {r["customer_id"]: r["hot"] for r in got.collect()}
     assert rows["c5"].size == 4
     assert list(rows["c5"].indices) == [2]
-    assert group
     with pytest.raises(ValueError, match="onehot"):
         sl.encode_entities(plans, [enc("hot", "plan_type", "onehot")], "customer_id", onehot="dense")
 
@@ -122,10 +120,9 @@ def test_one_hot_matches_the_ml_encoder(skewed):
     assert [r[1] for r in got if r[0] is None] == [None]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1, 5, 100_000])
-@pytest.mark.parametrize("slice_rows", [10, 1_000_000])
-def test_maps_too_large_to_broadcast_or_to_sort_at_once(skewed, monkeypatch, broadcast_rows, slice_rows):
-    """Every combination of limits gives the result of the unlimited plan."""
+@pytest.mark.parametrize(("broadcast_rows", "slice_rows"), [(100_000, 1_000_000), (5, 1_000_000), (1, 40)])
+def test_maps_too_large_for_literals_for_broadcast_or_for_one_sort(skewed, monkeypatch, broadcast_rows, slice_rows):
+    """Every combination of limits gives the result of the small-map plan."""
     specs = [enc("label", "t", "label"), enc("share", "t", "frequency"), enc("hot", "t", "onehot")]
 
     def results():
@@ -134,11 +131,19 @@ def test_maps_too_large_to_broadcast_or_to_sort_at_once(skewed, monkeypatch, bro
         return sorted(map(repr, entities)), [sorted(map(repr, r)) for r in rows]
 
     expected = results()
+    monkeypatch.setattr(categories, "LITERAL_LABELS", 0)
     monkeypatch.setattr(categories, "BROADCAST_ROWS", broadcast_rows)
     monkeypatch.setattr(ranking, "ROWS_PER_SLICE", slice_rows)
     assert results() == expected
 
 
+def test_long_names_are_no_literals():
+    attribute = categories.Attribute(labels=10, rows=100, longest=10_000)
+    assert not attribute.small
+    assert categories.Attribute(labels=10, rows=100, longest=10).small
+    assert not categories.Attribute(labels=257, rows=1000, longest=1).small
+
+
 def test_byte_limit_bounds_the_broadcast():
     attribute = categories.Attribute(labels=10, rows=100, longest=936)
     assert attribute.broadcastable(100_000, 1_000_000) == 1000

@@ -38,7 +38,7 @@ def test_recipes_on_events(spark):
     same(sl.assemble_features(df, *args, exact_median=True), naive_features(df, *args))
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_random_tables(spark, seed):
     """A key with a third of all rows, missing keys, dates, values and categories, NaN, stale and future rows."""
     pick = random.Random(seed)
@@ -55,7 +55,7 @@ def test_random_tables(spark, seed):
     df = spark.createDataFrame(rows, "k string, d date, x double, i int, t string").repartition(5)
 
     functions = ("sum", "mean", "count", "stddev", "min", "max")
-    windows = (None, 0, 7, 90)
+    windows = (None, 0, 30)
     every = [
         agg(f"{f}_{c}_{w}", c, f, w) for f in functions for c in ("x", "i") for w in windows
     ] + [agg(f"{f}_t_{w}", "t", f, w) for f in ("count", "min", "max") for w in windows]

@@ -12,6 +12,7 @@ from checks.cleaning import rule
 from checks.encoding import encoding
 from checks.fixtures import EVENTS_RUN_DATE, events, events_gaps
 from checks.windows import agg, time
+from spineloom.operators import categories
 
 SF = "/root/testdata/sf0.01"
 
@@ -67,12 +68,24 @@ def test_definitions_with_different_rules_share_the_aggregation(static_plans):
     assert count(text, "FileScan") == 1
 
 
-def test_encodings_add_only_broadcast_lookups(static_plans):
+def test_encodings_of_few_categories_add_no_join_and_no_sort(static_plans):
     text = plan(assemble(events_gaps(static_plans, SF), ACTIVITY, SPEND))
     assert count(text, "FileScan") == 1
-    assert count(text, "SortMergeJoin") == 0
+    assert count(text, "Exchange") == 1
+    assert count(text, "HashAggregate") == 2
+    assert "Join" not in text
+    assert "Sort" not in text
+
+
+def test_encodings_of_many_categories_leave_the_numbers_hashed(static_plans, monkeypatch):
+    monkeypatch.setattr(categories, "LITERAL_LABELS", 0)
+    text = plan(assemble(events_gaps(static_plans, SF), ACTIVITY, SPEND))
+    assert count(text, "HashAggregate") == 2
+    assert count(text, "SortAggregate") == 2
     assert count(text, "BroadcastHashJoin") == 3
-    assert len(re.findall(r"Exchange hashpartitioning\(user_id", text)) == 1
+    # Both aggregations are partitioned by user already, so joining them moves nothing.
+    assert count(text, "SortMergeJoin") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(user_id", text)) == 2
     assert "Cartesian" not in text
     assert "NestedLoop" not in text
 
@@ -92,7 +105,7 @@ def test_lookback_filter_reaches_the_scan(spark):
 def test_row_grain_encoding_shuffles_no_event(static_plans):
     coded = sl.encode_rows(events(static_plans, SF), encoding("share", "event_type", "frequency"), "user_id")
     text = plan(coded)
-    assert "SortMergeJoin" not in text
+    assert "Join" not in text
     # The only exchange by user is that of the distinct missing keys.
     assert len(re.findall(r"Exchange hashpartitioning\(user_id", text)) == 1
     assert "PushedFilters: [IsNull(user_id)]" in text
