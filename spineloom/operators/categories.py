@@ -88,22 +88,17 @@ def as_category(column: Column, dtype: T.DataType) -> Column:
 def fit_categories(
     df: DataFrame, sources: Sequence[Source], rows_per_slice: int | None = None
 ) -> CategoryMaps:
-    """Count all categories of all sources in one scan (one more per distinct row filter) and rank them."""
-    by_filter: dict[int, list[int]] = {}
+    """Count all categories of all sources in one scan and rank them."""
+    pairs: list[Column] = []
     for i, source in enumerate(sources):
-        by_filter.setdefault(id(source.keep), []).append(i)
-
-    counted = None
-    for members in by_filter.values():
-        keep = sources[members[0]].keep
-        wide = (df if keep is None else df.where(keep)).select(
-            *[sources[i].category.alias(str(i)) for i in members]
-        )
-        long = wide.unpivot([], wide.columns, "attribute", "category")
-        counted = long if counted is None else counted.unionByName(long)
+        # Rows outside a source fall into one group without an attribute, which is left out after counting.
+        pairs.append(F.lit(i) if source.keep is None else F.when(source.keep, F.lit(i)))
+        pairs.append(source.category if source.keep is None else F.when(source.keep, source.category))
     counted = durable(
-        counted.groupBy(F.col("attribute").cast("int").alias("attribute"), "category")
+        df.select(F.stack(F.lit(len(sources)), *pairs).alias("attribute", "category"))
+        .groupBy("attribute", "category")
         .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("attribute").isNotNull())
     )
 
     measured = {
