@@ -6,7 +6,8 @@ hot entity is reduced on the map side like any other.
 
 Spark aggregates by hashing only while every aggregation buffer has a fixed width; a string in one of them turns the
 whole aggregation into a sort of all input rows. The latest category is therefore kept as a number, day and place of
-the category in its (small) map; attributes with many categories get a narrow aggregation of their own.
+the category in its (small) map; attributes with many categories, and minima or maxima of text, go into a second,
+narrow aggregation that is joined by entity without moving rows again.
 """
 
 from __future__ import annotations
@@ -127,6 +128,14 @@ def aggregation_column(feature: Aggregation, rows: _Rows) -> Column:
     return _if_any(inside, total) if feature.function == "count" else total
 
 
+def fixed_width(feature: Aggregation, view: Cleaned) -> bool:
+    """Whether the aggregate keeps its state in numbers, dates or flags, as hash aggregation requires."""
+    dtype = view.types.get(feature.source_column)
+    return feature.function not in ("min", "max") or isinstance(
+        dtype, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    )
+
+
 def time_window_column(feature: TimeWindow, rows: _Rows) -> Column:
     if feature.feature_type == "days_diff":
         latest = F.max(_where(rows.kept(), rows.date()))
@@ -172,7 +181,7 @@ def one_hot(label: Column, labels: int) -> Column:
     return F.when(label.isNotNull(), F.transform(slots, lambda i: (i == label).cast("double")))
 
 
-def _sparse_one_hot(df: DataFrame, name: str, labels: int) -> DataFrame:
+def sparse_one_hot(df: DataFrame, name: str, labels: int) -> DataFrame:
     """Replace a label column by the same one-hot code as a sparse ML vector."""
     nominal = {"ml_attr": {"type": "nominal", "num_vals": labels + 1, "name": name}}
     unknown = F.coalesce(ref(name), F.lit(float(labels)))
@@ -202,7 +211,8 @@ def _aggregate(
     """One aggregation for all definitions that group by the same key expression."""
     entity = ref(entity_key)
     names: list[str] = []
-    plain: dict[str, Column] = {}
+    hashed: dict[str, Column] = {}
+    sorted_: dict[str, Column] = {}
     encodings: dict[str, tuple[Encoding, int]] = {}
     helpers: dict[str, Column] = {}
     categories: dict[int, Column] = {}
@@ -212,9 +222,10 @@ def _aggregate(
                 continue
             names.append(feature.name)
             if isinstance(feature, Aggregation):
-                plain[feature.name] = aggregation_column(feature, rows)
+                part = hashed if fixed_width(feature, rows.view) else sorted_
+                part[feature.name] = aggregation_column(feature, rows)
             elif isinstance(feature, TimeWindow):
-                plain[feature.name] = time_window_column(feature, rows)
+                hashed[feature.name] = time_window_column(feature, rows)
             else:
                 i = attribute_of[view_id, feature.source_column]
                 encodings[feature.name] = (feature, i)
@@ -234,21 +245,22 @@ def _aggregate(
     readers = {id(rows): rows for _, _, rows in members}.values()
     inputs = [column.alias(alias) for rows in readers for alias, column in rows.inputs.values()]
     grouped = df.select(key.alias(entity_key), *inputs).groupBy(entity)
+
     # A row without an entity has a group of its own, but no features.
-    numbers = [F.when(entity.isNotNull(), column).alias(name) for name, column in plain.items()]
-    numbers += [column.alias(name) for name, column in helpers.items()]
-    latest = [column.alias(f"__category{i}") for i, column in categories.items()]
-    if not latest:
-        wide = grouped.agg(*numbers)
-    elif not numbers:
-        wide = grouped.agg(*latest)
+    def owned(features: dict[str, Column]) -> list[Column]:
+        return [F.when(entity.isNotNull(), column).alias(name) for name, column in features.items()]
+
+    wide_part = owned(hashed) + [column.alias(name) for name, column in helpers.items()]
+    narrow_part = owned(sorted_) + [column.alias(f"__category{i}") for i, column in categories.items()]
+    if wide_part and narrow_part:
+        wide = grouped.agg(*wide_part).join(grouped.agg(*narrow_part), entity_key, "left")
     else:
-        wide = grouped.agg(*numbers).join(grouped.agg(*latest), entity_key, "left")
+        wide = grouped.agg(*wide_part, *narrow_part)
     for i in categories:
         wide = look_up(wide, f"__category{i}", maps, i, {"share": f"__share{i}", "label": f"__label{i}"})
 
     def finished(name: str) -> Column:
-        if name in plain:
+        if name not in encodings:
             return ref(name)
         feature, i = encodings[name]
         known = entity.isNotNull()
@@ -261,7 +273,7 @@ def _aggregate(
     if onehot == "vector":
         for name, (feature, i) in encodings.items():
             if feature.method == "onehot":
-                result = _sparse_one_hot(result, name, maps.attributes[i].labels)
+                result = sparse_one_hot(result, name, maps.attributes[i].labels)
     return result
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spineloom.functions.columns import as_run_date, calendar, ref, since
 from spineloom.operators.categories import Source, as_category, fit_categories, look_up
-from spineloom.operators.features import encoding_column, entity_features
+from spineloom.operators.features import encoding_column, entity_features, sparse_one_hot
 from spineloom.recipe import Aggregation, Definition, Encoding, TimeWindow
 
 
@@ -84,8 +84,15 @@ def encode_entities(
     return entity_features(df, [spec], entity_key, date_column, None, **options)
 
 
-def encode_rows(df: DataFrame, encoding: Mapping | Encoding, entity_key: str) -> DataFrame:
-    """One encoding at the grain of the input: a row per event, and one NULL row for events without an entity."""
+def encode_rows(
+    df: DataFrame, encoding: Mapping | Encoding, entity_key: str, *, onehot: str = "array"
+) -> DataFrame:
+    """One encoding at the grain of the input: a row per event, and one NULL row for events without an entity.
+
+    Several encodings are not combined at this grain: joined by entity they would multiply each other's rows.
+    """
+    if onehot not in ("array", "vector"):
+        raise ValueError(f"onehot must be 'array' or 'vector'; got {onehot!r}")
     spec = encoding if isinstance(encoding, Encoding) else Encoding(**encoding)
     if spec.source_column not in df.columns:
         return entity_spine(df, entity_key)
@@ -94,14 +101,15 @@ def encode_rows(df: DataFrame, encoding: Mapping | Encoding, entity_key: str) ->
     entity = ref(entity_key)
     events = df.where(entity.isNotNull()).select(entity, category.alias("__category"))
     coded = look_up(events, "__category", maps, 0, {"share": "__share", "label": "__label"})
-    value = encoding_column(
-        spec, F.col("__label"), F.col("__share"), F.lit(True), maps.attributes[0].labels, dense=True
-    )
+    labels = maps.attributes[0].labels
+    dense = onehot == "array"
+    value = encoding_column(spec, F.col("__label"), F.col("__share"), F.lit(True), labels, dense)
     result = coded.select(entity, value.alias(spec.name))
     absent = df.where(entity.isNull()).select(entity).distinct()
-    return result.unionByName(
+    result = result.unionByName(
         absent.select(entity, F.lit(None).cast(result.schema[spec.name].dataType).alias(spec.name))
     )
+    return sparse_one_hot(result, spec.name, labels) if spec.method == "onehot" and not dense else result
 
 
 def category_map(df: DataFrame, source_column: str) -> DataFrame:

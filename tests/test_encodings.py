@@ -120,6 +120,16 @@ def test_one_hot_matches_the_ml_encoder(skewed):
     assert [r[1] for r in got if r[0] is None] == [None]
 
 
+def test_one_hot_vectors_at_row_grain(skewed):
+    spec = enc("v", "t", "onehot")
+    dense = sl.encode_rows(skewed, spec, "customer_id").collect()
+    sparse = sl.encode_rows(skewed, spec, "customer_id", onehot="vector")
+    assert dict(sparse.dtypes)["v"] == "vector"
+    assert sorted(repr((r[0], r[1] and r[1].index(1.0))) for r in dense) == sorted(
+        repr((r[0], r[1] and int(r[1].indices[0]))) for r in sparse.collect()
+    )
+
+
 @pytest.mark.parametrize(("broadcast_rows", "slice_rows"), [(100_000, 1_000_000), (5, 1_000_000), (1, 40)])
 def test_maps_too_large_for_literals_for_broadcast_or_for_one_sort(skewed, monkeypatch, broadcast_rows, slice_rows):
     """Every combination of limits gives the result of the small-map plan."""

@@ -90,6 +90,14 @@ def test_encodings_of_many_categories_leave_the_numbers_hashed(static_plans, mon
     assert "NestedLoop" not in text
 
 
+def test_text_extremes_leave_the_numbers_hashed(static_plans):
+    text_too = {**NUMBERS, "aggregations": [*NUMBERS["aggregations"], agg("last_type", "event_type", "max", 7)]}
+    text = plan(assemble(events_gaps(static_plans, SF), text_too))
+    assert count(text, "HashAggregate") == 2
+    assert count(text, "SortAggregate") == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(user_id", text)) == 2
+
+
 def test_only_used_columns_are_read(spark):
     df = events(spark, SF)
     spec = {"entity_type": "user", "aggregations": [agg("s", "value", "sum", 7)]}
