@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,3 +58,13 @@ def real_number(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         value = F.nanvl(value, F.lit(None).cast("double"))
     return value
+
+
+def text_array(values: Sequence[str]) -> Column:
+    """ARRAY<STRING> literal; the optimizer folds the parsing away."""
+    return F.from_json(F.lit(json.dumps(values)), "array<string>")
+
+
+def number_array(values: Sequence[float]) -> Column:
+    """ARRAY<DOUBLE> literal."""
+    return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spineloom.durable import durable
+from spineloom.functions.columns import number_array, text_array
 from spineloom.operators.ranking import running_total
 
 # What one lookup may broadcast: this many of the most frequent categories, and this many bytes.
@@ -40,11 +41,11 @@ class Known(NamedTuple):
 
     def position(self, category: Column) -> Column:
         """1-based place of the category; NULL for a missing one."""
-        return F.array_position(F.lit(self.categories), category)
+        return F.array_position(text_array(self.categories), category)
 
     def value(self, output: str, position: Column) -> Column:
         """``share`` or ``label`` of the category at a place; NULL without a place."""
-        return F.get(F.lit(getattr(self, output)), (position - 1).cast("int"))
+        return F.get(number_array(getattr(self, output)), (position - 1).cast("int"))
 
 
 @dataclass(frozen=True)
@@ -54,11 +55,13 @@ class Attribute:
     labels: int
     rows: int
     longest: int
+    plain_text: bool = True
     known: Known | None = None
 
     @property
     def small(self) -> bool:
-        return 0 < self.labels <= LITERAL_LABELS and self.labels * self.longest <= LITERAL_BYTES
+        """Few and short categories, and all of them text that survives the way through the driver."""
+        return self.plain_text and 0 < self.labels <= LITERAL_LABELS and self.labels * self.longest <= LITERAL_BYTES
 
     def broadcastable(self, max_rows: int, max_bytes: int) -> int:
         """How many of the most frequent categories are certain to fit the broadcast limits."""
@@ -102,12 +105,13 @@ def fit_categories(
     )
 
     measured = {
-        row["attribute"]: Attribute(row["labels"], row["rows"], row["longest"] or 0)
+        row["attribute"]: Attribute(row["labels"], row["rows"], row["longest"] or 0, row["plain_text"] is not False)
         for row in counted.groupBy("attribute")
         .agg(
             F.count("category").alias("labels"),
             F.sum("n").alias("rows"),
             F.max(F.octet_length("category")).alias("longest"),
+            F.bool_and(F.is_valid_utf8("category")).alias("plain_text"),
         )
         .collect()
     }

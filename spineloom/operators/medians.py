@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spineloom.durable import durable
+from spineloom.functions.columns import number_array
 from spineloom.operators.ranking import running_total
 
 # Fixed bounds: a partial summary has a relative rank error of 1 / ACCURACY and is read at POINTS quantiles, so a median
@@ -25,7 +26,7 @@ def approximate_medians(df: DataFrame, values: Mapping[str, Column]) -> dict[str
     lists of quantiles, each weighted by the number of values behind it.
     """
     names = list(values)
-    points = F.lit([(i + 0.5) / POINTS for i in range(POINTS)])
+    points = number_array([(i + 0.5) / POINTS for i in range(POINTS)])
     group = F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("group")
     summaries = (
         df.select(group, *[values[n].alias(f"m{i}") for i, n in enumerate(names)])

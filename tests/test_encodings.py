@@ -154,6 +154,13 @@ def test_long_names_are_no_literals():
     assert not categories.Attribute(labels=257, rows=1000, longest=1).small
 
 
+def test_categories_that_are_no_valid_text(spark):
+    df = spark.sql("select * from values ('a', cast(x'ff' as string)), ('b', cast(x'fe' as string)), ('c', 'x\\'\"\\n') as t(customer_id, t)")
+    got = codes(df, enc("label", "t", "label"), enc("share", "t", "frequency"))
+    assert got == {"a": (2.0, 1 / 3), "b": (1.0, 1 / 3), "c": (0.0, 1 / 3)}
+    assert codes(df.where("customer_id = 'c'"), enc("label", "t", "label")) == {"c": 0.0}
+
+
 def test_byte_limit_bounds_the_broadcast():
     attribute = categories.Attribute(labels=10, rows=100, longest=936)
     assert attribute.broadcastable(100_000, 1_000_000) == 1000
