@@ -196,11 +196,15 @@ def store_roundtrip(spark, sf_dir):
     return tidy(stored.withColumn("date", F.col("date").cast("string")))
 
 
-def _run(spark, sf_dir: str, name: str, specs: list[dict], registry: str) -> None:
-    raw = fresh_path(spark, "raw")
-    # One snapshot of the events, filed under the run date.
+def _raw(spark, sf_dir: str) -> str:
+    """One snapshot of the events, filed under the run date."""
+    path = fresh_path(spark, "raw")
     snapshot = table(spark, sf_dir, "events").withColumn("event_date", F.col("ts").cast("date"))
-    snapshot.withColumn("date", F.lit(dt.date(2024, 1, 31))).write.partitionBy("date").parquet(raw)
+    snapshot.withColumn("date", F.lit(dt.date(2024, 1, 31))).write.partitionBy("date").parquet(path)
+    return path
+
+
+def _run(spark, raw: str, name: str, specs: list[dict], registry: str) -> None:
     settings = sl.Settings(
         pipeline_name=name,
         entity_type="user",
@@ -251,15 +255,15 @@ def _entries(spark, registry: DataFrame) -> DataFrame:
 def registry_entry(spark, sf_dir):
     """A full run over the events leaves one catalogue entry that points at the stored features."""
     path = fresh_path(spark, "registry")
-    _run(spark, sf_dir, "activity", [ACTIVITY, SPEND], path)
+    _run(spark, _raw(spark, sf_dir), "activity", [ACTIVITY, SPEND], path)
     return _entries(spark, sl.read_registry(spark, path))
 
 
 @check("registry_upsert", _entries_sql({"activity": [ACTIVITY], "spend": [SPEND]}))
 def registry_upsert(spark, sf_dir):
     """A second run of a pipeline replaces its entry; the entry of the other pipeline stays."""
-    path = fresh_path(spark, "registry")
-    _run(spark, sf_dir, "spend", [SPEND], path)
-    _run(spark, sf_dir, "activity", [ACTIVITY, SPEND], path)
-    _run(spark, sf_dir, "activity", [ACTIVITY], path)
+    path, raw = fresh_path(spark, "registry"), _raw(spark, sf_dir)
+    _run(spark, raw, "spend", [SPEND], path)
+    _run(spark, raw, "activity", [ACTIVITY, SPEND], path)
+    _run(spark, raw, "activity", [ACTIVITY], path)
     return _entries(spark, sl.read_registry(spark, path))

@@ -9,18 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: the session's ``spark.checkpoint.dir``.
+    """The folder every executor can reach: the session's ``spark.checkpoint.dir``, or the one its context was given.
 
-    Only a local-mode session (tests) may go without it; there a fresh temporary folder is used.
+    Only a local-mode session (tests) may go without; there a fresh temporary folder is used.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="spineloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="spineloom-"))
+    return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:

@@ -31,6 +31,14 @@ TYPE_NAMES: dict[str, tuple[type[T.DataType], ...]] = {
     "boolean": (T.BooleanType,),
 }
 
+# The wording of report details and of the gate's error.
+MISSING = "Column '{}' missing from schema"
+WRONG_TYPE = "Column '{}': expected {}, got {}"
+TOO_MANY_NULLS = "Column '%s' null rate %.2f%% exceeds threshold %.2f%%"
+EMPTY = "DataFrame is empty; cannot compute null rates."
+PASSED = "%d/%d checks passed"
+GATE_FAILED = "Data quality gate FAILED for pipeline '{}':\n  {}"
+
 
 class DataQualityError(Exception):
     """At least one quality check failed; the message lists every failure."""
@@ -49,14 +57,14 @@ def schema_report(
     """Presence of the required columns, and the type of each expected column that exists. Reads metadata only."""
     types = {f.name: f.dataType for f in df.schema.fields}
     checks = [
-        (name, "presence", name in types, "" if name in types else f"Column '{name}' missing from schema")
+        (name, "presence", name in types, "" if name in types else MISSING.format(name))
         for name in required
     ]
     for name, expected in (expected_types or {}).items():
         if name in types:
             ok = _has_type(types[name], expected)
-            found = type(types[name]).__name__
-            checks.append((name, "type", ok, "" if ok else f"Column '{name}': expected {expected}, got {found}"))
+            detail = "" if ok else WRONG_TYPE.format(name, expected, type(types[name]).__name__)
+            checks.append((name, "type", ok, detail))
     return df.sparkSession.createDataFrame(checks, REPORT)
 
 
@@ -96,14 +104,12 @@ def null_report(df: DataFrame, max_null_rate: float = 0.05, columns: Sequence[st
     limit = F.lit(float(max_null_rate))
     rates = _null_counts(df, columns, empty=["*"]).withColumn("rate", F.try_divide("null_count", "row_count"))
     passed = F.coalesce(F.col("rate") <= limit, F.lit(False))
-    message = F.format_string(
-        "Column '%s' null rate %.2f%% exceeds threshold %.2f%%", F.col("column"), F.col("rate") * 100, limit * 100
-    )
+    message = F.format_string(TOO_MANY_NULLS, F.col("column"), F.col("rate") * 100, limit * 100)
     return rates.select(
         "column",
         F.lit("null_rate").alias("check"),
         passed.alias("passed"),
-        F.when(F.col("row_count") == 0, "DataFrame is empty; cannot compute null rates.")
+        F.when(F.col("row_count") == 0, EMPTY)
         .when(passed, "")
         .otherwise(message)
         .alias("detail"),
@@ -136,7 +142,7 @@ def summarize(report: DataFrame) -> DataFrame:
         F.count_if("passed").alias("passed"),
         F.count(F.lit(1)).alias("checks"),
         F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("detail")))).alias("failures"),
-    ).withColumn("summary", F.format_string("%d/%d checks passed", F.col("passed"), F.col("checks")))
+    ).withColumn("summary", F.format_string(PASSED, F.col("passed"), F.col("checks")))
 
 
 def quality_gate(
@@ -156,7 +162,5 @@ def quality_gate(
     rows = report.collect()
     failed = [row["detail"] for row in rows if not row["passed"]]
     if failed:
-        raise DataQualityError(
-            f"Data quality gate FAILED for pipeline '{pipeline_name}':\n  " + "\n  ".join(failed)
-        )
+        raise DataQualityError(GATE_FAILED.format(pipeline_name, "\n  ".join(failed)))
     return df.sparkSession.createDataFrame(rows, REPORT)

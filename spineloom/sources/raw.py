@@ -13,6 +13,9 @@ from spineloom.recipe import INPUT_FORMATS
 
 PARTITION = "date"
 
+# Fixed value: the wording of the row gate's error.
+TOO_FEW_ROWS = "Ingested {} rows from {!r}; minimum required is {}."
+
 # Up to this many required rows the gate reads just that many; beyond it counts the table.
 _TAKE_LIMIT = 10_000
 
@@ -65,5 +68,5 @@ def require_rows(df: DataFrame, min_row_count: int, origin: str = "the input") -
     else:
         found = df.count()
     if found < min_row_count:
-        raise ValueError(f"Ingested {found} rows from {origin!r}; minimum required is {min_row_count}.")
+        raise ValueError(TOO_FEW_ROWS.format(found, origin, min_row_count))
     return df
