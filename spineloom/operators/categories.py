@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -70,15 +71,37 @@ class Attribute:
 
 @dataclass(frozen=True)
 class CategoryMaps:
-    """Fitted maps of several attributes.
+    """Fitted maps of several attributes: counts per (attribute, category) on shared storage, and what they measure."""
 
-    ``frame`` has one row per (attribute, category): ``n`` rows with that category, ``share`` of all rows (rows without
-    a category included) and ``label``, the 0-based rank by descending count, ties in alphabetical order. Rows without a
-    category get the label after the last one.
-    """
-
-    frame: DataFrame
+    counted: DataFrame
     attributes: tuple[Attribute, ...]
+    rows_per_slice: int | None = None
+
+    @cached_property
+    def frame(self) -> DataFrame:
+        """One row per (attribute, category): ``n``, ``share`` and ``label``.
+
+        The share is that of all rows, rows without a category included. The label is the 0-based rank by descending
+        count, ties in alphabetical order; rows without a category get the label after the last one.
+        """
+        rows_of = F.create_map(*[F.lit(x) for i, a in enumerate(self.attributes) for x in (i, a.rows)])
+        # Sorting by (is null, count descending, name) puts a missing category last, right after the final label.
+        ranked = running_total(
+            self.counted,
+            group="attribute",
+            order=[F.col("category").isNull(), F.col("n").desc(), F.col("category")],
+            weight=F.lit(1),
+            rows=sum(a.labels + 1 for a in self.attributes),
+            name="position",
+            rows_per_slice=self.rows_per_slice,
+        )
+        return ranked.select(
+            "attribute",
+            "category",
+            "n",
+            (F.col("n") / rows_of[F.col("attribute")]).alias("share"),
+            F.col("position").cast("double").alias("label"),
+        )
 
     def map_of(self, index: int) -> DataFrame:
         return self.frame.where(F.col("attribute") == index).select("category", "n", "share", "label")
@@ -91,7 +114,7 @@ def as_category(column: Column, dtype: T.DataType) -> Column:
 def fit_categories(
     df: DataFrame, sources: Sequence[Source], rows_per_slice: int | None = None
 ) -> CategoryMaps:
-    """Count all categories of all sources in one scan and rank them."""
+    """Count all categories of all sources in one scan and measure the result."""
     pairs: list[Column] = []
     for i, source in enumerate(sources):
         # Rows outside a source fall into one group without an attribute, which is left out after counting.
@@ -116,34 +139,21 @@ def fit_categories(
         .collect()
     }
     attributes = [measured.get(i, Attribute(0, 0, 0)) for i in range(len(sources))]
-    rows_of = F.create_map(*[F.lit(x) for i, a in enumerate(attributes) for x in (i, a.rows)])
-
-    # Sorting by (is null, count descending, name) puts a missing category last, right after the final label.
-    ranked = running_total(
-        counted,
-        group="attribute",
-        order=[F.col("category").isNull(), F.col("n").desc(), F.col("category")],
-        weight=F.lit(1),
-        rows=sum(a.labels + 1 for a in attributes),
-        name="position",
-        rows_per_slice=rows_per_slice,
-    )
-    frame = ranked.select(
-        "attribute",
-        "category",
-        "n",
-        (F.col("n") / rows_of[F.col("attribute")]).alias("share"),
-        F.col("position").cast("double").alias("label"),
-    )
     small = [i for i, attribute in enumerate(attributes) if attribute.small]
     if small:
-        rows = frame.where(F.col("attribute").isin(small) & F.col("category").isNotNull()).collect()
+        rows = counted.where(F.col("attribute").isin(small) & F.col("category").isNotNull()).collect()
         for i in small:
-            # Sorted like Spark sorts strings: by their UTF-8 bytes.
-            mine = sorted((r for r in rows if r["attribute"] == i), key=lambda r: r["category"].encode())
-            known = Known(*([r[column] for r in mine] for column in ("category", "share", "label")))
-            attributes[i] = replace(attributes[i], known=known)
-    return CategoryMaps(frame, tuple(attributes))
+            counts = {r["category"]: r["n"] for r in rows if r["attribute"] == i}
+            attributes[i] = replace(attributes[i], known=_known(counts, attributes[i].rows))
+    return CategoryMaps(counted, tuple(attributes), rows_per_slice)
+
+
+def _known(counts: dict[str, int], rows: int) -> Known:
+    """A small map in full. Python strings are put in the order of Spark's: by their UTF-8 bytes."""
+    categories = sorted(counts, key=str.encode)
+    by_frequency = sorted(categories, key=lambda c: -counts[c])
+    rank = {c: float(i) for i, c in enumerate(by_frequency)}
+    return Known(categories, [counts[c] / rows for c in categories], [rank[c] for c in categories])
 
 
 def look_up(

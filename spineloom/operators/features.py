@@ -299,8 +299,9 @@ def entity_features(
     if onehot not in ("array", "vector"):
         raise ValueError(f"onehot must be 'array' or 'vector'; got {onehot!r}")
     recipes = definitions(specs, entity_key)
+    columns = df.columns
     for name in filter(None, (entity_key, date_column)):
-        if name not in df.columns:
+        if name not in columns:
             raise ValueError(f"column {name!r} is missing from the input")
     day = None if run_date is None else as_run_date(run_date)
     if day is None and any(r.aggregations or r.time_windows for r in recipes):
@@ -329,12 +330,14 @@ def entity_features(
     def aggregated(part: list[tuple[int, Definition, _Rows]], key: Column) -> DataFrame:
         return _aggregate(df, part, key, entity_key, maps, attribute_of, onehot)
 
-    result = aggregated([m for m in members if entity_key not in m[2].view.filled], ref(entity_key))
+    moving = [m for m in members if entity_key in m[2].view.filled]
+    result = aggregated([m for m in members if m not in moving], ref(entity_key))
+    if not moving:
+        return result
     # A null rule that rewrites the key itself moves rows to another entity: such a definition is grouped by the
     # rewritten key and joined back to the entities of the raw table.
-    for member in members:
-        if entity_key in member[2].view.filled:
-            moved = aggregated([member], member[2].view.columns[entity_key])
-            result = result.join(moved, entity_key, "left")
-    order = [f.name for _, recipe, _ in members for f in recipe.features if f.name in result.columns]
+    for member in moving:
+        moved = aggregated([member], member[2].view.columns[entity_key])
+        result = result.join(moved, entity_key, "left")
+    order = [f.name for _, recipe, rows in members for f in recipe.features if present(f, rows.view)]
     return result.select(ref(entity_key), *[ref(name) for name in order])
