@@ -13,18 +13,19 @@ from checks.encoding import encoding, latest_sql, map_sql
 from checks.fixtures import (
     EVENTS_RUN_DATE,
     ORDERS_RUN_DATE,
-    SQL_VIEWS,
     Part,
     check,
     events_gaps,
+    joined,
     orders_gaps,
     table,
     tidy,
+    with_views,
 )
 from checks.windows import agg, slope_sql, time
 from spineloom.durable import fresh_path
 
-# A recipe of the usual size over the events: 10 aggregations, 3 encodings, 5 time features in two definitions.
+# A recipe of the usual size over the events: 11 aggregations, 3 encodings, 5 time features in two definitions.
 ACTIVITY = {
     "entity_type": "user",
     "null_handlers": [rule("value", "median_impute", add_indicator=True), rule("event_type", "fill", "unknown")],
@@ -117,25 +118,14 @@ def _coded(view: str, column: str) -> str:
 
 
 def assembled_sql(parts: list[Part], extra: str = "") -> str:
-    views = {
-        "evt_gaps": SQL_VIEWS["evt_gaps"],
-        "activity": ACTIVITY_VIEW,
-        "spend": SPEND_VIEW,
-        "activity_type": _coded("activity", "event_type"),
-        "activity_props": _coded("activity", "props"),
-        "spend_type": _coded("spend", "event_type"),
-    }
-    prefix = ", ".join(f"{name} AS ({sql})" for name, sql in views.items())
-    columns = ", ".join(
-        f"ROUND(p{i}.{p.name}, 8) + 0.0 AS {p.name}" if p.double else f"p{i}.{p.name}" for i, p in enumerate(parts)
-    )
-    joins = " ".join(
-        f"LEFT JOIN (SELECT user_id, {p.value} AS {p.name} FROM {p.source} WHERE {p.where} GROUP BY user_id) p{i}"
-        f" ON s.user_id = p{i}.user_id"
-        for i, p in enumerate(parts)
-    )
-    return (
-        f"WITH {prefix} SELECT s.user_id, {columns}{extra} FROM (SELECT DISTINCT user_id FROM evt_gaps) s {joins}"
+    return with_views(
+        joined("evt_gaps", "user_id", parts, extra=extra),
+        "evt_gaps",
+        activity=ACTIVITY_VIEW,
+        spend=SPEND_VIEW,
+        activity_type=_coded("activity", "event_type"),
+        activity_props=_coded("activity", "props"),
+        spend_type=_coded("spend", "event_type"),
     )
 
 

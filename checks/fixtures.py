@@ -118,7 +118,7 @@ class Part:
     double: bool = True
 
 
-def joined(spine: str, key: str, parts: Sequence[Part], digits: int = 8) -> str:
+def joined(spine: str, key: str, parts: Sequence[Part], digits: int = 8, extra: str = "") -> str:
     """Left-join one subquery per feature onto the distinct keys of ``spine``."""
     columns = ", ".join(
         f"ROUND(p{i}.{p.name}, {digits}) + 0.0 AS {p.name}" if p.double else f"p{i}.{p.name}"
@@ -129,7 +129,7 @@ def joined(spine: str, key: str, parts: Sequence[Part], digits: int = 8) -> str:
         f" ON s.{key} = p{i}.{key}"
         for i, p in enumerate(parts)
     )
-    return f"SELECT s.{key}, {columns} FROM (SELECT DISTINCT {key} FROM {spine}) s {joins}"
+    return f"SELECT s.{key}, {columns}{extra} FROM (SELECT DISTINCT {key} FROM {spine}) s {joins}"
 
 
 def tidy(df: DataFrame, digits: int = 8) -> DataFrame:
