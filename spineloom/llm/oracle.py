@@ -1,5 +1,8 @@
 """DuckDB SQL of the numbered operators' queries, where SQL can express them."""
 
+from spineloom.llm.quality_rules import STOP_WORDS
+from spineloom.llm.url_filter import LISTED_WORDS
+
 SQL: dict[str, str] = {}
 
 #: A text's words between white space, and its distinct shingles as lists of words.
@@ -22,3 +25,45 @@ reach AS (
 SELECT d.doc_id, COALESCE(MAX(z.n), 0) AS n_shingles, LEAST(d.doc_id, MIN(r.b)) AS component_id
 FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id
 """
+
+#: Words in windows of five that occur twice or more, and the threshold table written out.
+SQL["op4_quality_rules"] = r"""
+WITH texts AS (SELECT doc_id, COALESCE(text, '') AS text FROM documents),
+words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+  list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM texts),
+wins AS (SELECT doc_id, i, w[i:i + 4] AS key FROM (SELECT doc_id, w, UNNEST(range(1, len(w) - 3)) AS i FROM words)),
+twice AS (SELECT doc_id, i FROM wins QUALIFY COUNT(*) OVER (PARTITION BY doc_id, key) > 1),
+covered AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n FROM twice, range(5) r(k) GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, len(w) AS n_words, CAST(list_sum(list_transform(w, lambda x: length(x))) AS BIGINT) AS chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    length(regexp_replace(text, '[^!]', '', 'g')) AS n_bangs, len(lines) AS n_lines,
+    CASE WHEN len(w) >= 100 AND 2 * strlen(text) < 3 * length(text) THEN len(w) ELSE 0 END AS expecting,
+    len(list_filter(w, lambda x: list_contains(string_split('STOP_WORDS', ' '), lower(x)))) AS n_stops,
+    len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullets,
+    len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_dots FROM words),
+judged AS (
+  SELECT c.*, COALESCE(chars, 0) AS word_chars, COALESCE(n, 0) AS n_repeat_words,
+    n_words < 10 OR 100 * COALESCE(n, 0) > 20 * n_words AS base_failed FROM counts c LEFT JOIN covered USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND 1000 * n_symbols <= 100 * n_words AND 1000 * n_bangs <= 500 * n_words
+  AND 1000 * word_chars BETWEEN 1500 * n_words AND 25000 * n_words AND 1000 * n_stops >= 10 * expecting
+  AND 1000 * n_dup_lines <= 300 * n_lines AND 1000 * n_bullets <= 900 * n_lines AND 1000 * n_dots <= 300 * n_lines AS kept
+FROM judged
+""".replace("STOP_WORDS", " ".join(STOP_WORDS))
+
+SQL["op5_url_filter"] = r"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    AS host, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM rests),
+rules(rule, host, path, verdict) AS (VALUES ('net/', 'net', '/', 'block'),
+  ('example.net/en/', 'example.net', '/en/', 'allow'), ('example.com/de/', 'example.com', '/de/', 'block'),
+  ('org/fr/', 'org', '/fr/', 'allow')),
+fits AS (
+  SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(r.verdict, length(rule)) AS verdict FROM parts p
+  JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY page_id)
+SELECT page_id, host, path, rule, COALESCE(verdict, CASE WHEN list_has_any(regexp_split_to_array(host, '[.-]'),
+  ['LISTED']) THEN 'block' ELSE 'allow' END) AS verdict FROM parts LEFT JOIN fits USING (page_id)
+""".replace("LISTED", "', '".join(LISTED_WORDS))

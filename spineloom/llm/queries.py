@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from spineloom.llm import byte_bpe
 from spineloom.llm.jaccard_join import jaccard_join
+from spineloom.llm.quality_rules import judged
 from spineloom.llm.ship import ship
+from spineloom.llm.url_filter import Rules, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +30,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
+
+
+URL_RULES = Rules(block=("net/", "example.com/de/"), allow=("example.net/en/", "org/fr/"))
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = byte_bpe.digests(docs, ranks, public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
