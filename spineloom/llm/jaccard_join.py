@@ -105,8 +105,12 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(task, "id long, n long, cls long, slot int, cells binary")
 
 
-def _prefixes(docs: DataFrame, sketch, words: int, percent: int) -> DataFrame:
-    """(token, cls, n, pos): the rarest shingles of each class; a class comes once from each task at most."""
+def _prefixes(docs: DataFrame, sketch, words: int, percent: int, shared=None) -> DataFrame:
+    """The rarest shingles of each class; a class comes once from each task at most.
+
+    Without ``shared``, the shingles alone (token); with the bitmap of those that several rows hold, (token, cls, n, pos)
+    of what it holds: nearly all other shingles occur once and need not be moved again.
+    """
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = sketch.value
@@ -122,19 +126,34 @@ def _prefixes(docs: DataFrame, sketch, words: int, percent: int) -> DataFrame:
                 keep = n - least_overlap(n, percent) + 1
                 order = np.argsort(frequency[_bucket(shingles)], kind="stable")[:keep]
                 out.append((shingles[order], name, n))
-            if out:
-                sizes = [tokens.size for tokens, _, _ in out]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([tokens for tokens, _, _ in out]).view(np.int64)),
-                        pa.array(np.repeat(np.array([name for _, name, _ in out], np.int64), sizes)),
-                        pa.array(np.repeat(np.array([n for _, _, n in out], np.int32), sizes)),
-                        pa.array(np.concatenate([np.arange(s, dtype=np.int32) for s in sizes])),
-                    ],
-                    ["token", "cls", "n", "pos"],
-                )
+            if not out:
+                continue
+            sizes = [tokens.size for tokens, _, _ in out]
+            tokens = np.concatenate([tokens for tokens, _, _ in out])
+            if shared is None:
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64))], ["token"])
+                continue
+            keep = _held(shared.value, tokens)
+            columns = (
+                tokens.view(np.int64),
+                np.repeat(np.array([name for _, name, _ in out], np.int64), sizes),
+                np.repeat(np.array([n for _, _, n in out], np.int32), sizes),
+                np.concatenate([np.arange(s, dtype=np.int32) for s in sizes]),
+            )
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["token", "cls", "n", "pos"])
+
+    return docs.mapInArrow(task, "token long" if shared is None else "token long, cls long, n int, pos int")
+
 
-    return docs.mapInArrow(task, "token long, cls long, n int, pos int")
+def _places(values: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    at = mix(values.view(np.uint64)) & np.uint64(n_bits - 1)
+    return (at >> np.uint64(3)).astype(np.int64), (at & np.uint64(7)).astype(np.uint8)
+
+
+def _held(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values are in the bitmap; a few others seem to be."""
+    byte, bit = _places(values, bitmap.size * 8)
+    return (bitmap[byte] >> bit) & 1 == 1
 
 
 def _chosen_sets(docs: DataFrame, bitmap, words: int) -> DataFrame:
@@ -146,9 +165,7 @@ def _chosen_sets(docs: DataFrame, bitmap, words: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             values = np.asarray(ids.fill_null(0).to_numpy(zero_copy_only=False), np.int64)
-            at = mix(values.view(np.uint64)) & np.uint64(held.size * 8 - 1)
-            hit = (held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            chosen = batch.filter(pa.array(hit | np.asarray(ids.is_null())))
+            chosen = batch.filter(pa.array(_held(held, values) | np.asarray(ids.is_null())))
             for _, texts in _batches([chosen] if chosen.num_rows else []):
                 found = {}
                 for shingles in _sets(texts, words):
@@ -164,18 +181,21 @@ def _chosen_sets(docs: DataFrame, bitmap, words: int) -> DataFrame:
     return docs.mapInArrow(task, "cls long, shingles binary")
 
 
-def _bitmap(ids: DataFrame, n_bits: int) -> np.ndarray:
+def _bitmap(values: DataFrame) -> np.ndarray:
+    """About sixteen bits for each value of the one long column, and never more than MOST_BITMAP_BITS: beyond that
+    the bitmap lets more of the others pass, which costs time and no results."""
+    n_bits = 1 << (16 * max(values.count(), 1 << 12)).bit_length()
+    n_bits = min(n_bits, MOST_BITMAP_BITS)
+
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(n_bits // 8, np.uint8)
         for batch in batches:
-            values = np.asarray(batch.column(0).drop_null().to_numpy(zero_copy_only=False), np.int64)
-            at = mix(values.view(np.uint64)) & np.uint64(n_bits - 1)
-            np.bitwise_or.at(
-                bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
-            )
+            own = np.asarray(batch.column(0).drop_null().to_numpy(zero_copy_only=False), np.int64)
+            byte, bit = _places(own, n_bits)
+            np.bitwise_or.at(bits, byte, np.uint8(1) << bit)
         yield gather.part_batch(bits)
 
-    part = ids.mapInArrow(task, gather.SCHEMA)
+    part = values.mapInArrow(task, gather.SCHEMA)
     return gather.merged(part, np.uint8, np.bitwise_or, np.zeros(n_bits // 8, np.uint8))
 
 
@@ -241,23 +261,18 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     described = described.where("slot is null").select("id", "n", "cls")
     classes = durable(described.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id")))
 
-    shared_sketch = spark.sparkContext.broadcast(sketch)
-    _prefixes(source, shared_sketch, words, percent).write.parquet(f"{path}/prefixes")
-    prefixes = spark.read.parquet(f"{path}/prefixes")
+    sketch = spark.sparkContext.broadcast(sketch)
+    tokens = _prefixes(source, sketch, words, percent)
+    repeated = durable(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token"))
+    shared = spark.sparkContext.broadcast(_bitmap(repeated))
+    prefixes = durable(_prefixes(source, sketch, words, percent, shared))
     row = F.struct("pos", "n", "cls")
     centre = prefixes.groupBy("token").agg(
         F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.min(row).alias("centre")
     )
     lists = durable(prefixes.join(centre.where("lo < hi").select("token", "centre"), "token").distinct())
 
-    used = lists.select("cls").distinct().join(classes, "cls").select("id")
-    used = durable(used)
-    n_bits = 1 << min(MOST_BITMAP_BITS, max(1 << 16, 16 * used.count())).bit_length()
-    bitmap = spark.sparkContext.broadcast(_bitmap(used, min(n_bits, MOST_BITMAP_BITS)))
-    _chosen_sets(source, bitmap, words).write.parquet(f"{path}/sets")
-    sets = spark.read.parquet(f"{path}/sets")
-
-    tried, links = [], []
+    tried, links = [], [spark.createDataFrame([], "a long, b long")]
 
     def compare(pairs: DataFrame) -> None:
         pairs = pairs.where("a != b").distinct()
@@ -265,6 +280,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = durable(pairs)
         tried.append(pairs)
+        if not pairs.take(1):
+            return
+        either = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        chosen = spark.sparkContext.broadcast(_bitmap(durable(either.join(classes, "cls").select("id"))))
+        sets = durable(_chosen_sets(source, chosen, words).join(either, "cls", "left_semi"))
         links.append(durable(_linked(pairs, sets, percent)))
 
     rows = lists.select("token", F.struct("cls", "n", "pos").alias("x"), F.col("centre").alias("y"))
