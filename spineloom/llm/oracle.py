@@ -67,3 +67,27 @@ fits AS (
 SELECT page_id, host, path, rule, COALESCE(verdict, CASE WHEN list_has_any(regexp_split_to_array(host, '[.-]'),
   ['LISTED']) THEN 'block' ELSE 'allow' END) AS verdict FROM parts LEFT JOIN fits USING (page_id)
 """.replace("LISTED", "', '".join(LISTED_WORDS))
+
+#: Windows of items and of documents as lists of words; a hit word is one that a matching window covers.
+SQL["op2_decontamination"] = r"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(COALESCE(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+texts AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+phrases AS (
+  SELECT DISTINCT item, LEAST(len(w), 10) AS n, w[i:i + 9] AS phrase
+  FROM (SELECT item, w, UNNEST(range(1, GREATEST(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT doc_id, i, n, w[i:i + n - 1] AS phrase FROM (
+    SELECT doc_id, w, n, UNNEST(range(1, len(w) - n + 2)) AS i FROM texts, (SELECT DISTINCT n FROM phrases))),
+found AS (SELECT DISTINCT doc_id, i, p.n, item FROM places p JOIN phrases q ON p.phrase = q.phrase),
+hits AS (SELECT doc_id, COUNT(DISTINCT j) AS n_hit FROM (
+  SELECT doc_id, UNNEST(range(i, i + n)) AS j FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id),
+named AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+  sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
