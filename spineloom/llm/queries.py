@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spineloom.llm import byte_bpe
+from spineloom.llm.class_ngrams import score
 from spineloom.llm.decontaminate import find_benchmark
 from spineloom.llm.jaccard_join import jaccard_join
 from spineloom.llm.quality_rules import judged
@@ -32,6 +33,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(divisor: int):
+    """crc32 of the id written as text, modulo ``divisor``; a null id has remainder 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor, F.lit(0))
+
+
+@query
+def op3_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = score(docs, remainder(5) != 1)
+    return found.withColumn("held_out", remainder(5) == 1)
+
+
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

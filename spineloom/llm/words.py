@@ -57,19 +57,20 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def _hash_piece(piece: bytes, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words of lower-cased bytes."""
+def _hash_piece(piece: bytes, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words of lower-cased bytes, and the bytes."""
     raw = np.frombuffer(piece, np.uint8)
     apart = np.ones(raw.size + 2, bool)
     apart[1:-1] = separators[raw]
     edges = np.flatnonzero(apart[1:] != apart[:-1])
     starts, ends = edges[::2], edges[1::2]
     if not starts.size:
-        return np.empty(0, np.uint64), starts, ends
+        return np.empty(0, np.uint64), starts, ends, raw
     up, down = _power_tables(raw.size)
     total = np.zeros(raw.size + 1, np.uint64)
     np.cumsum(_BYTE[raw] * up[: raw.size], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts, ends
+    hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return hashes, starts, ends, raw
 
 
 def _pieces(text: bytes, separators: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -89,10 +90,21 @@ def _pieces(text: bytes, separators: np.ndarray) -> Iterator[tuple[int, bytes]]:
     yield at, text[at:]
 
 
-def word_hashes(texts: list[bytes | None], separators: np.ndarray = SPACE, spans: bool = False):
-    """(hashes of all words, words of each text[, starts, ends]): null and empty texts have none.
+def _endings(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The last three bytes of each word as a number."""
+    out = np.zeros(starts.size, np.uint64)
+    for k in range(1, 4):
+        byte = raw[np.maximum(ends - k, 0)].astype(np.uint64) << np.uint64(8 * (k - 1))
+        out |= np.where(ends - k >= starts, byte, np.uint64(0))
+    return out
+
+
+def word_hashes(
+    texts: list[bytes | None], separators: np.ndarray = SPACE, spans: bool = False, endings: bool = False
+):
+    """(hashes of all words, words of each text[, starts, ends][, endings]): null and empty texts have none.
 
-    Starts and ends are byte offsets in the text.
+    Starts and ends are byte offsets in the text; endings are the words' last three bytes as numbers.
     """
     groups: list[tuple[list[int], list[bytes]]] = [([], [])]
     held = 0
@@ -106,9 +118,9 @@ def word_hashes(texts: list[bytes | None], separators: np.ndarray = SPACE, spans
             groups[-1][1].append(part)
             held += len(part) + 1
     counts = np.zeros(len(texts), np.int64)
-    hashes, all_starts, all_ends = [], [], []
+    hashes, all_starts, all_ends, all_endings = [], [], [], []
     for owners, parts in groups:
-        found, starts, ends = _hash_piece(b"\n".join(parts), separators)
+        found, starts, ends, raw = _hash_piece(b"\n".join(parts), separators)
         sizes = np.fromiter((len(p) + 1 for p in parts), np.int64, len(parts))
         borders = np.concatenate(([0], np.cumsum(sizes)))
         each = np.diff(np.searchsorted(starts, borders))
@@ -119,8 +131,14 @@ def word_hashes(texts: list[bytes | None], separators: np.ndarray = SPACE, spans
             shift = np.repeat(np.fromiter((o[1] for o in owners), np.int64, len(owners)) - borders[:-1], each)
             all_starts.append(starts + shift)
             all_ends.append(ends + shift)
-    out = (np.concatenate(hashes), counts)
-    return (*out, np.concatenate(all_starts), np.concatenate(all_ends)) if spans else out
+        if endings:
+            all_endings.append(_endings(raw, starts, ends))
+    out = [np.concatenate(hashes), counts]
+    if spans:
+        out += [np.concatenate(all_starts), np.concatenate(all_ends)]
+    if endings:
+        out.append(np.concatenate(all_endings))
+    return tuple(out)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
