@@ -4,7 +4,7 @@ Words are lower-cased (A-Z) runs of digits, letters and non-ASCII characters. A
 a benchmark item; a shorter item is one window. Every word of a text inside an occurrence of a window is hit; hit spans
 that touch or overlap are one removal span.
 
-A shard is a run of documents with about four megabytes of text, inside one task. Words outside the windows' vocabulary
+A shard is a run of documents with about two megabytes of text, inside one task. Words outside the windows' vocabulary
 can be in no match; they become ends of runs, and runs shorter than the shortest window are left out of the index. The
 benchmark goes to the tasks in blocks of ``BLOCK`` (window, item) pairs, so no broadcast grows with it: each further block is
 one more pass of the texts through the same stage, without a shuffle.

@@ -13,7 +13,9 @@ How it stays linear where many documents are alike:
   nearest to what the others have in common, so one comparison per class with its centre joins most of a group. Only
   classes that are still in different components are compared further, and of those only pairs that involve a class
   outside the shingle's largest component.
-* Each pair is compared once: pairs are made distinct and earlier ones are left out.
+* Each pair is compared once: pairs are made distinct and earlier ones are left out. The suffix filter comes first: hash
+  ranges cut both sets into cells, and cells of different size bound the intersection from above. Cell sizes take a
+  thirtieth of the sets' bytes, so whole sets are fetched for few pairs.
 
 Defined results: null, empty and blank texts have the empty set and link with nothing; repeated rows are documents of
 their own; a null id keeps its row and is nobody's smallest id; an empty table gives an empty result; further columns are
@@ -35,9 +37,10 @@ from spineloom.llm import gather
 from spineloom.llm.components import components
 from spineloom.llm.words import mix, sequence_hash, slices, texts_of, windows, word_hashes
 
-SKETCH_BITS = 18
+SKETCH_BITS = 16
 CENTRE_ROUNDS = 2
-PIVOTS = 16
+#: Shingles in a cell of a signature, on average.
+CELL = 4
 MOST_BITMAP_BITS = 1 << 28
 
 
@@ -63,6 +66,24 @@ def _class_of(shingles: np.ndarray) -> int | None:
     return int(mix(np.array([total]))[0] >> np.uint64(1))
 
 
+def _signature(shingles: np.ndarray) -> bytes:
+    """How many shingles are in each hash range, 255 at most, with about CELL in each; ranges halve as sets grow."""
+    bits = max(0, (shingles.size // CELL).bit_length() - 1)
+    cells = np.bincount((shingles >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(cells, 255).astype(np.uint8).tobytes()
+
+
+def _most_shared(left: bytes, right: bytes, both: int) -> int:
+    """An upper bound of the intersection of two sets of ``both`` elements together, from their signatures."""
+    x, y = np.frombuffer(left, np.uint8).astype(np.int64), np.frombuffer(right, np.uint8).astype(np.int64)
+    n = min(x.size, y.size)
+    # A cell that is full may hold more, so cells are only added up where none is.
+    if x.size != y.size and 255 in (x.max(), y.max()):
+        return both // 2
+    apart = np.abs(x.reshape(n, -1).sum(axis=1) - y.reshape(n, -1).sum(axis=1)).sum()
+    return (both - int(apart)) // 2
+
+
 def _bucket(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -79,7 +100,7 @@ def _batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[byt
 
 
 def _described(docs: DataFrame, words: int) -> DataFrame:
-    """Rows (id, n, cls) of documents and, with null n, the slices of each task's sketch."""
+    """Rows (id, n, cls, sig) of documents and, with null n, the slices of each task's sketch."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
@@ -93,16 +114,19 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
                     pa.array(ids, pa.int64()),
                     pa.array([s.size for s in sets], pa.int64()),
                     pa.array([_class_of(s) for s in sets], pa.int64()),
+                    pa.array([_signature(s) if s.size else None for s in sets], pa.binary()),
                     none.cast(pa.int32()),
                     none.cast(pa.binary()),
                 ],
-                ["id", "n", "cls", "slot", "cells"],
+                ["id", "n", "cls", "sig", "slot", "cells"],
             )
         part = gather.part_batch(sketch)
         none = pa.nulls(part.num_rows, pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, *part.columns], ["id", "n", "cls", "slot", "cells"])
+        yield pa.RecordBatch.from_arrays(
+            [none, none, none, pa.nulls(part.num_rows, pa.binary()), *part.columns], ["id", "n", "cls", "sig", "slot", "cells"]
+        )
 
-    return docs.mapInArrow(task, "id long, n long, cls long, slot int, cells binary")
+    return docs.mapInArrow(task, "id long, n long, cls long, sig binary, slot int, cells binary")
 
 
 def _prefixes(docs: DataFrame, sketch, words: int, percent: int, shared=None) -> DataFrame:
@@ -157,7 +181,7 @@ def _held(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _chosen_sets(docs: DataFrame, bitmap, words: int) -> DataFrame:
-    """(cls, shingles) of the documents whose id the bitmap holds, and perhaps a few more."""
+    """(cls, n, shingles) of the documents whose id the bitmap holds, and perhaps a few more."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = bitmap.value
@@ -173,12 +197,30 @@ def _chosen_sets(docs: DataFrame, bitmap, words: int) -> DataFrame:
                     if name is not None and name not in done:
                         done.add(name)
                         found[name] = shingles.tobytes()
+                values = list(found.values())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())],
-                    ["cls", "shingles"],
+                    [
+                        pa.array(list(found), pa.int64()),
+                        pa.array([len(v) // 8 for v in values], pa.int64()),
+                        pa.array(values, pa.binary()),
+                    ],
+                    ["cls", "n", "shingles"],
                 )
 
-    return docs.mapInArrow(task, "cls long, shingles binary")
+    return docs.mapInArrow(task, "cls long, n long, shingles binary")
+
+
+def _chosen_signatures(described: DataFrame, bitmap) -> DataFrame:
+    """(cls, n, sig) of the documents whose id the bitmap holds, and perhaps a few more."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            values = np.asarray(ids.fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+            chosen = _held(bitmap.value, values) | np.asarray(ids.is_null())
+            yield batch.select([1, 2, 3]).filter(pa.array(chosen))
+
+    return described.select("id", "cls", "n", "sig").mapInArrow(task, "cls long, n long, sig binary")
 
 
 def _bitmap(values: DataFrame) -> np.ndarray:
@@ -187,43 +229,64 @@ def _bitmap(values: DataFrame) -> np.ndarray:
     n_bits = 1 << (16 * max(values.count(), 1 << 12)).bit_length()
     n_bits = min(n_bits, MOST_BITMAP_BITS)
 
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(n_bits // 8, np.uint8)
+    slot_bits = n_bits // gather.SLOTS
+
+    def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = np.asarray(batch.column(0).drop_null().to_numpy(zero_copy_only=False), np.int64)
-            byte, bit = _places(own, n_bits)
-            np.bitwise_or.at(bits, byte, np.uint8(1) << bit)
-        yield gather.part_batch(bits)
+            at = (mix(own.view(np.uint64)) & np.uint64(n_bits - 1)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at // slot_bits).astype(np.int32)), pa.array(at)], ["slot", "at"])
 
-    part = values.mapInArrow(task, gather.SCHEMA)
-    return gather.merged(part, np.uint8, np.bitwise_or, np.zeros(n_bits // 8, np.uint8))
+    def filled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slots, at = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for slot in np.unique(slots):
+                own = at[slots == slot] % slot_bits
+                bits = held.setdefault(int(slot), np.zeros(slot_bits // 8, np.uint8))
+                np.bitwise_or.at(bits, own >> 3, np.left_shift(1, own & 7).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.int32()), pa.array([b.tobytes() for b in held.values()], pa.binary())],
+            ["slot", "cells"],
+        )
 
+    places = values.mapInArrow(placed, "slot int, at long").repartition("slot")
+    parts = {row.slot: bytes(row.cells) for row in places.mapInArrow(filled, gather.SCHEMA).collect()}
+    empty = bytes(slot_bits // 8)
+    return np.frombuffer(b"".join(parts.get(slot, empty) for slot in range(gather.SLOTS)), np.uint8)
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs whose sets are similar enough: suffix filter first, then the intersection itself."""
+
+def _with_both(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
+    left = values.select(F.col("cls").alias("a"), F.col(value).alias("left"), F.col("n").alias("n_left"))
+    right = values.select(F.col("cls").alias("b"), F.col(value).alias("right"), F.col("n").alias("n_right"))
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.select("a", "b", "left", "right", (F.col("n_left") + F.col("n_right")).alias("both"))
+
+
+def _kept_pairs(pairs: DataFrame, values: DataFrame, value: str, test) -> DataFrame:
+    """The pairs that ``test(left, right, both)`` lets pass."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots = (np.arange(1, PIVOTS, dtype=np.uint64) << np.uint64(60)) * np.uint64(16 // PIVOTS)
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (left, right) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
-                both = x.size + y.size
-                # 100 * i >= p * (both - i)  <=>  (100 + p) * i >= p * both
-                cells = [np.diff(np.searchsorted(s, pivots), prepend=0, append=s.size) for s in (x, y)]
-                apart = int(np.abs(cells[0] - cells[1]).sum())
-                if (100 + percent) * (both - apart) < 2 * percent * both:
-                    continue
-                shared = both - np.unique(np.concatenate((x, y))).size
-                keep[i] = (100 + percent) * shared >= percent * both
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(a, np.int64)[keep]), pa.array(np.array(b, np.int64)[keep])], ["a", "b"]
-            )
+            rows = zip(*(batch.column(k) for k in (2, 3)), batch.column(4).to_pylist(), strict=True)
+            keep = [test(left.as_buffer(), right.as_buffer(), both) for left, right, both in rows]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return _with_both(pairs, values, value).mapInArrow(task, "a long, b long").distinct()
+
 
-    with_sets = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("left")), "a")
-    with_sets = with_sets.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("right")), "b")
-    return with_sets.select("a", "b", "left", "right").mapInArrow(task, "a long, b long").distinct()
+def _may_link(percent: int):
+    # 100 * i >= p * (both - i)  <=>  (100 + p) * i >= p * both
+    return lambda left, right, both: (100 + percent) * _most_shared(left, right, both) >= percent * both
+
+
+def _links(percent: int):
+    def test(left, right, both: int) -> bool:
+        x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+        shared = both - np.unique(np.concatenate((x, y))).size
+        return (100 + percent) * shared >= percent * both
+
+    return test
 
 
 def _possible(x: str, y: str, percent: int):
@@ -254,26 +317,35 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     path = fresh_path(spark, "jaccard")
 
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
+
     _described(source, words).write.parquet(f"{path}/described")
     described = spark.read.parquet(f"{path}/described")
     counts = described.where("slot is not null").select("slot", "cells")
     sketch = gather.merged(counts, np.uint32, np.add, np.zeros(1 << SKETCH_BITS, np.uint32))
-    described = described.where("slot is null").select("id", "n", "cls")
+    described = described.where("slot is null").select("id", "n", "cls", "sig")
     classes = durable(described.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id")))
 
     sketch = spark.sparkContext.broadcast(sketch)
     tokens = _prefixes(source, sketch, words, percent)
     repeated = durable(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token"))
     shared = spark.sparkContext.broadcast(_bitmap(repeated))
-    prefixes = durable(_prefixes(source, sketch, words, percent, shared))
+    prefixes = stored(_prefixes(source, sketch, words, percent, shared), "prefixes")
     row = F.struct("pos", "n", "cls")
     centre = prefixes.groupBy("token").agg(
         F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.min(row).alias("centre")
     )
-    lists = durable(prefixes.join(centre.where("lo < hi").select("token", "centre"), "token").distinct())
+    lists = stored(prefixes.join(centre.where("lo < hi").select("token", "centre"), "token").distinct(), "lists")
 
     tried, links = [], [spark.createDataFrame([], "a long, b long")]
 
+    def chosen(pairs: DataFrame):
+        """The bitmap of one document for each class of the pairs."""
+        either = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        return spark.sparkContext.broadcast(_bitmap(durable(either.join(classes, "cls").select("id"))))
+
     def compare(pairs: DataFrame) -> None:
         pairs = pairs.where("a != b").distinct()
         for before in tried:
@@ -282,10 +354,12 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         tried.append(pairs)
         if not pairs.take(1):
             return
-        either = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        chosen = spark.sparkContext.broadcast(_bitmap(durable(either.join(classes, "cls").select("id"))))
-        sets = durable(_chosen_sets(source, chosen, words).join(either, "cls", "left_semi"))
-        links.append(durable(_linked(pairs, sets, percent)))
+        signatures = durable(_chosen_signatures(described, chosen(pairs)))
+        alike = durable(_kept_pairs(pairs, signatures, "sig", _may_link(percent)))
+        if not alike.take(1):
+            return
+        sets = stored(_chosen_sets(source, chosen(alike), words), f"sets-{len(tried)}")
+        links.append(durable(_kept_pairs(alike, sets, "shingles", _links(percent))))
 
     rows = lists.select("token", F.struct("cls", "n", "pos").alias("x"), F.col("centre").alias("y"))
     compare(rows.where(_possible("x", "y", percent)).select(*_named("x", "y")))

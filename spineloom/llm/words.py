@@ -164,7 +164,7 @@ def texts_of(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = 4 * PIECE) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, limit: int = 2 * PIECE) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``limit`` bytes of text; a longer text is a run of its own."""
     column = batch.column(batch.schema.get_field_index(text))
     sizes = np.nan_to_num(
