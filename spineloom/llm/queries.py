@@ -14,6 +14,7 @@ from spineloom.llm.decontaminate import find_benchmark
 from spineloom.llm.jaccard_join import jaccard_join
 from spineloom.llm.quality_rules import judged
 from spineloom.llm.ship import ship
+from spineloom.llm.surrogates import surrogates
 from spineloom.llm.url_filter import Rules, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SURROGATE_KEY = "spineloom surrogates"
+
+
+@query
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates(docs, SURROGATE_KEY)
+
+
 def remainder(divisor: int):
     """crc32 of the id written as text, modulo ``divisor``; a null id has remainder 0."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor, F.lit(0))
