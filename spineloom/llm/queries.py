@@ -12,9 +12,11 @@ from spineloom.llm import byte_bpe
 from spineloom.llm.class_ngrams import score
 from spineloom.llm.decontaminate import find_benchmark
 from spineloom.llm.jaccard_join import jaccard_join
+from spineloom.llm.language_id import identify
 from spineloom.llm.quality_rules import judged
 from spineloom.llm.ship import ship
 from spineloom.llm.surrogates import surrogates
+from spineloom.llm.toxicity import toxicity
 from spineloom.llm.url_filter import Rules, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +95,21 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), remainder(4) != 2)
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", predicted)
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify(docs, remainder(4) != 2)
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
