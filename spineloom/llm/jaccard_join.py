@@ -37,7 +37,7 @@ from spineloom.llm import gather
 from spineloom.llm.components import components
 from spineloom.llm.words import mix, sequence_hash, slices, texts_of, windows, word_hashes
 
-SKETCH_BITS = 16
+SKETCH_BITS = 20
 CENTRE_ROUNDS = 2
 #: Shingles in a cell of a signature, on average.
 CELL = 4
