@@ -161,3 +161,11 @@ def judged(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RU
         }
     )
     return df.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
+
+
+def kept_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The judged rows that are kept."""
+    # A filter on the verdict alone would be pushed below the measures with all their expressions written out in it; one
+    # on a row number's side is not, so every measure is computed once.
+    verdict = F.col("kept") & (F.monotonically_increasing_id() >= 0)
+    return judged(docs, text_col, rules).withColumn("__kept", verdict).where("__kept").drop("__kept")

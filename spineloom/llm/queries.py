@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from spineloom.llm import byte_bpe
 from spineloom.llm.class_ngrams import score
 from spineloom.llm.decontaminate import find_benchmark
+from spineloom.llm.html_content import extract
 from spineloom.llm.jaccard_join import jaccard_join
 from spineloom.llm.language_id import identify
 from spineloom.llm.quality_rules import judged
@@ -110,6 +111,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op9_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
