@@ -146,10 +146,11 @@ def _search(df: DataFrame, block: Block, text_col: str) -> DataFrame:
                 depth = np.zeros(hashes.size + 1, np.int64)
                 np.add.at(depth, where, 1)
                 np.add.at(depth, where + block.lengths[window], -1)
+                covered = np.cumsum(depth) > 0
                 owner = np.searchsorted(borders, where, "right") - 1
                 for doc in np.unique(owner):
                     a, b = borders[doc], borders[doc + 1]
-                    hit = np.cumsum(depth[a:b]) > 0
+                    hit = covered[a:b].copy()
                     for old in spans[doc]:
                         hit[old["first"] : old["last"]] = True
                     edges = np.flatnonzero(np.diff(np.concatenate(([0], hit, [0]))))
