@@ -28,8 +28,8 @@ def as_run_date(run_date: str | dt.date) -> dt.date:
 
 
 def calendar(column: Column, dtype: T.DataType) -> Column:
-    """A column usable in date arithmetic: text is cast to DATE, dates and timestamps stay as they are."""
-    return column.cast("date") if isinstance(dtype, T.StringType) else column
+    """A column usable in date arithmetic: text is cast to DATE, NULL if it is none; dates and timestamps stay."""
+    return column.try_cast("date") if isinstance(dtype, T.StringType) else column
 
 
 def numeric(column: Column, dtype: T.DataType) -> Column:
@@ -37,6 +37,17 @@ def numeric(column: Column, dtype: T.DataType) -> Column:
     return column.try_cast("double") if isinstance(dtype, T.StringType) else column
 
 
+def instant(column: Column, dtype: T.DataType) -> Column:
+    """Days since 1970 of a date, microseconds since 1970 of a timestamp, as BIGINT."""
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(dtype, T.TimestampNTZType):
+        seconds = F.hour(column) * 3600 + F.minute(column) * 60
+        inside = seconds.cast("long") * 1_000_000 + (F.extract(F.lit("SECOND"), column) * 1_000_000).cast("long")
+        return F.unix_date(F.to_date(column)).cast("long") * 86_400_000_000 + inside
+    return F.unix_date(column).cast("long")
+
+
 def since(date: Column, run_date: dt.date, days: int) -> Column:
     """Lookback predicate: on or after the date ``days`` before ``run_date``; later dates count too.
 

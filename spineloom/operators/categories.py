@@ -15,10 +15,9 @@ from spineloom.durable import durable
 from spineloom.functions.columns import number_array, text_array
 from spineloom.operators.ranking import running_total
 
-# What one lookup may broadcast: this many of the most frequent categories, and this many bytes.
+# A category with at least one row in so many is hot: its rows meet a broadcast of all hot categories, at most this many
+# by arithmetic. Names are broadcast as two hashes, so the size does not depend on them.
 BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-_ROW_OVERHEAD = 64
 
 # A map up to this size is small enough to be written into the plan as array literals.
 LITERAL_LABELS = 256
@@ -64,10 +63,6 @@ class Attribute:
         """Few and short categories, and all of them text that survives the way through the driver."""
         return self.plain_text and 0 < self.labels <= LITERAL_LABELS and self.labels * self.longest <= LITERAL_BYTES
 
-    def broadcastable(self, max_rows: int, max_bytes: int) -> int:
-        """How many of the most frequent categories are certain to fit the broadcast limits."""
-        return max(1, min(max_rows, max_bytes // (self.longest + _ROW_OVERHEAD)))
-
 
 @dataclass(frozen=True)
 class CategoryMaps:
@@ -156,39 +151,38 @@ def _known(counts: dict[str, int], rows: int) -> Known:
     return Known(categories, [counts[c] / rows for c in categories], [rank[c] for c in categories])
 
 
+def _name(category: Column) -> list[Column]:
+    """128 bits that stand for a category's name, whatever its length."""
+    return [F.xxhash64(category).alias("__name1"), F.xxhash64(F.lit(1), category).alias("__name2")]
+
+
 def look_up(
     df: DataFrame,
     category: str,
     maps: CategoryMaps,
     index: int,
     outputs: dict[str, str],
-    max_rows: int | None = None,
-    max_bytes: int | None = None,
+    one_in: int | None = None,
 ) -> DataFrame:
     """Left-join map columns (``outputs``: map column -> new name) by the category held in column ``category``.
 
-    A small map is a pair of array literals. Otherwise the most frequent categories, as many as the limits allow, are
-    broadcast. If there are more, only the rows that are still unresolved go through a shuffle join; their categories
-    are rarer than every broadcast one, so none of them can dominate a task, and rows without a category never meet on
-    NULL.
+    A small map is a pair of array literals. Otherwise the categories that at least one row in ``one_in`` has are
+    broadcast, which are ``one_in`` at most. Only the rows of rarer categories go through a shuffle join, where none of
+    them can dominate a task, and rows without a category never meet on NULL.
     """
     attribute = maps.attributes[index]
     if attribute.known:
         position = attribute.known.position(F.col(category))
         return df.withColumns({name: attribute.known.value(c, position) for c, name in outputs.items()})
-    top = attribute.broadcastable(max_rows or BROADCAST_ROWS, max_bytes or BROADCAST_BYTES)
     table = maps.map_of(index).where(F.col("category").isNotNull())
-
-    def side(rows: DataFrame, key: str) -> DataFrame:
-        return rows.select(F.col("category").alias(key), *[F.col(c).alias(name) for c, name in outputs.items()])
-
-    if attribute.labels <= top:
-        hot = side(table, "__hot")
-        return df.join(F.broadcast(hot), F.col(category) == F.col("__hot"), "left").drop("__hot")
-
-    hot = side(table.where(F.col("label") < top), "__hot")
-    cold = side(table.where(F.col("label") >= top), "__cold")
-    tried = df.join(F.broadcast(hot), F.col(category) == F.col("__hot"), "left")
+    is_hot = F.col("n") * (one_in or BROADCAST_ROWS) >= attribute.rows
+    columns = [F.col(c).alias(name) for c, name in outputs.items()]
+    hot = table.where(is_hot).select(*_name(F.col("category")), F.lit(True).alias("__hot"), *columns)
+    cold = table.where(~is_hot).select(F.col("category").alias("__cold"), *columns)
+
+    first, second = _name(F.col(category))
+    tried = df.withColumns({"__name1": first, "__name2": second})
+    tried = tried.join(F.broadcast(hot), ["__name1", "__name2"], "left").drop("__name1", "__name2")
     unresolved = F.col("__hot").isNull() & F.col(category).isNotNull()
     resolved = tried.where(~unresolved).drop("__hot")
     rest = (

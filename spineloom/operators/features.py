@@ -6,8 +6,8 @@ hot entity is reduced on the map side like any other.
 
 Spark aggregates by hashing only while every aggregation buffer has a fixed width; a string in one of them turns the
 whole aggregation into a sort of all input rows. The latest category is therefore kept as a number, day and place of
-the category in its (small) map; attributes with many categories, and minima or maxima of text, go into a second,
-narrow aggregation that is joined by entity without moving rows again.
+the category in its (small) map; attributes with many categories, and minima or maxima of text, go into narrow
+aggregations of their own that are joined by entity.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spineloom.functions.columns import as_run_date, calendar, numeric, ref, since
+from spineloom.functions.columns import as_run_date, calendar, instant, numeric, ref, since
 from spineloom.functions.trend import ols_slope
 from spineloom.operators.categories import (
     LITERAL_LABELS,
@@ -31,7 +31,7 @@ from spineloom.operators.categories import (
     fit_categories,
     look_up,
 )
-from spineloom.operators.nulls import Cleaned, compile_nulls
+from spineloom.operators.nulls import Cleaned, compile_all
 from spineloom.recipe import Aggregation, Definition, Encoding, TimeWindow, definitions, distinct_keys
 
 _AGGREGATES = {
@@ -64,12 +64,9 @@ class _Rows:
     def _raw_date(self) -> Column:
         return calendar(self.view.columns[self.date_column], self.view.types[self.date_column])
 
-    @property
-    def by_day(self) -> bool:
-        """Whether the order of rows in time is an order of days (or there is none)."""
-        return self.date_column is None or isinstance(
-            self.view.types[self.date_column], (T.DateType, T.StringType)
-        )
+    def instant(self) -> Column:
+        dtype = self.view.types[self.date_column]
+        return self._input(("instant",), instant(self._raw_date(), dtype))
 
     def kept(self) -> Column | None:
         return None if self.view.keep is None else self._input(("keep",), self.view.keep)
@@ -146,24 +143,39 @@ def time_window_column(feature: TimeWindow, rows: _Rows) -> Column:
     return ols_slope(rows.day_number(feature.lookback), rows.real(feature.source_column), inside)
 
 
-def latest_category(rows: _Rows, name: str) -> Column:
-    """Category of the most recent row that has one; on the same date the alphabetically last; NULL if there is none."""
-    category = rows.category(name)
-    order = [] if rows.date_column is None else [rows.date().alias("date")]
-    named = category.isNotNull()
+def latest_category(
+    df: DataFrame, rows: _Rows, name: str, key: Column, entity_key: str, category_as: str
+) -> DataFrame:
+    """(entity, category) of the most recent row that has one; on the same date the alphabetically last.
+
+    Events are reduced by hashing to one row per entity and category; only those rows are sorted.
+    """
+    named = rows.view.columns[name].isNotNull()
     if rows.view.keep is not None:
-        named = named & rows.kept()
-    return F.max(F.when(named, F.struct(*order, category.alias("category"))))["category"]
+        named = named & rows.view.keep
+    category = as_category(rows.view.columns[name], rows.view.types[name])
+    when = F.lit(0).cast("long")
+    if rows.date_column is not None:
+        when = F.coalesce(instant(rows._raw_date(), rows.view.types[rows.date_column]), F.lit(-(2**63 - 1)))
+    pairs = (
+        df.where(named)
+        .select(key.alias(entity_key), category.alias(category_as), when.alias("__when"))
+        .groupBy(ref(entity_key), category_as)
+        .agg(F.max("__when").alias("__when"))
+    )
+    latest = F.max(F.struct("__when", category_as))[category_as]
+    return pairs.groupBy(ref(entity_key)).agg(latest.alias(category_as))
 
 
 def latest_position(rows: _Rows, name: str, known: Known) -> Column:
     """The place of the latest category in a small map, by the same rule, from a maximum over plain numbers."""
     place = known.position(rows.category(name))
     if rows.date_column is not None:
-        # Rows without a date come before every dated one.
-        day = F.coalesce(F.unix_date(rows.date()), F.lit(-(2**31))).cast("long")
-        place = day * (2 * LITERAL_LABELS) + place
-    return F.pmod(F.max(_where(rows.kept(), place)), F.lit(2 * LITERAL_LABELS))
+        # Rows without a date come before every dated one. A decimal of fixed width holds any instant and place, and
+        # its maximum is still taken by hashing.
+        when = F.coalesce(rows.instant(), F.lit(-(2**63 - 1))).cast("decimal(20,0)")
+        place = (when * (2 * LITERAL_LABELS) + place).cast("decimal(38,0)")
+    return F.pmod(F.max(_where(rows.kept(), place)), F.lit(2 * LITERAL_LABELS)).cast("long")
 
 
 def present(feature: Aggregation | Encoding | TimeWindow, view: Cleaned) -> bool:
@@ -215,7 +227,7 @@ def _aggregate(
     sorted_: dict[str, Column] = {}
     encodings: dict[str, tuple[Encoding, int]] = {}
     helpers: dict[str, Column] = {}
-    categories: dict[int, Column] = {}
+    categories: dict[int, DataFrame] = {}
     for view_id, recipe, rows in members:
         for feature in recipe.features:
             if not present(feature, rows.view):
@@ -230,12 +242,14 @@ def _aggregate(
                 i = attribute_of[view_id, feature.source_column]
                 encodings[feature.name] = (feature, i)
                 known = maps.attributes[i].known
-                if known and rows.by_day:
+                if known:
                     place = latest_position(rows, feature.source_column, known)
                     helpers[f"__share{i}"] = known.value("share", place)
                     helpers[f"__label{i}"] = known.value("label", place)
                 else:
-                    categories[i] = latest_category(rows, feature.source_column)
+                    categories[i] = latest_category(
+                        df, rows, feature.source_column, key, entity_key, f"__category{i}"
+                    )
                 if rows.view.keep is not None:
                     helpers[f"__seen{i}"] = F.bool_or(rows.kept())
 
@@ -251,13 +265,17 @@ def _aggregate(
         return [F.when(entity.isNotNull(), column).alias(name) for name, column in features.items()]
 
     wide_part = owned(hashed) + [column.alias(name) for name, column in helpers.items()]
-    narrow_part = owned(sorted_) + [column.alias(f"__category{i}") for i, column in categories.items()]
+    narrow_part = owned(sorted_)
     if wide_part and narrow_part:
         wide = grouped.agg(*wide_part).join(grouped.agg(*narrow_part), entity_key, "left")
-    else:
+    elif wide_part or narrow_part:
         wide = grouped.agg(*wide_part, *narrow_part)
-    for i in categories:
-        wide = look_up(wide, f"__category{i}", maps, i, {"share": f"__share{i}", "label": f"__label{i}"})
+    else:
+        wide = df.select(key.alias(entity_key)).distinct()
+    # Each attribute is looked up by itself and joined by entity, so the plan grows by the same amount for each.
+    for i, latest in categories.items():
+        found = look_up(latest, f"__category{i}", maps, i, {"share": f"__share{i}", "label": f"__label{i}"})
+        wide = wide.join(found, entity_key, "left")
 
     def finished(name: str) -> Column:
         if name not in encodings:
@@ -309,11 +327,10 @@ def entity_features(
 
     views: dict[tuple, tuple[int, _Rows]] = {}
     members: list[tuple[int, Definition, _Rows]] = []
+    chains = list(dict.fromkeys(recipe.null_handlers for recipe in recipes))
+    for i, (chain, view) in enumerate(zip(chains, compile_all(df, chains, exact_median), strict=True)):
+        views[chain] = (i, _Rows(view, date_column, day, cap_at_run_date, f"__in{i}_"))
     for recipe in recipes:
-        if recipe.null_handlers not in views:
-            view = compile_nulls(df, recipe.null_handlers, exact_median)
-            rows = _Rows(view, date_column, day, cap_at_run_date, f"__in{len(views)}_")
-            views[recipe.null_handlers] = (len(views), rows)
         view_id, rows = views[recipe.null_handlers]
         members.append((view_id, recipe, rows))
 

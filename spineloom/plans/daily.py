@@ -34,6 +34,7 @@ def run_daily(spark: SparkSession, settings: Settings, specs: Iterable[Mapping |
         settings.input_format,
         run_date=settings.run_date,
         lookback_days=settings.lookback_days,
+        schema=settings.schema,
         min_row_count=settings.min_row_count,
     )
     quality_gate(
@@ -41,6 +42,8 @@ def run_daily(spark: SparkSession, settings: Settings, specs: Iterable[Mapping |
         settings.entity_key,
         settings.date_column,
         settings.max_null_rate,
+        required=settings.required,
+        expected_types=settings.expected_types,
         pipeline_name=settings.pipeline_name,
     )
     features = assemble_features(

@@ -28,6 +28,11 @@ INPUT_FORMATS = ("csv", "parquet")
 DEFAULT_LOOKBACK = {"rolling_mean": 7, "rolling_slope": 30}
 
 
+#: Columns that the feature store adds, and the start of the names of helper columns.
+RESERVED = ("date", "entity_type")
+HELPERS = "__"
+
+
 def _one_of(value: str, allowed: tuple[str, ...], what: str) -> None:
     if value not in allowed:
         raise ValueError(f"{what} must be one of {', '.join(allowed)}; got {value!r}")
@@ -134,6 +139,9 @@ class Settings:
     max_null_rate: float = 0.05
     min_row_count: int = 1
     lookback_days: int | None = None
+    schema: str | None = None
+    required: tuple[str, ...] = ()
+    expected_types: Mapping[str, str] | None = None
 
     def __post_init__(self):
         distinct_keys(self.entity_key, self.date_column)
@@ -181,5 +189,7 @@ def definitions(specs: Iterable[Mapping | Definition], entity_key: str) -> tuple
     for feature in (f for d in parsed for f in d.features):
         if feature.name.lower() in seen:
             raise ValueError(f"feature name {feature.name!r} is used more than once")
+        if feature.name.lower() in RESERVED or feature.name.startswith(HELPERS):
+            raise ValueError(f"feature name {feature.name!r} is reserved")
         seen.add(feature.name.lower())
     return parsed

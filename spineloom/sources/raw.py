@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +17,6 @@ PARTITION = "date"
 # Fixed value: the wording of the row gate's error.
 TOO_FEW_ROWS = "Ingested {} rows from {!r}; minimum required is {}."
 
-# Up to this many required rows the gate reads just that many; beyond it counts the table.
-_TAKE_LIMIT = 10_000
-
 
 def read_raw(
     spark: SparkSession,
@@ -31,8 +29,8 @@ def read_raw(
 ) -> DataFrame:
     """Read one day, a lookback range of days, or (without ``run_date``) the whole table; the date column stays.
 
-    One day is addressed by its own directory, so neither listing nor CSV schema inference touches other days. A range
-    is a filter on the partition column, which prunes partitions. Pass ``schema`` to spare CSV input the inference
+    One day is addressed by its own directory, a range by the directories of its days that exist, so neither listing nor
+    CSV schema inference touches other days. Pass ``schema`` to spare CSV input the inference
     pass. Raises ``ValueError`` if there are fewer than ``min_row_count`` rows.
     """
     if input_format not in INPUT_FORMATS:
@@ -55,7 +53,15 @@ def read_raw(
         last = as_run_date(run_date)
         first = last - dt.timedelta(days=lookback_days)
         origin = f"{base} from {first} to {last}"
-        df = load(base).where(F.col(PARTITION).between(F.lit(first), F.lit(last)))
+        # A pattern of all its days matches those that are there.
+        days = ",".join((first + dt.timedelta(days=k)).isoformat() for k in range(lookback_days + 1))
+        reader.option("basePath", base)
+        try:
+            df = load(f"{base}/{PARTITION}={{{days}}}")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            df = load(base).where(F.lit(False))
     return require_rows(df, min_row_count, origin)
 
 
@@ -63,10 +69,7 @@ def require_rows(df: DataFrame, min_row_count: int, origin: str = "the input") -
     """Return ``df`` unchanged, or raise ``ValueError`` if it has fewer than ``min_row_count`` rows."""
     if min_row_count <= 0:
         return df
-    if min_row_count <= _TAKE_LIMIT:
-        found = len(df.select(F.lit(1)).take(min_row_count))
-    else:
-        found = df.count()
+    found = df.limit(min_row_count).count()
     if found < min_row_count:
         raise ValueError(TOO_FEW_ROWS.format(found, origin, min_row_count))
     return df

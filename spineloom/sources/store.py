@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spineloom.functions.columns import as_run_date
+from spineloom.recipe import RESERVED
+
+# Fixed value: the characters that Spark percent-encodes in the names of partition directories.
+_ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(1, 32))))
 
 
 class Written(NamedTuple):
@@ -16,32 +20,47 @@ class Written(NamedTuple):
     rows: int
 
 
+def _type_path(root: str, entity_type: str) -> str:
+    name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in entity_type)
+    return f"{root.rstrip('/')}/entity_type={name}"
+
+
 def write_features(df: DataFrame, root: str, entity_type: str, run_date: str | dt.date) -> Written:
-    """Write one run below ``root/entity_type=.../date=...`` and return that path and the row count.
+    """Write one run to ``root/entity_type=.../date=...`` and return that path and the row count.
 
-    Only the partition of this run is replaced, so a rerun is idempotent and other days stay. The count is observed
-    while writing: the plan is executed once.
+    The run's directory is overwritten, also by a run without rows, so a rerun is idempotent and other days stay. The
+    count is observed while writing: the plan is executed once.
     """
-    day = as_run_date(run_date)
+    if clashing := [c for c in df.columns if c.lower() in RESERVED]:
+        raise ValueError(f"the store keeps these columns in its directories: {', '.join(clashing)}")
+    path = f"{_type_path(root, entity_type)}/date={as_run_date(run_date).isoformat()}"
     counted = Observation()
-    (
-        df.withColumns({"entity_type": F.lit(entity_type), "date": F.lit(day)})
-        .observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("entity_type", "date")
-        .parquet(root)
-    )
-    return Written(f"{root.rstrip('/')}/entity_type={entity_type}/date={day.isoformat()}", counted.get["rows"])
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return Written(path, counted.get["rows"])
 
 
 def read_features(
     spark: SparkSession, root: str, entity_type: str | None = None, run_date: str | dt.date | None = None
 ) -> DataFrame:
-    """Read the store; entity type and date are partition filters, so only the matching directories are scanned."""
-    df = spark.read.parquet(root)
-    if entity_type is not None:
-        df = df.where(F.col("entity_type") == entity_type)
-    if run_date is not None:
-        df = df.where(F.col("date") == F.lit(as_run_date(run_date)))
-    return df
+    """Read the store with ``entity_type`` (STRING) and ``date`` (DATE) after the features.
+
+    An entity type is read from its own directory and has its own columns; over several days the columns of all of
+    them. Without an entity type the columns of all types are united.
+    """
+    day = None if run_date is None else as_run_date(run_date)
+    if entity_type is None:
+        merged = spark.read.option("mergeSchema", True).parquet(root).schema
+        # Given types keep a directory name as it is: entity type 007 is text.
+        features = [f"`{f.name}` {f.dataType.simpleString()}" for f in merged.fields if f.name not in RESERVED]
+        df = spark.read.schema(", ".join([*features, "entity_type string", "date date"])).parquet(root)
+        return df if day is None else df.where(F.col("date") == F.lit(day))
+    path = _type_path(root, entity_type)
+    if day is None:
+        df = spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
+        date = F.col("date").cast("date")
+    else:
+        path = f"{path}/date={day.isoformat()}"
+        df = spark.read.option("basePath", path).parquet(path)
+        date = F.lit(day)
+    features = [c for c in df.columns if c != "date"]
+    return df.select(*[df[f"`{c}`"] for c in features], F.lit(entity_type).alias("entity_type"), date.alias("date"))

@@ -161,10 +161,17 @@ def test_categories_that_are_no_valid_text(spark):
     assert codes(df.where("customer_id = 'c'"), enc("label", "t", "label")) == {"c": 0.0}
 
 
-def test_byte_limit_bounds_the_broadcast():
-    attribute = categories.Attribute(labels=10, rows=100, longest=936)
-    assert attribute.broadcastable(100_000, 1_000_000) == 1000
-    assert attribute.broadcastable(10, 1_000_000) == 10
+def test_one_long_name_leaves_the_next_hot_category_broadcast(spark, monkeypatch):
+    """A second category with a third of the rows is found by the broadcast, however long another name is."""
+    rows = [("a" * 200_000, i) for i in range(50)] + [("next", i) for i in range(35)] + [(f"rare{i}", i) for i in range(15)]
+    df = spark.createDataFrame(rows, "t string, customer_id int")
+    monkeypatch.setattr(categories, "LITERAL_LABELS", 0)
+    maps = categories.fit_categories(df, [categories.Source(F.col("t"))])
+    looked = categories.look_up(df, "t", maps, 0, {"n": "n"}, one_in=20)
+    assert {(r["t"][:5], r["n"]) for r in looked.collect()} == {("aaaaa", 50), ("next", 35)} | {(f"rare{i}"[:5], 1) for i in range(15)}
+    # The shuffled side of the join holds the rare rows only.
+    cold = maps.map_of(0).where((F.col("n") * 20 < 100) & F.col("category").isNotNull())
+    assert {r["category"] for r in cold.collect()} == {f"rare{i}" for i in range(15)}
 
 
 def test_several_encodings_keep_one_row_per_entity(skewed):
