@@ -164,26 +164,74 @@ def assemble_dropped_entities(spark, sf_dir):
     return sl.assemble_features(orders_gaps(spark, sf_dir), [spec], "o_custkey", "order_date", ORDERS_RUN_DATE)
 
 
+@check(
+    "assemble_timestamp_column",
+    with_views(
+        joined("evt_gaps", "user_id", ACTIVITY_PARTS + SPEND_PARTS),
+        "evt_gaps",
+        activity=ACTIVITY_VIEW,
+        spend=SPEND_VIEW,
+        activity_ts=ACTIVITY_VIEW.replace("event_date,", "ts AS event_date,"),
+        spend_ts=SPEND_VIEW.replace("event_date,", "ts AS event_date,"),
+        activity_type=_coded("activity_ts", "event_type"),
+        activity_props=_coded("activity_ts", "props"),
+        spend_type=_coded("spend_ts", "event_type"),
+    ),
+)
+def assemble_timestamp_column(spark, sf_dir):
+    """The date column is the event's timestamp: still one scan, and the latest category is that of the last instant."""
+    df = events_gaps(spark, sf_dir)
+    definitions = [ACTIVITY, SPEND]
+    return tidy(sl.assemble_features(df, definitions, "user_id", "ts", EVENTS_RUN_DATE, exact_median=True))
+
+
 @check(
     "store_roundtrip",
-    assembled_sql(SPEND_PARTS, ", 'user' AS entity_type, '2024-01-31' AS \"date\"")
-    + " UNION ALL "
-    + f"(SELECT o_custkey, {', '.join(['NULL'] * len(SPEND_PARTS))}, 'customer', '2001-08-02' FROM"
-    " (SELECT DISTINCT o_custkey FROM orders))",
+    f"SELECT 'user' AS entity_type, '2024-01-31' AS \"date\", user_id AS entity, spend_7d AS value FROM ({assembled_sql(SPEND_PARTS)})"
+    " UNION ALL SELECT 'customer', '2001-08-02', o_custkey, CAST(COUNT(*) AS DOUBLE) FROM orders GROUP BY o_custkey",
 )
 def store_roundtrip(spark, sf_dir):
-    """Write two partitions, rerun one of them, read the whole store back."""
+    """Two entity types with columns of their own; one partition is written twice; each type is read back."""
     root = fresh_path(spark, "store")
     features = assemble(spark, sf_dir, [SPEND])
-    customers = sl.entity_spine(table(spark, sf_dir, "orders"), "o_custkey").withColumnRenamed("o_custkey", "user_id")
+    spec = agg("n_orders", "o_orderkey", "count")
+    customers = sl.aggregate_features(orders_gaps(spark, sf_dir), [spec], "o_custkey", "order_date", ORDERS_RUN_DATE)
     sl.write_features(customers, root, "customer", ORDERS_RUN_DATE)
-    stale = features.withColumn("spend_7d", F.lit(-1.0))
-    sl.write_features(stale, root, "user", EVENTS_RUN_DATE)
+    sl.write_features(features.withColumn("spend_7d", F.lit(-1.0)), root, "user", EVENTS_RUN_DATE)
     sl.write_features(features, root, "user", EVENTS_RUN_DATE)
-    stored = spark.read.schema(
-        features.withColumns({"entity_type": F.lit(""), "date": F.lit(dt.date(2024, 1, 31))}).schema
-    ).parquet(root)
-    return tidy(stored.withColumn("date", F.col("date").cast("string")))
+    users = sl.read_features(spark, root, "user")
+    users = tidy(users.select("entity_type", "date", F.col("user_id").cast("bigint").alias("entity"), F.col("spend_7d").alias("value")))
+    counts = sl.read_features(spark, root, "customer", ORDERS_RUN_DATE).select(
+        "entity_type", "date", F.col("o_custkey").cast("bigint").alias("entity"), F.col("n_orders").cast("double").alias("value")
+    )
+    return users.union(counts).withColumn("date", F.col("date").cast("string"))
+
+
+@check(
+    "store_added_feature",
+    """SELECT user_id, '2024-01-30' AS "date", CAST(NULL AS BIGINT) AS n FROM (SELECT DISTINCT user_id FROM events)
+    UNION ALL SELECT user_id, '2024-01-31', COUNT(*) FROM events GROUP BY user_id""",
+)
+def store_added_feature(spark, sf_dir):
+    """The second day's recipe has one feature more; both days are read together."""
+    root = fresh_path(spark, "store")
+    df = events_gaps(spark, sf_dir)
+    counted = sl.aggregate_features(df, [agg("n", "event_id", "count")], "user_id", "event_date", EVENTS_RUN_DATE)
+    sl.write_features(sl.entity_spine(df, "user_id"), root, "user", "2024-01-30")
+    sl.write_features(counted, root, "user", EVENTS_RUN_DATE)
+    stored = sl.read_features(spark, root, "user")
+    return stored.select("user_id", F.col("date").cast("string").alias("date"), "n")
+
+
+@check("store_empty_rerun", "SELECT DISTINCT user_id, '2024-01-30' AS \"date\" FROM events")
+def store_empty_rerun(spark, sf_dir):
+    """A rerun without rows clears its own day and no other."""
+    root = fresh_path(spark, "store")
+    users = sl.entity_spine(events_gaps(spark, sf_dir), "user_id")
+    sl.write_features(users, root, "user", "2024-01-30")
+    sl.write_features(users, root, "user", EVENTS_RUN_DATE)
+    sl.write_features(users.where("user_id IS NULL"), root, "user", EVENTS_RUN_DATE)
+    return sl.read_features(spark, root, "user").select("user_id", F.col("date").cast("string").alias("date"))
 
 
 def _raw(spark, sf_dir: str) -> str:

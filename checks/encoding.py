@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import spineloom as sl
-from checks.fixtures import check, events_gaps, events_holes, orders_gaps, table, tidy, with_views
+from checks.fixtures import check, events_gaps, events_holes, orders_gaps, shipments, table, tidy, with_views
 
 
 def map_sql(view: str, column: str) -> str:
@@ -200,3 +200,47 @@ def enc_timestamp_order(spark, sf_dir):
     """With a timestamp as date column the latest event is exact to the microsecond."""
     spec = encoding("type_label", "event_type", "label")
     return sl.encode_entities(events_gaps(spark, sf_dir), [spec], "user_id", "ts")
+
+
+@check(
+    "enc_label_row_large",
+    f"SELECT l.l_orderkey, m.label AS part_label FROM lineitem l JOIN ({map_sql('lineitem', 'l_partkey::VARCHAR')}) m"
+    " ON l.l_partkey::VARCHAR = m.category",
+)
+def enc_label_row_large(spark, sf_dir):
+    """Far more categories than a literal map holds."""
+    return sl.encode_rows(table(spark, sf_dir, "lineitem"), encoding("part_label", "l_partkey", "label"), "l_orderkey")
+
+
+@check(
+    "enc_frequency_long_names",
+    f"SELECT d.doc_id, ROUND(m.share, 8) AS text_share FROM documents d JOIN ({map_sql('documents', 'text')}) m"
+    " ON d.text = m.category",
+)
+def enc_frequency_long_names(spark, sf_dir):
+    """Whole texts as categories: their names are never broadcast."""
+    spec = encoding("text_share", "text", "frequency")
+    return tidy(sl.encode_rows(table(spark, sf_dir, "documents"), spec, "doc_id"))
+
+
+@check(
+    "enc_multi_entity_large",
+    with_views(
+        """SELECT p.l_suppkey, mp.label AS part_label, mo.label AS order_label, ROUND(md.share, 8) AS day_share
+        FROM lp p JOIN lo o ON p.l_suppkey = o.l_suppkey JOIN ld d ON p.l_suppkey = d.l_suppkey
+            JOIN mp ON p.category = mp.category JOIN mo ON o.category = mo.category JOIN md ON d.category = md.category""",
+        "ship",
+        texts="""SELECT l_suppkey, ship_date, CAST(l_partkey AS VARCHAR) AS part, CAST(l_orderkey AS VARCHAR) AS ord,
+            CAST(ship_date AS VARCHAR) AS day FROM ship""",
+        **{f"m{c[0]}": map_sql("texts", c) for c in ("part", "ord", "day")},
+        **{f"l{c[0]}": latest_sql("texts", "l_suppkey", "ship_date", c) for c in ("part", "ord", "day")},
+    ),
+)
+def enc_multi_entity_large(spark, sf_dir):
+    """Three attributes of many categories each."""
+    specs = [
+        encoding("part_label", "l_partkey", "label"),
+        encoding("order_label", "l_orderkey", "label"),
+        encoding("day_share", "ship_date", "frequency"),
+    ]
+    return tidy(sl.encode_entities(shipments(spark, sf_dir), specs, "l_suppkey", "ship_date"))

@@ -80,6 +80,13 @@ def scan_lookback(spark, sf_dir):
     return event_row(sl.read_raw(spark, path, run_date="2024-01-20", lookback_days=7))
 
 
+@check("scan_lookback_csv", f"{EVENT_SQL} WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-20' - 7 AND DATE '2024-01-20'")
+def scan_lookback_csv(spark, sf_dir):
+    """Only the directories of the eight days are listed, and their files alone decide on the types."""
+    path = partitioned_events(spark, sf_dir, "csv")
+    return event_row(sl.read_raw(spark, path, "csv", run_date="2024-01-20", lookback_days=7))
+
+
 @check(
     "ingest_row_gate",
     """SELECT l_orderkey, l_linenumber, l_quantity, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_date

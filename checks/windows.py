@@ -305,3 +305,22 @@ def tw_future_rows(spark, sf_dir):
 def tw_capped(spark, sf_dir):
     specs = [time("mean_7d", "value", "rolling_mean", 7), time("slope_7d", "value", "rolling_slope", 7)]
     return times(events_gaps(spark, sf_dir), specs, MID_RUN_DATE, cap_at_run_date=True)
+
+
+@check(
+    "agg_text_date",
+    joined(
+        "events",
+        "user_id",
+        [
+            Part("value_all", "SUM(value)", "events"),
+            Part("value_7d", "SUM(value)", "dated", "d >= DATE '2024-01-31' - 7"),
+        ],
+    ).replace("FROM dated", "FROM (SELECT *, CASE WHEN event_type <> 'click' THEN CAST(ts AS DATE) END AS d FROM events)"),
+)
+def agg_text_date(spark, sf_dir):
+    """Dates as text; those of clicks are malformed, so these rows count as undated."""
+    text = F.date_format("ts", "yyyy-MM-dd")
+    df = events(spark, sf_dir).withColumn("event_date", F.when(F.col("event_type") == "click", F.concat(F.lit("on "), text)).otherwise(text))
+    specs = [agg("value_all", "value", "sum"), agg("value_7d", "value", "sum", 7)]
+    return event_aggregates(df, specs)

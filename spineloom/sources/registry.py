@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from spineloom.functions.columns import as_run_date
 from spineloom.recipe import Aggregation, Definition, Encoding, TimeWindow, definition
 
+# Fixed value: the layout of a catalogue entry.
 ENTRY = T.StructType(
     [
         T.StructField("pipeline_name", T.StringType(), False),

@@ -15,8 +15,9 @@ def enc(name, column, method):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    rows = [("c1", "premium"), ("c2", "basic"), ("c3", "premium"), ("c4", "basic"), ("c5", "enterprise")]
-    return spark.createDataFrame(rows, "customer_id string, plan_type string")
+    """Eight shops: four sell bread, three fish, one tea."""
+    goods = ["fish", "bread", "bread", "tea", "fish", "bread", "fish", "bread"]
+    return spark.createDataFrame([(f"shop{i}", g) for i, g in enumerate(goods)], "customer_id string, plan_type string")
 
 
 def codes(df, *specs, date=None, **options):
@@ -27,19 +28,22 @@ def codes(df, *specs, date=None, **options):
 def test_frequencies_sum_to_one(plans):
     assert sl.category_map(plans, "plan_type").agg(F.sum("share")).first()[0] == pytest.approx(1.0)
     share = codes(plans, enc("f", "plan_type", "frequency"))
-    assert share == {"c1": 0.4, "c2": 0.4, "c3": 0.4, "c4": 0.4, "c5": 0.2}
+    assert [share[f"shop{i}"] for i in range(5)] == [0.375, 0.5, 0.5, 0.125, 0.375]
 
 
 def test_labels_by_frequency_then_name(plans):
     got = sl.encode_entities(plans, [enc("label", "plan_type", "label")], "customer_id")
     assert dict(got.dtypes)["label"] == "double"
-    assert {r[0]: r[1] for r in got.collect()} == {"c1": 1.0, "c2": 0.0, "c3": 1.0, "c4": 0.0, "c5": 2.0}
+    assert [r[1] for r in got.orderBy("customer_id").collect()] == [1.0, 0.0, 0.0, 2.0, 1.0, 0.0, 1.0, 0.0]
+    # Of two goods sold equally often, the name decides.
+    tied = got.sparkSession.createDataFrame([("a", "yarn"), ("b", "wool")], "customer_id string, plan_type string")
+    assert codes(tied, enc("label", "plan_type", "label")) == {"a": 1.0, "b": 0.0}
 
 
 def test_one_hot_has_a_slot_for_the_unknown(plans):
     got = codes(plans, enc("hot", "plan_type", "onehot"))
-    assert got["c1"] == [0.0, 1.0, 0.0, 0.0]
-    assert got["c5"] == [0.0, 0.0, 1.0, 0.0]
+    assert got["shop0"] == [0.0, 1.0, 0.0, 0.0]
+    assert got["shop1"] == [1.0, 0.0, 0.0, 0.0]
 
 
 def test_one_hot_vector(spark, plans):
@@ -47,8 +51,8 @@ def test_one_hot_vector(spark, plans):
     assert dict(got.dtypes)["hot"] == "vector"
     assert got.columns == ["customer_id", "hot", "f"]
     rows = {r["customer_id"]: r["hot"] for r in got.collect()}
-    assert rows["c5"].size == 4
-    assert list(rows["c5"].indices) == [2]
+    assert rows["shop3"].size == 4
+    assert list(rows["shop3"].indices) == [2]
     with pytest.raises(ValueError, match="onehot"):
         sl.encode_entities(plans, [enc("hot", "plan_type", "onehot")], "customer_id", onehot="dense")
 

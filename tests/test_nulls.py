@@ -25,30 +25,32 @@ def column(df, name, key="customer_id"):
 
 @pytest.fixture(scope="module")
 def gaps(spark):
-    rows = [("c1", 100.0, "basic"), ("c2", None, "premium"), ("c3", 50.0, None), ("c4", None, None)]
+    """Five hikers; two lack a distance, one a route."""
+    rows = [("ann", 12.5, "ridge"), ("bo", None, "lake"), ("cy", 3.0, None), ("di", 21.0, "ridge"), ("ed", None, "lake")]
+    rows += [("flo", 8.0, "lake")]
     return spark.createDataFrame(rows, "customer_id string, amount double, plan string")
 
 
 def test_fill(gaps):
-    got = clean(gaps, {"column": "plan", "strategy": "fill", "fill_value": "unknown"})
-    assert column(got, "plan") == {"c1": "basic", "c2": "premium", "c3": "unknown", "c4": "unknown"}
+    got = clean(gaps, {"column": "plan", "strategy": "fill", "fill_value": "off road"})
+    assert column(got, "plan") == column(gaps, "plan") | {"cy": "off road"}
     assert got.columns == gaps.columns
 
 
 @pytest.mark.parametrize("exact", [True, False])
 def test_median_is_the_lower_middle_value(gaps, exact):
     got = clean(gaps, {"column": "amount", "strategy": "median_impute"}, exact_median=exact)
-    assert column(got, "amount") == {"c1": 100.0, "c2": 50.0, "c3": 50.0, "c4": 50.0}
+    assert column(got, "amount") == column(gaps, "amount") | {"bo": 8.0, "ed": 8.0}
 
 
 def test_drop(gaps):
-    assert set(column(clean(gaps, {"column": "amount", "strategy": "drop"}), "amount")) == {"c1", "c3"}
+    assert set(column(clean(gaps, {"column": "amount", "strategy": "drop"}), "amount")) == {"ann", "cy", "di", "flo"}
 
 
 @pytest.mark.parametrize("strategy", ["fill", "median_impute"])
 def test_indicator(gaps, strategy):
     got = clean(gaps, {"column": "amount", "strategy": strategy, "fill_value": 0, "add_indicator": True})
-    assert column(got, "amount_was_null") == {"c1": 0, "c2": 1, "c3": 0, "c4": 1}
+    assert {k for k, flag in column(got, "amount_was_null").items() if flag} == {"bo", "ed"}
     assert dict(got.dtypes)["amount_was_null"] == "int"
 
 
@@ -197,3 +199,37 @@ def test_dropped_entities_stay_without_features(spark):
     spec["time_windows"][0]["source_column"] = "event_date"
     got = sl.assemble_features(df, [spec], "customer_id", "event_date", RUN)
     assert sorted(got.collect()) == [("a", 1, 0.0, 1.0, 1), ("b", None, None, None, None)]
+
+
+@pytest.mark.parametrize(
+    ("dtype", "good", "bad"),
+    [
+        ("date", "2024-02-29", "unknown"),
+        ("timestamp", "2024-02-29 10:00:00", "noon"),
+        ("int", "7", "1.5"),
+        ("int", 2**31 - 1, 2**31),
+        ("bigint", -(2**63), 2**63),
+        ("tinyint", 127, 128),
+        ("boolean", "yes", "perhaps"),
+        ("decimal(4,2)", 99.99, 100),
+        ("double", "1e9", "many"),
+    ],
+)
+def test_fills_are_checked_for_every_type(spark, dtype, good, bad):
+    df = spark.sql(f"select 1 as id, cast(null as {dtype}) as x")
+    fill = {"column": "x", "strategy": "fill"}
+    assert clean(df, {**fill, "fill_value": good}).first()["x"] is not None
+    with pytest.raises(ValueError, match="does not fit"):
+        clean(df, {**fill, "fill_value": bad})
+
+
+def test_medians_of_several_definitions_take_one_pass(spark, monkeypatch):
+    passes = []
+    fit = nulls.approximate_medians
+    monkeypatch.setattr(nulls, "approximate_medians", lambda df, values: passes.append(list(values)) or fit(df, values))
+    df = spark.createDataFrame([(1, 1.0, None), (2, None, 4.0), (3, 5.0, 6.0)], "id int, x double, y double")
+    chains = [rules({"column": c, "strategy": "median_impute"}) for c in ("x", "y", "x")]
+    first, second, third = nulls.compile_all(df, chains)
+    assert passes == [["x", "y", "x of chain 2"]]
+    values = df.select(first.columns["x"].alias("a"), second.columns["y"].alias("b"), third.columns["x"].alias("c")).collect()
+    assert [tuple(r) for r in values] == [(1.0, 4.0, 1.0), (1.0, 4.0, 1.0), (5.0, 6.0, 5.0)]

@@ -43,12 +43,11 @@ def test_all_days_and_lookback(spark, raw):
     assert len(recent.inputFiles()) <= len(sl.read_raw(spark, path, kind).inputFiles())
 
 
-def test_lookback_prunes_partitions(spark, tmp_path):
+def test_lookback_reads_the_files_of_its_days(spark, tmp_path):
     path = str(tmp_path / "raw")
     events(spark).withColumn("date", F.col("event_date")).write.partitionBy("date").parquet(path)
     df = sl.read_raw(spark, path, run_date="2024-01-05", lookback_days=3)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan
+    assert {f.split("date=")[1][:10] for f in df.inputFiles()} == {"2024-01-02", "2024-01-05"}
 
 
 def test_absent_day_is_an_error(spark, raw):
@@ -95,10 +94,61 @@ def test_rerun_replaces_only_its_partition(spark, tmp_path):
     assert spark.read.parquet(again.path).columns == df.columns
 
 
-def test_partition_columns_replace_columns_of_that_name(spark, tmp_path):
+def test_names_of_partition_columns_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="directories: Date"):
+        sl.write_features(events(spark).withColumn("Date", F.lit("other")), str(tmp_path), "customer", "2024-01-01")
+    for name in ("date", "Entity_Type", "__in0"):
+        spec = {"entity_type": "e", "aggregations": [{"name": name, "source_column": "amount", "function": "sum"}]}
+        with pytest.raises(ValueError, match="reserved"):
+            sl.aggregate_features(events(spark), spec["aggregations"], "customer_id", "event_date", "2024-01-05")
+
+
+def test_each_entity_type_has_its_own_columns(spark, tmp_path):
+    root = str(tmp_path / "store")
+    sl.write_features(spark.createDataFrame([("a", 1.5)], "customer_id string, spend double"), root, "customer", "2024-01-01")
+    for name in ("user", "007", "a/b=c"):
+        df = spark.createDataFrame([(7, name)], "user_id int, tag string")
+        written = sl.write_features(df, root, name, "2024-01-01")
+        assert spark.read.parquet(written.path).count() == 1
+        for found in (sl.read_features(spark, root, name), sl.read_features(spark, root, name, "2024-01-01")):
+            assert found.columns == ["user_id", "tag", "entity_type", "date"]
+            assert [tuple(r) for r in found.collect()] == [(7, name, name, dt.date(2024, 1, 1))]
+    everything = sl.read_features(spark, root)
+    assert {r["entity_type"] for r in everything.collect()} == {"customer", "user", "007", "a/b=c"}
+    assert set(everything.columns) == {"customer_id", "spend", "user_id", "tag", "entity_type", "date"}
+
+
+def test_added_features_and_empty_reruns(spark, tmp_path):
     root = str(tmp_path / "store")
-    sl.write_features(events(spark).withColumn("date", F.lit("other")), root, "customer", "2024-01-01")
-    assert [str(r["date"]) for r in sl.read_features(spark, root).select("date").distinct().collect()] == ["2024-01-01"]
+    df = events(spark).select("customer_id", "amount")
+    sl.write_features(df, root, "customer", "2024-01-01")
+    sl.write_features(df.withColumn("extra", F.lit(1)), root, "customer", "2024-01-02")
+    both = sl.read_features(spark, root, "customer")
+    assert both.columns == ["customer_id", "amount", "extra", "entity_type", "date"]
+    assert both.where("extra IS NULL").select("date").distinct().collect() == [(dt.date(2024, 1, 1),)]
+    assert sl.write_features(df.where("false"), root, "customer", "2024-01-02").rows == 0
+    assert sl.read_features(spark, root, "customer", "2024-01-02").count() == 0
+    assert sl.read_features(spark, root, "customer").count() == 12
+
+
+def test_csv_lookback_does_not_look_at_other_days(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    daily = events(spark).select(F.col("event_date").alias("date"), "customer_id", F.col("amount").cast("string"))
+    odd = spark.createDataFrame([(dt.date(2023, 1, 1), "c0", "not a number")], daily.schema)
+    daily.union(odd).write.partitionBy("date").option("header", True).csv(path)
+    recent = sl.read_raw(spark, path, "csv", run_date="2024-01-05", lookback_days=4)
+    assert dict(recent.dtypes)["amount"] == "double" and recent.count() == 12
+    assert sl.read_raw(spark, path, "csv", run_date="2022-01-05", lookback_days=2, min_row_count=0).count() == 0
+    with pytest.raises(ValueError, match="Ingested 0 rows"):
+        sl.read_raw(spark, path, "csv", run_date="2022-01-05", lookback_days=2)
+
+
+def test_text_dates_that_are_none_count_as_undated(spark):
+    rows = [("a", "2024-01-04", 1.0), ("a", "some day", 2.0), ("a", None, 4.0)]
+    df = spark.createDataFrame(rows, "customer_id string, event_date string, amount double")
+    specs = [{"name": n, "source_column": "amount", "function": "sum", "window_days": d} for n, d in (("all", None), ("week", 7))]
+    row = sl.aggregate_features(df, specs, "customer_id", "event_date", "2024-01-05").first()
+    assert (row["all"], row["week"]) == (7.0, 1.0)
 
 
 def entry(spark, name, at, path="somewhere", columns=("n", "days")):
