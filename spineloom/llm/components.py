@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spineloom.durable import durable
+from spineloom.llm.tables import Tables
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -16,9 +16,11 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b): label is the smallest node reachable. No links: no rows.
 
     Alternates large and small stars, so that the number of passes follows the logarithm of the longest chain. Nulls,
-    self-links and repeated links do no harm. Each pass is written to the shared checkpoint folder.
+    self-links and repeated links do no harm. Each pass is written to the shared folder. Earlier labels may be given as
+    links, which is quicker than the links they came from.
     """
-    edges = durable(
+    stored = Tables(links.sparkSession, "components")
+    edges = stored(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .where((F.col("a") != F.col("b")))
         .distinct()
@@ -35,7 +37,7 @@ def components(links: DataFrame) -> DataFrame:
         around = _both_ways(edges)
         least = around.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root"))
         large = around.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("root").alias("b"))
-        large = durable(large.where("a != b").distinct())
+        large = stored(large.where("a != b").distinct())
         lowest = large.groupBy("a").agg(F.min("b").alias("root"))
         small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("root").alias("b")).where("a != b")
-        edges = durable(small.union(lowest.select("a", F.col("root").alias("b"))).distinct())
+        edges = stored(small.union(lowest.select("a", F.col("root").alias("b"))).distinct())

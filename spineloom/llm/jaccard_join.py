@@ -25,16 +25,15 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spineloom.durable import durable, fresh_path
 from spineloom.llm import gather
 from spineloom.llm.components import components
+from spineloom.llm.tables import Tables
 from spineloom.llm.words import mix, sequence_hash, slices, texts_of, windows, word_hashes
 
 SKETCH_BITS = 20
@@ -157,7 +156,7 @@ def _prefixes(docs: DataFrame, sketch, words: int, percent: int, shared=None) ->
             if shared is None:
                 yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64))], ["token"])
                 continue
-            keep = _held(shared.value, tokens)
+            keep = _held(shared.value, tokens.view(np.int64))
             columns = (
                 tokens.view(np.int64),
                 np.repeat(np.array([name for _, name, _ in out], np.int64), sizes),
@@ -170,8 +169,8 @@ def _prefixes(docs: DataFrame, sketch, words: int, percent: int, shared=None) ->
 
 
 def _places(values: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    at = mix(values.view(np.uint64)) & np.uint64(n_bits - 1)
-    return (at >> np.uint64(3)).astype(np.int64), (at & np.uint64(7)).astype(np.uint8)
+    at = (values ^ (values >> 29)) & (n_bits - 1)
+    return at >> 3, (at & 7).astype(np.uint8)
 
 
 def _held(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -229,31 +228,18 @@ def _bitmap(values: DataFrame) -> np.ndarray:
     n_bits = 1 << (16 * max(values.count(), 1 << 12)).bit_length()
     n_bits = min(n_bits, MOST_BITMAP_BITS)
 
-    slot_bits = n_bits // gather.SLOTS
-
-    def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = np.asarray(batch.column(0).drop_null().to_numpy(zero_copy_only=False), np.int64)
-            at = (mix(own.view(np.uint64)) & np.uint64(n_bits - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((at // slot_bits).astype(np.int32)), pa.array(at)], ["slot", "at"])
-
-    def filled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            slots, at = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            for slot in np.unique(slots):
-                own = at[slots == slot] % slot_bits
-                bits = held.setdefault(int(slot), np.zeros(slot_bits // 8, np.uint8))
-                np.bitwise_or.at(bits, own >> 3, np.left_shift(1, own & 7).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.int32()), pa.array([b.tobytes() for b in held.values()], pa.binary())],
-            ["slot", "cells"],
-        )
-
-    places = values.mapInArrow(placed, "slot int, at long").repartition("slot")
-    parts = {row.slot: bytes(row.cells) for row in places.mapInArrow(filled, gather.SCHEMA).collect()}
-    empty = bytes(slot_bits // 8)
-    return np.frombuffer(b"".join(parts.get(slot, empty) for slot in range(gather.SLOTS)), np.uint8)
+    (name,) = values.columns
+    at = F.col(name).bitwiseXOR(F.shiftright(name, 29)).bitwiseAND(F.lit(n_bits - 1))
+    cells = (
+        values.where(F.col(name).isNotNull())
+        .select(at.alias("at"))
+        .groupBy(F.shiftright("at", 6).alias("cell"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    words = np.zeros(n_bits // 64, np.int64)
+    words[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
+    return words.view(np.uint8)
 
 
 def _with_both(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
@@ -302,12 +288,12 @@ def _named(x: str, y: str) -> list:
     return [F.least(f"{x}.cls", f"{y}.cls").alias("a"), F.greatest(f"{x}.cls", f"{y}.cls").alias("b")]
 
 
-def _with_components(lists: DataFrame, links: DataFrame) -> DataFrame:
+def _open(lists: DataFrame, labels: DataFrame, stored: Tables) -> DataFrame:
     """The lists that classes of several components share, each row with its component."""
-    labels = components(links).withColumnRenamed("node", "cls")
-    placed = lists.join(labels, "cls", "left").withColumn("part", F.coalesce("label", "cls")).drop("label")
-    open_ = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    return durable(placed.join(open_.select("token"), "token", "left_semi"))
+    labels = labels.withColumnRenamed("node", "cls")
+    placed = stored(lists.join(labels, "cls", "left").withColumn("part", F.coalesce("label", "cls")).drop("label"))
+    several = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
+    return stored(placed.join(several.select("token"), "token", "left_semi"))
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80):
@@ -315,56 +301,53 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links, its own included)."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    path = fresh_path(spark, "jaccard")
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
-
-    _described(source, words).write.parquet(f"{path}/described")
-    described = spark.read.parquet(f"{path}/described")
+    stored = Tables(spark, "jaccard")
+    described = stored(_described(source, words))
     counts = described.where("slot is not null").select("slot", "cells")
     sketch = gather.merged(counts, np.uint32, np.add, np.zeros(1 << SKETCH_BITS, np.uint32))
     described = described.where("slot is null").select("id", "n", "cls", "sig")
-    classes = durable(described.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id")))
+    classes = stored(described.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id")))
 
     sketch = spark.sparkContext.broadcast(sketch)
     tokens = _prefixes(source, sketch, words, percent)
-    repeated = durable(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token"))
+    repeated = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token"))
     shared = spark.sparkContext.broadcast(_bitmap(repeated))
-    prefixes = stored(_prefixes(source, sketch, words, percent, shared), "prefixes")
+    prefixes = stored(_prefixes(source, sketch, words, percent, shared))
     row = F.struct("pos", "n", "cls")
     centre = prefixes.groupBy("token").agg(
         F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.min(row).alias("centre")
     )
-    lists = stored(prefixes.join(centre.where("lo < hi").select("token", "centre"), "token").distinct(), "lists")
+    lists = stored(prefixes.join(centre.where("lo < hi").select("token", "centre"), "token").distinct())
 
-    tried, links = [], [spark.createDataFrame([], "a long, b long")]
+    tried: list[DataFrame] = []
+    labels = spark.createDataFrame([], "node long, label long")
 
     def chosen(pairs: DataFrame):
         """The bitmap of one document for each class of the pairs."""
         either = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        return spark.sparkContext.broadcast(_bitmap(durable(either.join(classes, "cls").select("id"))))
+        return spark.sparkContext.broadcast(_bitmap(stored(either.join(classes, "cls").select("id"))))
 
-    def compare(pairs: DataFrame) -> None:
+    def compare(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """The components once the pairs that are similar enough are linked as well."""
         pairs = pairs.where("a != b").distinct()
         for before in tried:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = durable(pairs)
+        pairs = stored(pairs)
         tried.append(pairs)
         if not pairs.take(1):
-            return
-        signatures = durable(_chosen_signatures(described, chosen(pairs)))
-        alike = durable(_kept_pairs(pairs, signatures, "sig", _may_link(percent)))
+            return labels
+        signatures = stored(_chosen_signatures(described, chosen(pairs)))
+        alike = stored(_kept_pairs(pairs, signatures, "sig", _may_link(percent)))
         if not alike.take(1):
-            return
-        sets = stored(_chosen_sets(source, chosen(alike), words), f"sets-{len(tried)}")
-        links.append(durable(_kept_pairs(alike, sets, "shingles", _links(percent))))
+            return labels
+        sets = stored(_chosen_sets(source, chosen(alike), words))
+        links = _kept_pairs(alike, sets, "shingles", _links(percent))
+        return stored(components(links.union(labels.toDF("a", "b"))))
 
     rows = lists.select("token", F.struct("cls", "n", "pos").alias("x"), F.col("centre").alias("y"))
-    compare(rows.where(_possible("x", "y", percent)).select(*_named("x", "y")))
+    labels = compare(rows.where(_possible("x", "y", percent)).select(*_named("x", "y")), labels)
     for _ in range(CENTRE_ROUNDS - 1):
-        open_ = _with_components(lists.drop("centre"), reduce(DataFrame.union, links))
+        open_ = _open(lists.drop("centre"), labels, stored)
         # Per list and component the nearest row; the nearest of another component is the centre.
         best = open_.groupBy("token", "part").agg(F.min(row).alias("y"))
         first = best.groupBy("token").agg(F.min(F.struct("y", "part")).alias("first"), F.max("part").alias("hi"))
@@ -379,8 +362,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             F.struct("cls", "n", "pos").alias("x"),
             F.when(F.col("part") == F.col("first.part"), F.col("second")).otherwise(F.col("first.y")).alias("y"),
         )
-        compare(rows.where(_possible("x", "y", percent)).select(*_named("x", "y")))
-    open_ = _with_components(lists.drop("centre"), reduce(DataFrame.union, links))
+        labels = compare(rows.where(_possible("x", "y", percent)).select(*_named("x", "y")), labels)
+    open_ = _open(lists.drop("centre"), labels, stored)
     most = open_.groupBy("token", "part").agg(F.count(F.lit(1)).alias("m"))
     most = most.groupBy("token").agg(F.max(F.struct("m", "part")).alias("most"))
     minor = open_.join(most, "token").where(F.col("part") != F.col("most.part")).drop("most")
@@ -391,12 +374,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         & (F.col("x.part") != F.col("y.part"))
         & _possible("x", "y", percent),
     )
-    compare(rest.select(*_named("x", "y")))
+    labels = compare(rest.select(*_named("x", "y")), labels)
 
-    labels = components(reduce(DataFrame.union, links)).withColumnRenamed("node", "cls")
-    placed = classes.join(labels, "cls", "left").withColumn("part", F.coalesce("label", "cls"))
+    placed = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("part", F.coalesce("label", "cls"))
     smallest = placed.groupBy("part").agg(F.min("id").alias("component_id"))
-    named = durable(placed.join(smallest, "part").select("cls", "component_id"))
+    named = stored(placed.join(smallest, "part").select("cls", "component_id"))
     full, empty = described.where("cls is not null"), described.where("cls is null")
     out = full.join(named, "cls").select("id", "n", "component_id")
     out = out.union(empty.select("id", "n", F.col("id").alias("component_id")))
