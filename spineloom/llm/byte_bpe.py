@@ -1,7 +1,7 @@
 """Byte-level BPE by the ``tokenizers`` library over Arrow batches.
 
 A text is split into pieces by the vocabulary's pattern; each piece is encoded on its own, so a piece seen before is looked
-up and only new ones go to the library, many at a time. The cache is emptied when it holds ``MOST_CACHED`` pieces, so
+up and only new ones go to the library's model. The cache is emptied when it holds ``MOST_CACHED`` pieces, so
 a worker's memory is bounded. Byte-level BPE writes each byte as one printable character; ``byte_table`` reverses that
 mapping, and decoding joins the bytes of the tokens before it reads them as UTF-8, so characters that tokens split come
 out whole.
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -49,38 +48,34 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import models
 
         as_char = {b: c for c, b in byte_table().items()}
         spell = lambda token: "".join(map(as_char.__getitem__, token))
         self.bytes_of = {i: t for t, i in ranks.items()}
         vocabulary = {spell(t): i for t, i in ranks.items()}
         merges = [(spell(a), spell(b)) for a, b in (split_of(t, ranks) for t in sorted(ranks, key=ranks.get)) if b]
-        self._library = Tokenizer(models.BPE(vocab=vocabulary, merges=merges, cache_capacity=0))
-        self._library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._merge = models.BPE(vocab=vocabulary, merges=merges, cache_capacity=0).tokenize
+        self._as_char = as_char
         self._pieces = regex.compile(pattern).findall
         self._known: dict[str, tuple[int, ...]] = {}
 
+    def _encoded(self, piece: str) -> tuple[int, ...]:
+        """A piece's bytes written as characters, and merged by the library."""
+        return tuple([t.id for t in self._merge(piece.encode().decode("latin-1").translate(self._as_char))])
+
     def pieces(self, text: str) -> list[str]:
         return self._pieces(text)
 
     def learn(self, pieces: Iterable[str]) -> dict[str, tuple[int, ...]]:
-        """The ids of each piece; new ones are encoded in one call."""
+        """The ids of each piece; only new ones are encoded."""
         known = self._known
-        new = [p for p in set(pieces) if p not in known]
-        if not new:
-            return known
+        wanted = set(pieces)
+        new = [p for p in wanted if p not in known]
         if len(known) + len(new) > MOST_CACHED:
             known.clear()
-            new = list(set(pieces))
-        found = dict.fromkeys(new, ())
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            encoding = self._library.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids, owners = np.array(encoding.ids), np.array(encoding.word_ids, np.int64)
-            cuts = np.searchsorted(owners, np.arange(len(part) + 1))
-            for k, piece in enumerate(part):
-                found[piece] = tuple(ids[cuts[k] : cuts[k + 1]].tolist())
+            new = wanted
+        found = {p: self._encoded(p) for p in new}
         long = {p: i for p, i in found.items() if len(p) > LONGEST_CACHED}
         known.update((p, i) for p, i in found.items() if len(p) <= LONGEST_CACHED)
         return known | long if long else known
@@ -122,14 +117,14 @@ def split_of(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes]:
 @cache
 def codec(path: str, pattern: str) -> Codec:
     """One codec in each worker process."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Codec(read_ranks(path), pattern)
 
 
-def _per_text(docs: DataFrame, text_col: str, path: str, pattern: str, added: str, work) -> DataFrame:
-    """``docs`` with the columns ``added``, which ``work(codec, texts)`` returns as Arrow arrays."""
+def _per_text(docs: DataFrame, text_col: str, path: str, pattern: str, added: str, work, keep: bool = True) -> DataFrame:
+    """``docs`` with the columns ``added``, which ``work(codec, texts)`` returns as Arrow arrays; without ``keep`` the text
+    itself is not sent back."""
     names = [part.split()[0] for part in added.split(", ")]
-    kept = [c for c in docs.columns if c not in names]
+    kept = [c for c in docs.columns if c not in names and (keep or c != text_col)]
     source = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
 
@@ -143,8 +138,17 @@ def _per_text(docs: DataFrame, text_col: str, path: str, pattern: str, added: st
     return source.mapInArrow(task, f"{schema}, {added}")
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", offsets: bool = False) -> DataFrame:
-    """``docs`` with ``ids`` and, if asked for, ``begins`` and ``ends``: the characters that each token touches."""
+def encode(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    text_col: str = "text",
+    offsets: bool = False,
+    check: bool = False,
+    keep_text: bool = True,
+) -> DataFrame:
+    """``docs`` with ``ids``; if asked for with ``begins`` and ``ends``, the characters that each token touches, and with
+    ``round_trip``, whether the decoded ids are the text's bytes again."""
 
     def work(own: Codec, texts: list[str]) -> list[pa.Array]:
         ids = [own.encode(t) for t in texts]
@@ -152,10 +156,13 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", off
         if offsets:
             spans = [own.offsets(t, i) for t, i in zip(texts, ids, strict=True)]
             out += [pa.array([s[k] for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
+        if check:
+            same = [own.decode_bytes(i) == t.encode() for t, i in zip(texts, ids, strict=True)]
+            out.append(pa.array(same, pa.bool_()))
         return out
 
-    added = "ids array<int>" + (", begins array<int>, ends array<int>" if offsets else "")
-    return _per_text(docs, text_col, path, pattern, added, work)
+    added = "ids array<int>" + ", begins array<int>, ends array<int>" * offsets + ", round_trip boolean" * check
+    return _per_text(docs, text_col, path, pattern, added, work, keep_text)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
@@ -173,7 +180,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") ->
     return encoded.select(*kept).mapInArrow(task, f"{schema}, decoded binary")
 
 
-def digests(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by a space) and ``decoded_sha256`` (of the
     bytes that decoding the ids gives back): encoding, decoding and hashing in one pass, so that no ids are moved."""
 
@@ -188,4 +195,5 @@ def digests(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
             read.append(hashlib.sha256(own.decode_bytes(ids)).hexdigest())
         return [pa.array(n, pa.int64()), pa.array(written, pa.string()), pa.array(read, pa.string())]
 
-    return _per_text(docs, text_col, path, pattern, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", work)
+    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return _per_text(docs, text_col, path, pattern, added, work, keep_text)

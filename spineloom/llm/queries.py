@@ -92,7 +92,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    found = byte_bpe.digests(docs, ranks, public_tokenizers.PATTERN)
+    found = byte_bpe.digests(docs, ranks, public_tokenizers.PATTERN, keep_text=False)
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
