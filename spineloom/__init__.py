@@ -23,7 +23,7 @@ from spineloom.plans.assemble import (
     time_features,
 )
 from spineloom.plans.daily import Run, run_daily
-from spineloom.recipe import Aggregation, Definition, Encoding, NullRule, Settings, TimeWindow, definition, definitions
+from spineloom.recipe import Aggregation, Definition, Encoding, NullRule, OwnFeature, Settings, TimeWindow, definition, definitions
 from spineloom.sources.raw import read_raw, require_rows
 from spineloom.sources.registry import latest_entries, read_registry, registry_entry, update_registry, upsert
 from spineloom.sources.store import Written, read_features, write_features
@@ -34,6 +34,7 @@ __all__ = [
     "Definition",
     "Encoding",
     "NullRule",
+    "OwnFeature",
     "Run",
     "Settings",
     "TimeWindow",

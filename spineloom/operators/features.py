@@ -32,7 +32,7 @@ from spineloom.operators.categories import (
     look_up,
 )
 from spineloom.operators.nulls import Cleaned, compile_all
-from spineloom.recipe import Aggregation, Definition, Encoding, TimeWindow, definitions, distinct_keys
+from spineloom.recipe import Aggregation, Definition, Encoding, OwnFeature, TimeWindow, definitions, distinct_keys
 
 _AGGREGATES = {
     "sum": F.sum,
@@ -125,6 +125,22 @@ def aggregation_column(feature: Aggregation, rows: _Rows) -> Column:
     return _if_any(inside, total) if feature.function == "count" else total
 
 
+class FeatureRows:
+    """What a feature of the caller's sees: the columns after the null rules, NULL on rows outside its window."""
+
+    def __init__(self, feature: OwnFeature, rows: _Rows):
+        self._rows = rows
+        self.inside = rows.inside(feature.window_days)
+
+    def value(self, name: str) -> Column:
+        if name not in self._rows.view:
+            raise ValueError(f"the input has no column {name!r}")
+        return _where(self.inside, self._rows.value(name))
+
+    def date(self) -> Column:
+        return _where(self.inside, self._rows.date())
+
+
 def fixed_width(feature: Aggregation, view: Cleaned) -> bool:
     """Whether the aggregate keeps its state in numbers, dates or flags, as hash aggregation requires."""
     dtype = view.types.get(feature.source_column)
@@ -180,7 +196,7 @@ def latest_position(rows: _Rows, name: str, known: Known) -> Column:
 
 def present(feature: Aggregation | Encoding | TimeWindow, view: Cleaned) -> bool:
     """Encodings and rolling features over an absent column are left out; aggregations fail instead."""
-    if isinstance(feature, Aggregation):
+    if isinstance(feature, (Aggregation, OwnFeature)):
         return True
     if isinstance(feature, TimeWindow) and feature.feature_type == "days_diff":
         return True
@@ -236,6 +252,8 @@ def _aggregate(
             if isinstance(feature, Aggregation):
                 part = hashed if fixed_width(feature, rows.view) else sorted_
                 part[feature.name] = aggregation_column(feature, rows)
+            elif isinstance(feature, OwnFeature):
+                hashed[feature.name] = feature.column(FeatureRows(feature, rows))
             elif isinstance(feature, TimeWindow):
                 hashed[feature.name] = time_window_column(feature, rows)
             else:
@@ -322,7 +340,7 @@ def entity_features(
         if name not in columns:
             raise ValueError(f"column {name!r} is missing from the input")
     day = None if run_date is None else as_run_date(run_date)
-    if day is None and any(r.aggregations or r.time_windows for r in recipes):
+    if day is None and any(r.aggregations or r.time_windows or r.own for r in recipes):
         raise ValueError("run_date is required")
 
     views: dict[tuple, tuple[int, _Rows]] = {}

@@ -14,7 +14,7 @@ Every mistake surfaces as a ``ValueError`` before any Spark job starts.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 # The names a recipe may use.
@@ -109,6 +109,22 @@ class TimeWindow:
         return self.window_days or DEFAULT_LOOKBACK.get(self.feature_type)
 
 
+@dataclass(frozen=True)
+class OwnFeature:
+    """A feature of the caller's: ``column`` takes the feature's rows (``FeatureRows``) and returns an aggregate over them,
+    which is computed along with all others."""
+
+    name: str
+    column: Callable
+    window_days: int | None = None
+
+    def __post_init__(self):
+        _named(self.name, "feature name")
+        if not callable(self.column):
+            raise ValueError(f"the column of feature {self.name!r} must be a function of its rows")
+        object.__setattr__(self, "window_days", _days(self.window_days))
+
+
 @dataclass(frozen=True)
 class Definition:
     entity_type: str
@@ -116,11 +132,12 @@ class Definition:
     encodings: tuple[Encoding, ...] = ()
     time_windows: tuple[TimeWindow, ...] = ()
     null_handlers: tuple[NullRule, ...] = ()
+    own: tuple[OwnFeature, ...] = ()
 
     @property
-    def features(self) -> tuple[Aggregation | Encoding | TimeWindow, ...]:
+    def features(self) -> tuple[Aggregation | Encoding | TimeWindow | OwnFeature, ...]:
         """All features in declaration order."""
-        return (*self.aggregations, *self.encodings, *self.time_windows)
+        return (*self.aggregations, *self.encodings, *self.time_windows, *self.own)
 
 
 @dataclass(frozen=True)
@@ -179,6 +196,7 @@ def definition(spec: Mapping | Definition) -> Definition:
         encodings=_specs(Encoding, spec.get("encodings")),
         time_windows=_specs(TimeWindow, spec.get("time_windows")),
         null_handlers=_specs(NullRule, spec.get("null_handlers")),
+        own=_specs(OwnFeature, spec.get("own")),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spineloom.functions.columns import as_run_date
-from spineloom.recipe import Aggregation, Definition, Encoding, TimeWindow, definition
+from spineloom.recipe import Aggregation, Definition, Encoding, OwnFeature, TimeWindow, definition
 
 # Fixed value: the layout of a catalogue entry.
 ENTRY = T.StructType(
@@ -32,7 +32,7 @@ ENTRY = T.StructType(
 )
 
 # How the catalogue calls each kind of feature.
-_KIND = {Aggregation: "aggregation", Encoding: "encoding", TimeWindow: "time_window"}
+_KIND = {Aggregation: "aggregation", Encoding: "encoding", TimeWindow: "time_window", OwnFeature: "own"}
 
 
 def registry_entry(

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import spineloom as sl
 
@@ -70,3 +71,23 @@ def test_key_and_date_must_differ():
         sl.Settings("p", "e", "id", "id", "2024-01-01", "raw", "store", "registry")
     with pytest.raises(ValueError, match="input_format"):
         sl.Settings("p", "e", "id", "day", "2024-01-01", "raw", "store", "registry", input_format="json")
+
+
+def test_own_features_join_the_aggregation(spark):
+    rows = [("a", "2024-01-30", 2.0), ("a", "2024-01-31", None), ("a", "2023-01-01", 50.0), ("b", "2023-01-01", 7.0)]
+    df = spark.createDataFrame(rows, "k string, d string, x double").withColumn("d", F.col("d").cast("date"))
+    spread = {"name": "spread", "column": lambda r: F.max(r.value("x")) - F.min(r.value("x"))}
+    spec = {
+        "entity_type": "e",
+        "null_handlers": [{"column": "x", "strategy": "fill", "fill_value": 6}],
+        "aggregations": [{"name": "n", "source_column": "x", "function": "count"}],
+        "own": [spread, {**spread, "name": "spread_7d", "window_days": 7}, {"name": "last", "column": lambda r: F.max(r.date())}],
+    }
+    got = {r["k"]: tuple(r)[1:4] for r in sl.assemble_features(df, [spec], "k", "d", "2024-02-01").collect()}
+    assert got == {"a": (3, 48.0, 4.0), "b": (1, 0.0, None)}
+    text = sl.assemble_features(df, [spec], "k", "d", "2024-02-01")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+    with pytest.raises(ValueError, match="function of its rows"):
+        sl.definition({"entity_type": "e", "own": [{"name": "x", "column": "amount"}]})
+    with pytest.raises(ValueError, match="no column 'y'"):
+        sl.assemble_features(df, [{"entity_type": "e", "own": [{"name": "z", "column": lambda r: F.max(r.value("y"))}]}], "k", "d", "2024-02-01")
