@@ -3,7 +3,9 @@
 The nodes are a page's block elements; each is content or not. A node's own potential comes from its tag, the words of its class,
 id and role, and its text's length, links and punctuation (naive Bayes log-odds); an edge's potential from how often
 children keep or change their parent's state. Sum-product message passing, upward from the leaves and downward from the
-root, gives every node's marginal, and blocks of nodes with a marginal of at least one half are the main text.
+root, gives every node's marginal, and blocks of nodes with a marginal of at least one half are the main text. Edges
+have potentials by kind: to a page part (``div``, ``section``, ``aside``, ...), to a plain element inside one (``p``, ``li``,
+``h2``, ...), which nearly always shares its parent's state, and to a plain element directly under the body.
 
 Training pages are labelled in two ways: layouts written here, whose elements say whether they are content, and the corpus
 pages that mark up their article themselves (``article``, else ``main``), of which at most about ``MOST_PAGES`` are read, chosen by
@@ -34,16 +36,18 @@ from spineloom.llm.words import slices
 MOST_PAGES = 2000
 KEEP = 0.5
 #: Added to the counts of a feature in both states, and the most that one feature of names or of text says (log-odds).
-SMOOTHING = 2.0
-MOST_BY_NAME, MOST_BY_TEXT, MOST_BY_LINKS = 6.0, 1.0, 3.0
+SMOOTHING = 0.5
+MOST_BY_NAME, MOST_BY_TEXT, MOST_BY_LINKS = 6.0, 0.3, 3.0
+#: What the corpus pages weigh together, against the layouts written here: they show few kinds of parts.
+CORPUS_WEIGHT = 0.3
 #: Lengths of the texts in the layouts written here: content and other parts.
 CONTENT_SIZES, OTHER_SIZES = (15, 60, 150, 400, 1200, 2500), (8, 20, 45, 90, 200, 500)
 
 # Elements and class words of page parts. A part stands beside the article, inside it, or in both places.
 CONTENT_ROOTS = (
-    "article", "main", "div.content", "div.post", "div.entry", "section.article", "div.story", "div.body", "div.text",
+    "article", "main", "article", "article", "main", "article.post", "div.content", "div.post", "div.entry", "section.article", "div.story", "div.body", "div.text",
 )
-CONTENT_PARTS = ("p", "h1", "h2", "h3", "ul>li", "ol>li", "ul>li>p", "p", "blockquote>p", "pre", "figure>figcaption", "table>tr>td", "section>p", "div>p", "dl>dd")
+CONTENT_PARTS = ("p", "h1", "h2", "h3", "ul>li", "ol>li", "ul>li>p", "p", "blockquote>p", "pre", "figure>figcaption", "table>tr>td", "section>p", "div>p", "dl>dd", "section>h2", "div>ul>li", "section>blockquote")
 OTHER_PARTS = (
     "nav>ul>li", "header>p", "header>ul>li", "footer>p", "aside>p", "aside>ul>li", "form>p", "form>div", "ul.menu>li",
     "div.menu>ul>li", "div.navbar>ul>li", "div.navigation>ul>li", "div.breadcrumb>p", "div.breadcrumbs>ul>li", "div.sidebar>p",
@@ -53,7 +57,7 @@ OTHER_PARTS = (
     "div.social>ul>li", "div.related>ul>li", "div.recommended>p", "div.pagination>ul>li", "div.tags>ul>li", "div.login>form>p",
     "div.search>form>p", "div.footer>p", "div.header>p", "div.copyright>p", "div.comments>div.comment>p", "section.comments>p",
     "div.comment>p", "ul.comments>li.comment>p", "ol.commentlist>li>p", "div.disqus>p", "div.respond>form>p", "div.reviews>p",
-    "section.comments>article.comment>p", "div.replies>div.reply>p", "div.disclaimer>p", "dialog>p", "div.toolbar>p",
+    "div.replies>div.reply>p", "div.disclaimer>p", "dialog>p", "div.toolbar>p",
     "header>h1", "header>h2", "div.header>h1", "aside>h2", "aside>h3", "footer>h3", "footer>table>tr>td", "div.sidebar>h3",
     "div.widget>h3", "div.related>h2", "div.related>h3", "section.comments>h2", "div.comments>h2", "div.comments>h3",
     "div.comment>blockquote>p", "div.comments>ol>li", "div.cookie>h2", "div.newsletter>h3", "form>h2", "form>table>tr>td",
@@ -61,6 +65,21 @@ OTHER_PARTS = (
 )
 
 
+# Elements that structure a text rather than a page.
+PLAIN = frozenset(
+    "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption table thead tbody tfoot tr td th caption hr"
+    " label legend fieldset button option address center".split()
+)
+EDGES = ("part", "plain", "body")
+
+
+def _edge(page: Page, k: int) -> str:
+    """The kind of the edge above node k."""
+    if page.nodes[k].tag not in PLAIN:
+        return "part"
+    return "body" if page.nodes[page.nodes[k].parent].tag in ("#page", "html", "body") else "plain"
+
+
 def _features(node: Node) -> list[str]:
     density = node.linked / node.size if node.size else 0.0
     out = [
@@ -74,18 +93,19 @@ def _features(node: Node) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-odds of features, and log potentials [parent's state][child's state] (0: other, 1: content)."""
+    """Log-odds of features, and log potentials by kind of edge [parent's state][child's state] (0: other, 1: content)."""
 
     odds: dict[str, float]
-    edges: tuple[tuple[float, float], tuple[float, float]]
+    edges: dict[str, tuple[tuple[float, float], tuple[float, float]]]
 
     @staticmethod
     def from_counts(counts: Counter) -> Model:
-        """``counts``: of ("feature", name, state) and ("edge", parent's state, state)."""
-        sizes, own, edges = [1.0, 1.0], {}, [[1.0, 1.0], [1.0, 1.0]]
+        """``counts``: of ("feature", name, state) and ("edge", kind and parent's state, state)."""
+        sizes, own, edges = [1.0, 1.0], {}, {kind: [[1.0, 1.0], [1.0, 1.0]] for kind in EDGES}
         for (kind, name, state), n in counts.items():
             if kind == "edge":
-                edges[int(name)][state] += n
+                edge, above = name.split()
+                edges[edge][int(above)][state] += n
             else:
                 own.setdefault(name, [SMOOTHING, SMOOTHING])[state] += n
                 if name.startswith("tag "):
@@ -94,9 +114,11 @@ class Model:
         odds = {}
         for f, n in own.items():
             kind = f.split()[0]
-            most = {"tag": MOST_BY_NAME, "name": MOST_BY_NAME, "links": MOST_BY_LINKS}.get(kind, MOST_BY_TEXT)
-            odds[f] = max(-most, min(most, math.log(n[1] / sizes[1]) - math.log(n[0] / sizes[0])))
-        return Model(odds, tuple(tuple(math.log(x / sum(row)) for x in row) for row in edges))
+            most = MOST_BY_NAME if kind in ("tag", "name") else MOST_BY_TEXT
+            least = MOST_BY_LINKS if kind == "links" else most
+            odds[f] = max(-least, min(most, math.log(n[1] / sizes[1]) - math.log(n[0] / sizes[0])))
+        logs = {kind: tuple(tuple(math.log(x / sum(row)) for x in row) for row in t) for kind, t in edges.items()}
+        return Model(odds, logs)
 
 
 def marginals(page: Page, model: Model) -> list[float]:
@@ -105,17 +127,19 @@ def marginals(page: Page, model: Model) -> list[float]:
     own = [0.0] * n  # log-odds of the node's own potential
     for k, node in enumerate(page.nodes):
         own[k] = sum(model.odds.get(f, 0.0) for f in _features(node))
-    (e00, e01), (e10, e11) = model.edges
+    edges = [model.edges[_edge(page, k)] if k else () for k in range(n)]
     below = own[:]  # log-odds of the node with everything under it
     sent = [0.0] * n
     for k in range(n - 1, 0, -1):
         x = below[k]
+        (e00, e01), (e10, e11) = edges[k]
         # The message to the parent: log of sum over the child's states, for content less for other.
         sent[k] = _log_add(e10, e11 + x) - _log_add(e00, e01 + x)
         below[page.nodes[k].parent] += sent[k]
     belief = below[:]
     belief[0] = -20.0 + below[0]  # the page as a whole is no content
     for k in range(1, n):
+        (e00, e01), (e10, e11) = edges[k]
         rest = belief[page.nodes[k].parent] - sent[k]
         belief[k] = below[k] + _log_add(e01, e11 + rest) - _log_add(e00, e10 + rest)
     return [1 / (1 + math.exp(-max(-500.0, min(500.0, b)))) for b in belief]
@@ -140,7 +164,7 @@ def _counted(page: Page, states: list[int], weight: int = 1) -> Counter:
         for f in _features(node):
             out["feature", f, states[k]] += weight
         if k:
-            out["edge", str(states[node.parent]), states[k]] += weight
+            out["edge", f"{_edge(page, k)} {states[node.parent]}", states[k]] += weight
     return out
 
 
@@ -162,17 +186,19 @@ def layouts() -> Iterator[str]:
                 _element(part, prose[: CONTENT_SIZES[(k + j + i) % len(CONTENT_SIZES)]], "1")
                 for i, part in enumerate(CONTENT_PARTS[j % 3 :: 3])
             ]
-            # Five other parts a page: before the article, after it, and every fourth time one inside.
+            # Five other parts a page: before the article, after it, and every third time one inside.
             others = []
             for i in range(5):
                 other = OTHER_PARTS[(j + i * (n // 5)) % n]
                 words = link * 2 if other.endswith("li") or (k + i) % 3 == 0 else prose[: OTHER_SIZES[(k + j + i) % len(OTHER_SIZES)]]
                 others.append((other, _element(other, words, "0")))
             inside = ""
-            if j % 4 == 1 and not others[0][0].startswith(("nav", "header", "footer")):
+            if j % 3 == 1:
                 inside = others.pop(0)[1]
             parts = [html for _, html in others]
             article = f'<{tag}{f" class={name!r}" if name else ""} data-content="1">{"".join(inner)}{inside}</{tag}>'
+            if (j + k) % 6 == 0:  # a page without an element around its article
+                article = "".join(inner)
             yield f'<html data-content="0"><body data-content="0">{"".join(parts[:2])}{article}{"".join(parts[2:])}</body></html>'
 
 
@@ -221,8 +247,10 @@ def fit(pages: DataFrame, html_col: str = "html") -> Model:
 
     counted = chosen.mapInArrow(task, "kind string, name string, state long, n long")
     found = counted.groupBy("kind", "name", "state").agg(F.sum("n").alias("n")).collect()
-    own = Counter({(r.kind, r.name, r.state): r.n for r in found})
-    return Model.from_counts(basic_counts + own)
+    own = {(r.kind, r.name, r.state): r.n for r in found}
+    size = lambda counts: sum(n for (_, name, _), n in counts.items() if name.startswith("tag "))
+    weight = CORPUS_WEIGHT * size(basic_counts) / max(1, size(own))
+    return Model.from_counts(basic_counts + Counter({k: n * weight for k, n in own.items()}))
 
 
 def extract(pages: DataFrame, html_col: str = "html", model: Model | None = None) -> DataFrame:

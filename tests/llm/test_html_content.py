@@ -27,6 +27,36 @@ def test_text_of_blocks():
     ]
 
 
+TEXT = "It was late in the year, and the road was wet. Nobody came. "
+
+
+def body(inside):
+    nav = '<nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav>'
+    return f"<html><head><title>x</title></head><body>{nav}{inside}<footer>&copy; host, 2024.</footer></body></html>"
+
+
+def test_parts_of_many_layouts():
+    """Every other part of these pages goes, every block that says "keep" stays."""
+    keep, other = f"<p>keep {TEXT}</p>", f"<p>{TEXT}</p>"
+    lists = "<ul><li>keep one point here</li><li>keep two</li></ul><table><tr><td>keep a</td><td>keep b</td></tr></table>"
+    pages = [
+        f"<article><h1>keep head</h1>{keep}{lists}<blockquote>keep {TEXT}</blockquote></article>",
+        f'<article>{keep}<section class="comments">{other}</section></article>',
+        f'<article>{keep}</article><section class="comments"><h2>Comments</h2><div class="comment">{other}</div></section>',
+        f'<article>{keep}</article><div id="comments">{other}{other}</div>',
+        f'<aside class="sidebar">{other}</aside><article>{keep}<aside>{other}</aside>{keep}</article>',
+        f'<div class="cookie-notice">{TEXT}</div><article>{keep}<div class="ad">{TEXT}</div>{keep}</article>',
+        f"<article>{keep}<form><p>Sign up now</p></form></article><form><label>Mail</label><input></form>",
+        f'<header><h1>Site</h1></header><main><h1>keep head</h1>{keep}</main>',
+        f'<div class="sidebar"><ul><li><a href="x">l</a></li></ul></div><div id="main-content"><h2>keep head</h2>{keep}</div>',
+        f"<h1>keep head</h1>{keep}{keep}",
+        f"<article><section><h2>keep part</h2>{keep}</section><div>{keep}</div></article>",
+    ]
+    for page in pages:
+        found = H.main_text(body(page), model()).split("\n")
+        assert len(found) == page.count("keep") and all(block.startswith("keep") for block in found), page
+
+
 def test_broken_and_empty_pages():
     for html in (None, "", "<", "<p", "<p a='", "</div></p>", "<script>never closed", "<!-- open", "a<b>c</i>", "<>&#0;&bogus;"):
         assert isinstance(H.main_text(html, model()), str)
@@ -43,7 +73,7 @@ def test_marginals_are_those_of_all_assignments():
     total, each = 0.0, [0.0] * len(odds)
     for states in itertools.product((0, 1), repeat=len(odds)):
         weight = sum(o for o, s in zip(odds, states, strict=True) if s)
-        weight += sum(own.edges[states[n.parent]][states[k]] for k, n in enumerate(page.nodes) if k)
+        weight += sum(own.edges[H._edge(page, k)][states[n.parent]][states[k]] for k, n in enumerate(page.nodes) if k)
         total += math.exp(weight)
         for k, s in enumerate(states):
             each[k] += s * math.exp(weight)
