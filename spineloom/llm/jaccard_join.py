@@ -224,7 +224,8 @@ def _chosen_signatures(described: DataFrame, bitmap) -> DataFrame:
 
 def _bitmap(values: DataFrame) -> np.ndarray:
     """About sixteen bits for each value of the one long column, and never more than MOST_BITMAP_BITS: beyond that
-    the bitmap lets more of the others pass, which costs time and no results."""
+    the bitmap lets more of the others pass, which costs time and no results. So the driver gets 64 MB at most, as four
+    million words, however many values there are."""
     n_bits = 1 << (16 * max(values.count(), 1 << 12)).bit_length()
     n_bits = min(n_bits, MOST_BITMAP_BITS)
 
