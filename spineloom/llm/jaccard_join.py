@@ -168,69 +168,48 @@ def _prefixes(docs: DataFrame, sketch, words: int, percent: int, shared=None) ->
     return docs.mapInArrow(task, "token long" if shared is None else "token long, cls long, n int, pos int")
 
 
-def _places(values: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    at = (values ^ (values >> 29)) & (n_bits - 1)
+def _places(hashes: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    at = hashes & (n_bits - 1)
     return at >> 3, (at & 7).astype(np.uint8)
 
 
-def _held(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Which values are in the bitmap; a few others seem to be."""
-    byte, bit = _places(values, bitmap.size * 8)
+def _held(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes are in the bitmap; a few others seem to be."""
+    byte, bit = _places(hashes, bitmap.size * 8)
     return (bitmap[byte] >> bit) & 1 == 1
 
 
 def _chosen_sets(docs: DataFrame, bitmap, words: int) -> DataFrame:
-    """(cls, n, shingles) of the documents whose id the bitmap holds, and perhaps a few more."""
+    """(id, cls, n, shingles) of the documents whose id the bitmap holds, and perhaps a few more."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bitmap.value
-        done: set[int] = set()
         for batch in batches:
-            ids = batch.column(0)
-            values = np.asarray(ids.fill_null(0).to_numpy(zero_copy_only=False), np.int64)
-            chosen = batch.filter(pa.array(_held(held, values) | np.asarray(ids.is_null())))
-            for _, texts in _batches([chosen] if chosen.num_rows else []):
-                found = {}
-                for shingles in _sets(texts, words):
-                    name = _class_of(shingles)
-                    if name is not None and name not in done:
-                        done.add(name)
-                        found[name] = shingles.tobytes()
-                values = list(found.values())
+            chosen = batch.filter(pa.array(_held(bitmap.value, batch.column(2).to_numpy())))
+            for ids, texts in _batches([chosen] if chosen.num_rows else []):
+                sets = _sets(texts, words)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(list(found), pa.int64()),
-                        pa.array([len(v) // 8 for v in values], pa.int64()),
-                        pa.array(values, pa.binary()),
+                        pa.array(ids, pa.int64()),
+                        pa.array([_class_of(s) for s in sets], pa.int64()),
+                        pa.array([s.size for s in sets], pa.int64()),
+                        pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
-                    ["cls", "n", "shingles"],
+                    ["id", "cls", "n", "shingles"],
                 )
 
-    return docs.mapInArrow(task, "cls long, n long, shingles binary")
-
-
-def _chosen_signatures(described: DataFrame, bitmap) -> DataFrame:
-    """(cls, n, sig) of the documents whose id the bitmap holds, and perhaps a few more."""
-
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0)
-            values = np.asarray(ids.fill_null(0).to_numpy(zero_copy_only=False), np.int64)
-            chosen = _held(bitmap.value, values) | np.asarray(ids.is_null())
-            yield batch.select([1, 2, 3]).filter(pa.array(chosen))
-
-    return described.select("id", "cls", "n", "sig").mapInArrow(task, "cls long, n long, sig binary")
+    named = docs.select("id", "text", F.xxhash64("id").alias("hash"))
+    return named.mapInArrow(task, "id long, cls long, n long, shingles binary")
 
 
 def _bitmap(values: DataFrame) -> np.ndarray:
-    """About sixteen bits for each value of the one long column, and never more than MOST_BITMAP_BITS: beyond that
+    """About sixteen bits for each hash in the one long column, and never more than MOST_BITMAP_BITS: beyond that
     the bitmap lets more of the others pass, which costs time and no results. So the driver gets 64 MB at most, as four
     million words, however many values there are."""
     n_bits = 1 << (16 * max(values.count(), 1 << 12)).bit_length()
     n_bits = min(n_bits, MOST_BITMAP_BITS)
 
     (name,) = values.columns
-    at = F.col(name).bitwiseXOR(F.shiftright(name, 29)).bitwiseAND(F.lit(n_bits - 1))
+    at = F.col(name).bitwiseAND(F.lit(n_bits - 1))
     cells = (
         values.where(F.col(name).isNotNull())
         .select(at.alias("at"))
@@ -323,10 +302,15 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tried: list[DataFrame] = []
     labels = spark.createDataFrame([], "node long, label long")
 
-    def chosen(pairs: DataFrame):
-        """The bitmap of one document for each class of the pairs."""
+    def representatives(pairs: DataFrame) -> DataFrame:
+        """(cls, id): one document for each class of the pairs."""
         either = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        return spark.sparkContext.broadcast(_bitmap(stored(either.join(classes, "cls").select("id"))))
+        return stored(either.join(classes, "cls"))
+
+    def of_these(values: DataFrame, chosen: DataFrame) -> DataFrame:
+        """The rows of just these documents, one for each class."""
+        same = (values["cls"] == chosen["cls"]) & values["id"].eqNullSafe(chosen["id"])
+        return stored(values.join(chosen, same, "left_semi"))
 
     def compare(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """The components once the pairs that are similar enough are linked as well."""
@@ -337,11 +321,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         tried.append(pairs)
         if not pairs.take(1):
             return labels
-        signatures = stored(_chosen_signatures(described, chosen(pairs)))
+        signatures = of_these(described.where("cls is not null"), representatives(pairs))
         alike = stored(_kept_pairs(pairs, signatures, "sig", _may_link(percent)))
         if not alike.take(1):
             return labels
-        sets = stored(_chosen_sets(source, chosen(alike), words))
+        chosen = representatives(alike)
+        bitmap = spark.sparkContext.broadcast(_bitmap(chosen.select(F.xxhash64("id").alias("hash"))))
+        sets = of_these(_chosen_sets(source, bitmap, words), chosen)
         links = _kept_pairs(alike, sets, "shingles", _links(percent))
         return stored(components(links.union(labels.toDF("a", "b"))))
 
