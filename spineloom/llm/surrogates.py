@@ -8,14 +8,16 @@ cards keep their first digit and a valid or invalid check digit, addresses get r
 script, number of words and letter case.
 
 Collision check: a surrogate that another entity of the type has, or that is itself an entity of the corpus, is drawn again
-with the next attempt number until all are distinct.
+with the next attempt number until all are distinct. Names grow by a syllable with each attempt; phone, card and social
+security numbers and secrets by a digit from the attempt ``SAME_LENGTH`` on, so forms with few free characters have room
+too. Emails have 2**40 values and more, IP addresses 223**4. A secret has a letter or digit: blank fields are none.
 
 Scale: entities are made distinct before they are moved; only texts with entities are joined, by a hash of the text, so copies
 share their replacement and a frequent entity or text is a skewed join that adaptive execution splits.
 
 Defined results: null texts stay null, empty ones empty; texts without entities are unchanged; repeated rows are replaced
 alike; an empty table gives an empty result; columns of the input are kept, ``n_entities`` and ``entities`` are replaced.
-Without a free surrogate after ``MOST_ATTEMPTS`` draws the job fails rather than let two entities share one.
+Should a draw be stuck all the same (``MOST_ATTEMPTS``), the job fails rather than let two entities share a surrogate.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from spineloom.durable import durable
 
 MOST_ATTEMPTS = 40
+#: Draws of the mention's own length; each further one is a digit longer.
+SAME_LENGTH = 4
 
 # Titles with the gender they tell.
 TITLES = {
@@ -57,7 +61,7 @@ PATTERNS = {
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\p{L}\p{N}])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\p{L}\p{N}])",
     "secret": r"(?<![\p{L}\p{N}])A[KS]IA[A-Z0-9]{16}(?![\p{L}\p{N}])"
-    r"|(?<=[\"'=:]|[=:] )(?<=(?i:\b" + _KEYWORD + r")[\"']?[ ]?[=:][ ]?[\"']?)[A-Za-z0-9+/_.-]{8,}"
+    r"|(?<=[\"'=:]|[=:] )(?<=(?i:\b" + _KEYWORD + r")[\"']?[ ]?[=:][ ]?[\"']?)(?=[+/_.-]*+[A-Za-z0-9])[A-Za-z0-9+/_.-]{8,}"
     r"|(?<![\p{L}\p{N}])[0-9a-fA-F]{32,64}(?![\p{L}\p{N}])",
     "name": r"(?<![\p{L}\p{N}-])(?:" + _TITLE + r")\.? \p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?",
 }
@@ -153,9 +157,11 @@ def _surrogate(key: str) -> Column:
         lambda i: (F.conv(F.substring(hexes, 1 + (4 * i) % 124, 4), 16, 10).cast("bigint") % 10).cast("string"),
     )
     drawn = F.array_join(draw, "")
+    longer = F.greatest(F.col("attempt") - (SAME_LENGTH - 1), F.lit(0))
+    grown = F.substring(F.translate(F.sha2(F.concat(seed, F.lit("\u0000grown")), 256), "abcdef", "012345"), F.lit(1), longer)
     # Cards keep the first digit; the last one makes the check come out as it did, or not as it did not.
     body = F.concat(F.substring(norm, 1, 1), F.substring(drawn, 2, 1000))
-    stem = F.substring(body, F.lit(1), size - 1)
+    stem = F.concat(F.substring(body, F.lit(1), size - 1), grown)
     last = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(stem, d.cast("string")))
     fitting = F.filter(last, lambda c: _checks(c) == _checks(norm))
     card = F.get(fitting, (_number(hexes, 100) % F.size(fitting)).cast("int"))
@@ -190,12 +196,15 @@ def _surrogate(key: str) -> Column:
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
         .when(kind == "card", card)
-        .when(kind == "phone", phone)
-        .when(kind == "ssn", drawn)
+        .when(kind == "phone", F.concat(phone, grown))
+        .when(kind == "ssn", F.concat(drawn, grown))
         .when(kind == "name", F.when(cyrillic, name("cyrillic")).otherwise(name("latin")))
         .otherwise(
-            F.when(norm.rlike("^A[KS]IA[A-Z0-9]{16}$"), F.concat(F.substring(norm, 1, 4), _same_shape(F.substring(norm, 5, 99), hexes)))
-            .otherwise(_same_shape(norm, hexes))
+            F.concat(
+                F.when(norm.rlike("^A[KS]IA[A-Z0-9]{16}$"), F.concat(F.substring(norm, 1, 4), _same_shape(F.substring(norm, 5, 99), hexes)))
+                .otherwise(_same_shape(norm, hexes)),
+                grown,
+            )
         )
     )
 
@@ -221,8 +230,8 @@ def mapping(entities: DataFrame, key: str) -> DataFrame:
 
 
 def _poured(mention: Column, surrogate: Column) -> Column:
-    """The surrogate's digits in the mention's punctuation."""
-    return F.array_join(
+    """The surrogate's digits in the mention's punctuation, those beyond the mention's at the end."""
+    poured = F.array_join(
         F.transform(
             F.split(mention, ""),
             lambda ch, i: F.when(
@@ -232,6 +241,7 @@ def _poured(mention: Column, surrogate: Column) -> Column:
         ),
         "",
     )
+    return F.concat(poured, F.substring(surrogate, F.length(_digits(mention)) + 1, F.length(surrogate)))
 
 
 def _rendered(mention: Column, kind: Column, surrogate: Column) -> Column:

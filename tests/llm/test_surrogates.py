@@ -73,3 +73,23 @@ def test_odd_rows_and_clashing_columns(spark):
     assert S.surrogates(frame.limit(0), "k").collect() == []
     long = "x" * 200_000 + " a@b.co " + "@" * 1000 + "." * 1000
     assert run(spark, [(1, long)])[1].n_entities == 1
+
+
+def test_blank_fields_are_no_secrets_and_few_free_characters_have_room(spark):
+    blank = [(1, "Password: ____________ secret=........ API_KEY=--------")]
+    found = run(spark, blank)
+    assert found[1].text == blank[0][1] and found[1].n_entities == 0
+    # All values of two shapes: no free one has their length.
+    letters = [f"password=______{c}_" for c in "abcdefghijklmnopqrstuvwxyz"]
+    digits = [f"password=_______{d}" for d in range(10)]
+    rows = list(enumerate(letters + digits))
+    found = run(spark, rows)
+    texts = [found[i].text for i, _ in rows]
+    assert len(set(texts)) == len(rows) and not set(texts) & {t for _, t in rows}
+    assert all(found[i].n_entities == 1 for i, _ in rows)
+
+
+def test_longer_numbers_keep_their_last_digits(spark):
+    frame = spark.createDataFrame([("123-45-6789", "1234567890"), ("+12 345", "98765")], "mention string, surrogate string")
+    poured = [r[0] for r in frame.select(S._poured(F.col("mention"), F.col("surrogate"))).collect()]
+    assert poured == ["123-45-67890", "+98 765"]
