@@ -20,6 +20,7 @@ from spineloom.llm.quality_rules import kept_documents
 from spineloom.llm.queries import SURROGATE_KEY
 from spineloom.llm.ship import ship
 from spineloom.llm.surrogates import surrogates
+from spineloom.llm.tables import Tables
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -53,8 +54,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without words link with nothing and all stay.
     """
     ship(spark)
-    # Rows are told apart by their place in the stored documents, as ids may be null or repeated.
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    # Rows are told apart by their place, as ids may be null or repeated; it is written along with them, because another
+    # job may pack the same files into other partitions.
+    rows = Tables(spark, "rows")(docs.withColumn("__row", F.monotonically_increasing_id()))
     links = jaccard_join(rows.select("__row", "text"), id_col="__row")
     groups = links.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
     linked = durable(links.join(groups, "component_id", "left_semi").select("__row", "component_id"))

@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from spineloom.durable import durable
 from spineloom.llm import oracle, queries
 from tests.llm.test_byte_bpe import B
 from tests.llm.test_jaccard_join import brute as groups
@@ -76,3 +77,26 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, str(SF_DIR))
         assert docs.count() == 0
+
+
+def test_near_duplicates_do_not_depend_on_how_files_are_packed(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "documents")
+    for k in range(6):
+        rows = [(100 * k + i, f"{'same text for each of the files' if i == k else f'other words {k} {i} ' * 5}") for i in range(8 + 5 * k)]
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.mode("append").parquet(path)
+    plain = corpus_pipeline.jaccard_join
+
+    def repacked(*args, **named):
+        links = durable(plain(*args, **named))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+        return links
+
+    monkeypatch.setattr(corpus_pipeline, "jaccard_join", repacked)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        left = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, spark.read.parquet(path), "").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert sorted(left) == sorted(100 * k + i for k in range(6) for i in range(8 + 5 * k) if i != k or k == 0)
