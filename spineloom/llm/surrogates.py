@@ -3,9 +3,10 @@
 Entities are found by one pattern and typed by their form: email addresses, phone numbers, IP addresses, card numbers, social
 security numbers, secrets and titled person names. An entity's *normal form* (lower case, digits only, ...) names it through
 the whole corpus, so all its mentions get one surrogate (coreference). A surrogate comes from SHA-256 over a key, the
-type, the normal form and an attempt number, and is of the same kind: digits stay digits in the mention's own punctuation,
+type, the normal form, a gender and an attempt number, and is of the same kind: digits stay digits in the mention's own punctuation,
 cards keep their first digit and a valid or invalid check digit, addresses get reserved domains, names keep title, gender,
-script, number of words and letter case.
+script, number of words and letter case. A name that has titles of both genders is two entities, a man and a woman; its
+mentions without gender (Dr, Prof) are then the man's. Where titles tell one gender only, they are that person's.
 
 Collision check: a surrogate that another entity of the type has, or that is itself an entity of the corpus, is drawn again
 with the next attempt number until all are distinct. Names grow by a syllable with each attempt; phone, card and social
@@ -149,7 +150,7 @@ def _shaped(ch: Column, number: Column, is_hex: Column) -> Column:
 
 def _surrogate(key: str) -> Column:
     """The surrogate's normal form, from the columns type, norm, gender and attempt."""
-    seed = F.concat_ws("\u0000", F.lit(key), F.col("type"), F.col("norm"), F.col("attempt").cast("string"))
+    seed = F.concat_ws("\u0000", F.lit(key), *[F.col(c).cast("string") for c in ("type", "norm", "gender", "attempt")])
     hexes = F.concat(F.sha2(seed, 256), F.sha2(F.concat(seed, F.lit("\u0000more")), 256))
     norm, size = F.col("norm"), F.length("norm")
     draw = F.transform(
@@ -177,7 +178,7 @@ def _surrogate(key: str) -> Column:
         _pick(["example.com", "example.net", "example.org"], _number(hexes, 9)),
     )
     cyrillic = norm.rlike(r"\p{IsCyrillic}")
-    man = F.coalesce(F.col("gender") == "m", _number(hexes, 17) % 2 == 0)
+    man = F.when(F.col("gender") == "", _number(hexes, 17) % 2 == 0).otherwise(F.col("gender") == "m")
 
     def name(script: str) -> Column:
         # Every few attempts the last name grows by a syllable, so there is always room.
@@ -211,19 +212,23 @@ def _surrogate(key: str) -> Column:
 
 def mapping(entities: DataFrame, key: str) -> DataFrame:
     """(type, norm, gender, surrogate): distinct surrogates for distinct entities (type, norm, gender), none of which is
-    an entity itself."""
-    pending = durable(entities.groupBy("type", "norm").agg(F.max("gender").alias("gender")))
+    an entity itself. The gender is "" where no mention tells one."""
+    man, woman = (F.coalesce(F.bool_or(F.col("gender") == g), F.lit(False)).alias(g) for g in "mf")
+    genders = F.filter(F.array(F.when(F.col("m"), "m"), F.when(F.col("f"), "f")), lambda g: g.isNotNull())
+    genders = F.when(F.size(genders) > 0, genders).otherwise(F.array(F.lit("")))
+    norms = entities.groupBy("type", "norm").agg(man, woman)
+    pending = durable(norms.select("type", "norm", F.explode(genders).alias("gender")))
     known = pending.select("type", F.col("norm").alias("surrogate"))
     done = None
     for attempt in range(MOST_ATTEMPTS):
         drawn = durable(pending.withColumn("attempt", F.lit(attempt)).withColumn("surrogate", _surrogate(key)))
-        first = drawn.groupBy("type", "surrogate").agg(F.min("norm").alias("norm"))
-        first = first.join(known, ["type", "surrogate"], "left_anti")
+        first = drawn.groupBy("type", "surrogate").agg(F.min(F.struct("norm", "gender")).alias("of"))
+        first = first.select("type", "surrogate", "of.*").join(known, ["type", "surrogate"], "left_anti")
         if done is not None:
             first = first.join(done.select("type", "surrogate"), ["type", "surrogate"], "left_anti")
-        accepted = durable(drawn.join(first, ["type", "surrogate", "norm"], "left_semi").drop("attempt"))
+        accepted = durable(drawn.join(first, ["type", "surrogate", "norm", "gender"], "left_semi").drop("attempt"))
         done = accepted if done is None else done.union(accepted)
-        pending = durable(drawn.join(accepted, ["type", "norm"], "left_anti").drop("attempt", "surrogate"))
+        pending = durable(drawn.join(accepted, ["type", "norm", "gender"], "left_anti").drop("attempt", "surrogate"))
         if not pending.take(1):
             return done
     raise ValueError(f"no distinct surrogates after {MOST_ATTEMPTS} attempts")
@@ -269,11 +274,15 @@ def surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     mentions = durable(
         texts.select("__a", "__b", F.posexplode("found").alias("at", "mention")).withColumn("e", _entity(F.col("mention")))
     ).select("__a", "__b", "at", "mention", "e.*")
-    named = mapping(mentions, key).select("type", "norm", "surrogate")
+    woman = F.col("gender") == "f"
+    named = mapping(mentions, key).groupBy("type", "norm").agg(
+        F.max(F.when(woman, F.col("surrogate"))).alias("hers"), F.max(F.when(~woman, F.col("surrogate"))).alias("other")
+    )
+    own = F.when(woman, F.col("hers")).otherwise(F.coalesce("other", "hers"))
     written = mentions.join(named, ["type", "norm"]).select(
         "__a",
         "__b",
-        F.struct("at", "type", _rendered(F.col("mention"), F.col("type"), F.col("surrogate")).alias("surrogate")).alias("x"),
+        F.struct("at", "type", _rendered(F.col("mention"), F.col("type"), own).alias("surrogate")).alias("x"),
     )
     replaced = written.groupBy("__a", "__b").agg(F.sort_array(F.collect_list("x")).alias("__new"))
     pieces = F.split(text, PATTERN, -1)

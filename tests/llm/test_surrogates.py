@@ -93,3 +93,13 @@ def test_longer_numbers_keep_their_last_digits(spark):
     frame = spark.createDataFrame([("123-45-6789", "1234567890"), ("+12 345", "98765")], "mention string, surrogate string")
     poured = [r[0] for r in frame.select(S._poured(F.col("mention"), F.col("surrogate"))).collect()]
     assert poured == ["123-45-67890", "+98 765"]
+
+
+def test_a_name_with_titles_of_both_genders_is_two_persons(spark):
+    text = "Mr Robin Lee, Mrs Robin Lee, Dr Robin Lee; Mr Smith, Mrs Smith; Miss Ann Poe, Prof Ann Poe"
+    made = [e.surrogate.split(" ", 1)[1] for e in run(spark, [(1, text), (2, "Frau Robin Lee")])[1].entities]
+    man, woman, doctor, mr, mrs, miss, professor = made
+    assert man != woman and doctor == man and mr != mrs and professor == miss
+    assert man.split()[0] in S.FIRST_NAMES["m", "latin"]
+    assert {woman.split()[0], miss.split()[0]} <= set(S.FIRST_NAMES["f", "latin"])
+    assert run(spark, [(2, "Frau Robin Lee and Mr Robin Lee"), (1, text)])[2].entities[0].surrogate == "Frau " + woman
