@@ -52,8 +52,9 @@ class Codec:
 
         as_char = {b: c for c, b in byte_table().items()}
         spell = lambda token: "".join(map(as_char.__getitem__, token))
-        self.bytes_of = {i: t for t, i in ranks.items()}
         vocabulary = {spell(t): i for t, i in ranks.items()}
+        as_byte = byte_table().__getitem__
+        self.bytes_of = {i: bytes(map(as_byte, spelled)) for spelled, i in vocabulary.items()}
         merges = [(spell(a), spell(b)) for a, b in (split_of(t, ranks) for t in sorted(ranks, key=ranks.get)) if b]
         self._merge = models.BPE(vocab=vocabulary, merges=merges, cache_capacity=0).tokenize
         self._as_char = as_char

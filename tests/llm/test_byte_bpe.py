@@ -64,3 +64,19 @@ def test_digests_encode_and_decode_frames(spark, library):
     for r in B.decode(encoded, RANKS, PATTERN).collect():
         assert bytes(r.decoded).decode() == (texts[r.doc_id] or "") and len(r.ids) == len(r.begins) == len(r.ends)
     assert B.digests(df.limit(0), RANKS, PATTERN).collect() == []
+
+
+def test_decoding_reverses_the_byte_table(monkeypatch):
+    class Table(dict):
+        asked = 0
+
+        def __getitem__(self, char):
+            Table.asked += 1
+            return super().__getitem__(char)
+
+    table = Table(B.byte_table())
+    monkeypatch.setattr(B, "byte_table", lambda: table)
+    ranks = {bytes([b]): b for b in range(256)} | {"é".encode(): 256, b" a": 257}
+    own = B.Codec(ranks, r"\S+|\s+\S+")
+    assert Table.asked == sum(map(len, ranks)) and own.bytes_of == {i: t for t, i in ranks.items()}
+    assert own.decode_bytes([257, 256, 0]) == " aé\0".encode()
