@@ -180,19 +180,26 @@ def _held(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _chosen_sets(docs: DataFrame, bitmap, words: int) -> DataFrame:
-    """(id, cls, n, shingles) of the documents whose id the bitmap holds, and perhaps a few more."""
+    """(id, cls, n, shingles) of the documents whose id the bitmap holds, and perhaps a few more; copies that share an id
+    come once from each task at most."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int | None, int | None]] = set()
         for batch in batches:
             chosen = batch.filter(pa.array(_held(bitmap.value, batch.column(2).to_numpy())))
             for ids, texts in _batches([chosen] if chosen.num_rows else []):
-                sets = _sets(texts, words)
+                rows = []
+                for own, shingles in zip(ids, _sets(texts, words), strict=True):
+                    name = _class_of(shingles)
+                    if (own, name) not in seen:
+                        seen.add((own, name))
+                        rows.append((own, name, shingles))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids, pa.int64()),
-                        pa.array([_class_of(s) for s in sets], pa.int64()),
-                        pa.array([s.size for s in sets], pa.int64()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
+                        pa.array([own for own, _, _ in rows], pa.int64()),
+                        pa.array([name for _, name, _ in rows], pa.int64()),
+                        pa.array([s.size for _, _, s in rows], pa.int64()),
+                        pa.array([s.tobytes() for _, _, s in rows], pa.binary()),
                     ],
                     ["id", "cls", "n", "shingles"],
                 )
@@ -307,10 +314,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         either = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         return stored(either.join(classes, "cls"))
 
-    def of_these(values: DataFrame, chosen: DataFrame) -> DataFrame:
-        """The rows of just these documents, one for each class."""
+    def of_these(values: DataFrame, chosen: DataFrame, value: str) -> DataFrame:
+        """(cls, n, ``value``) of just these documents, one row for each class, also where copies share an id."""
         same = (values["cls"] == chosen["cls"]) & values["id"].eqNullSafe(chosen["id"])
-        return stored(values.join(chosen, same, "left_semi"))
+        own = values.join(chosen, same, "left_semi").groupBy("cls")
+        return stored(own.agg(F.any_value("n").alias("n"), F.any_value(value).alias(value)))
 
     def compare(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """The components once the pairs that are similar enough are linked as well."""
@@ -321,13 +329,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         tried.append(pairs)
         if not pairs.take(1):
             return labels
-        signatures = of_these(described.where("cls is not null"), representatives(pairs))
+        signatures = of_these(described.where("cls is not null"), representatives(pairs), "sig")
         alike = stored(_kept_pairs(pairs, signatures, "sig", _may_link(percent)))
         if not alike.take(1):
             return labels
         chosen = representatives(alike)
         bitmap = spark.sparkContext.broadcast(_bitmap(chosen.select(F.xxhash64("id").alias("hash"))))
-        sets = of_these(_chosen_sets(source, bitmap, words), chosen)
+        sets = of_these(_chosen_sets(source, bitmap, words), chosen, "shingles")
         links = _kept_pairs(alike, sets, "shingles", _links(percent))
         return stored(components(links.union(labels.toDF("a", "b"))))
 

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from spineloom.llm import jaccard_join as jaccard
 from spineloom.llm.components import components
 from spineloom.llm.jaccard_join import jaccard_join
 
@@ -75,3 +76,19 @@ def test_components_of_chains_stars_and_repeats(spark):
     found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert found == {i: 0 for i in range(41)} | {100: 100, 101: 100, 300: 300, 304: 300, 305: 300}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_copies_that_share_an_id_are_fetched_once(spark, monkeypatch):
+    sizes = []
+    plain = jaccard._kept_pairs
+
+    def counted(pairs, values, value, test):
+        sizes.append((value, values.count(), values.select("cls").distinct().count()))
+        return plain(pairs, values, value, test)
+
+    monkeypatch.setattr(jaccard, "_kept_pairs", counted)
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, long)] * 5 + [(None, f"{long} more")] * 5
+    found = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {s[0] for s in sizes} == {"sig", "shingles"} and all(n == classes for _, n, classes in sizes)
+    assert len(found) == 10 and {r.component_id for r in found} == {7}
