@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
 from decimal import Decimal
 from pathlib import Path
 
@@ -58,8 +60,26 @@ def test_agrees_with_sql(spark, duck, name):
     assert dict(df.dtypes) == types
 
 
-def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+def test_every_query_of_the_core_has_sql():
+    assert CHECKS.keys() <= contract.queries().keys()
+    assert CHECKS.keys() <= contract.oracle_sql().keys() <= contract.queries().keys()
+
+
+@pytest.mark.parametrize("lacking", ["spineloom.llm", "public_tokenizers", "pyarrow"])
+def test_queries_of_the_core_need_no_other_package(lacking):
+    """A process of its own in which the package cannot be imported still offers every query of the core."""
+    script = f"""
+import sys, warnings
+warnings.simplefilter("ignore")
+sys.modules[{lacking!r}] = None
+import __spark_entry__ as contract
+from checks.fixtures import CHECKS
+assert CHECKS.keys() <= contract.queries().keys(), "queries are missing"
+assert CHECKS.keys() <= contract.oracle_sql().keys(), "SQL is missing"
+"""
+    root = Path(contract.__file__).parent
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, check=False)
+    assert done.returncode == 0, done.stderr
 
 
 def test_entry_has_rows(spark):
