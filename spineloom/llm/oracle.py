@@ -91,3 +91,35 @@ SELECT doc_id, len(w) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items,
   sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
 FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+#: Counts of every kept term in every source of its language, zeros included, and exact shares by wide integers.
+SQL["op13_source_divergence"] = r"""
+WITH texts AS (SELECT ROW_NUMBER() OVER () AS d, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+  translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+uses AS (SELECT d, lang, source, UNNEST(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts),
+kept AS (SELECT lang, term FROM uses GROUP BY lang, term HAVING COUNT(DISTINCT d) >= 30),
+v AS (SELECT lang, COUNT(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM texts),
+used AS (SELECT lang, source, term, COUNT(*) AS c FROM uses SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+full_ AS (SELECT g.lang, g.source, k.term, COALESCE(u.c, 0) AS c FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+n AS (SELECT lang, source, SUM(c) AS n FROM full_ GROUP BY lang, source),
+p AS (SELECT f.lang, f.source, f.term, f.c,
+    1 + (1000000000::HUGEINT * (f.c + 5)) // (n.n + 5 * v.v) AS p
+  FROM full_ f JOIN n ON n.lang = f.lang AND n.source = f.source JOIN v ON v.lang = f.lang),
+q AS (SELECT f.lang, f.term, 1 + (1000000000::HUGEINT * (SUM(f.c) + 5)) // (ANY_VALUE(m.n) + 5 * ANY_VALUE(v.v)) AS q
+  FROM full_ f JOIN v ON v.lang = f.lang JOIN (SELECT lang, SUM(n) AS n FROM n GROUP BY lang) m ON m.lang = f.lang
+  GROUP BY f.lang, f.term),
+apart AS (SELECT a.lang, a.source, b.source AS item, SUM(ABS(a.p - b.p)) AS value
+  FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(x.value, 0) AS value FROM groups a
+  JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q ON q.lang = p.lang AND q.term = p.term
+  WHERE p.c > 0 AND p.p > q.q),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+WHERE part = 'pair' OR rank <= 50
+"""

@@ -16,6 +16,7 @@ from spineloom.llm.jaccard_join import jaccard_join
 from spineloom.llm.language_id import identify
 from spineloom.llm.quality_rules import judged
 from spineloom.llm.ship import ship
+from spineloom.llm.source_divergence import divergences
 from spineloom.llm.surrogates import surrogates
 from spineloom.llm.toxicity import toxicity
 from spineloom.llm.url_filter import Rules, filter_urls
@@ -119,3 +120,8 @@ def op9_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergences(table(spark, sf_dir, "documents"))
