@@ -123,3 +123,18 @@ ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
 WHERE part = 'pair' OR rank <= 50
 """
+
+#: Every turn is wrapped in 24 characters, and each `<|` of its text (with backslashes between) gets one more.
+SQL["op12_chat_tree"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+found AS (SELECT conv_id, COUNT(*) AS n_turns,
+  string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+  COALESCE(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+  SUM(length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|')) + 24) AS formatted_chars
+  FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars FROM found
+"""
