@@ -14,6 +14,7 @@ from checks.fixtures import (
     events_holes,
     joined,
     orders_gaps,
+    table,
     with_views,
 )
 
@@ -83,6 +84,30 @@ def null_median_approx(spark, sf_dir):
     )
 
 
+# Light lines have no weight yet, dear ones no price.
+SHIP_GAPS = """SELECT l_orderkey, l_linenumber, CASE WHEN l_discount < 0.09 THEN l_extendedprice END AS price,
+    CASE WHEN l_linenumber <> 3 THEN l_quantity END AS quantity FROM lineitem"""
+
+
+@check(
+    "null_median_exact_large",
+    with_views(
+        """SELECT l_orderkey, l_linenumber, COALESCE(price, (SELECT quantile_disc(price, 0.5) FROM gaps)) AS price,
+            COALESCE(quantity, (SELECT quantile_disc(quantity, 0.5) FROM gaps)) AS quantity FROM gaps""",
+        gaps=SHIP_GAPS,
+    ),
+)
+def null_median_exact_large(spark, sf_dir):
+    """Medians of two columns over all order lines, one of them with almost as many values as rows."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(F.col("l_discount") < 0.09, F.col("l_extendedprice")).alias("price"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("quantity"),
+    )
+    return cleaned(lines, rule("price", "median_impute"), rule("quantity", "median_impute"))
+
+
 @check(
     "null_drop",
     with_views("SELECT event_id, user_id, event_type, value FROM evt_gaps WHERE value IS NOT NULL", "evt_gaps"),

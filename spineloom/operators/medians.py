@@ -1,87 +1,112 @@
-"""Global medians of several columns in one pass."""
+"""Global medians of several columns by radix selection: counting passes that narrow a bracket around each median.
+
+A pass counts the values of every column in at most ``CELLS`` cells per column, keeping the smallest and the largest value of
+each cell, and finds the cell in which the running count reaches the middle. The first pass cuts the whole range of a DOUBLE by
+sign and magnitude, its leading digits; each further pass cuts the bracket that is left into even cells, sixteen more bits.
+Nothing but counts is moved: no value is sorted, stored or sent to the driver, and a task hands on one row per cell it saw.
+
+The bracket holds the median whatever rounding does to the cells: it reaches from the smallest value at or above the middle
+cell to the largest at or below it, and values below the bracket are counted anew in the next pass. The counts do not depend
+on how the rows are split into partitions or files, and neither does any answer, approximate ones included.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spineloom.durable import durable
-from spineloom.functions.columns import number_array
-from spineloom.operators.ranking import running_total
+# Fixed bounds: cells of a column in a pass, and how many ranks, as a share of all, an approximate median may be off.
+CELLS = 65_536
+RANK_ERROR = 0.005
 
-# Fixed bounds: a partial summary has a relative rank error of 1 / ACCURACY and is read at POINTS quantiles, so a median
-# is off by at most 1 / ACCURACY + 1 / (2 * POINTS) = 0.35% in rank; GROUPS summaries at most reach the driver.
-ACCURACY = 1_000
-POINTS = 200
-GROUPS = 256
+# Natural logarithms of positive DOUBLEs lie between -745 and 710; 22 cells to a unit use 32,000 per sign.
+_LEAST_LOG = -745
+_CELLS_PER_LOG = 22
 
 
-def approximate_medians(df: DataFrame, values: Mapping[str, Column]) -> dict[str, float | None]:
-    """Median of each DOUBLE expression, all in a single pass; NULLs are ignored, no value at all gives None.
+class Bracket(NamedTuple):
+    """The median lies between two values that occur; ``inside`` values share its cell, of ``total`` in the column."""
 
-    One global ``percentile_approx`` would merge a summary of every input task in one place. Here each of a fixed
-    number of groups of input partitions is summarized on its own, and what is merged at the end is a few hundred short
-    lists of quantiles, each weighted by the number of values behind it.
-    """
-    names = list(values)
-    points = number_array([(i + 0.5) / POINTS for i in range(POINTS)])
-    group = F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("group")
-    summaries = (
-        df.select(group, *[values[n].alias(f"m{i}") for i, n in enumerate(names)])
-        .groupBy("group")
-        .agg(
-            *[F.percentile_approx(f"m{i}", points, F.lit(ACCURACY)).alias(f"q{i}") for i in range(len(names))],
-            *[F.count(f"m{i}").alias(f"n{i}") for i in range(len(names))],
-        )
-        .collect()
-    )
-    return {
-        n: _weighted_median([(value, row[f"n{i}"]) for row in summaries for value in row[f"q{i}"] or ()])
-        for i, n in enumerate(names)
-    }
+    low: float
+    high: float
+    inside: int
+    total: int
 
 
-def _weighted_median(points: list[tuple[float, int]]) -> float | None:
-    half = sum(weight for _, weight in points) / 2
-    reached = 0
-    for value, weight in sorted(points):
-        reached += weight
-        if reached >= half:
-            return value
-    return None
+def _leading(value: Column) -> Column:
+    """Cell by sign and magnitude; larger values never get a smaller cell, and 0 has one of its own."""
+    size = F.floor(F.ln(F.abs(value)) * F.lit(_CELLS_PER_LOG)) - F.lit(_LEAST_LOG * _CELLS_PER_LOG - 1)
+    size = F.when(F.abs(value) == float("inf"), F.lit(CELLS // 2)).otherwise(size)
+    return F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size)
 
 
-def exact_medians(
-    df: DataFrame, values: Mapping[str, Column], rows_per_slice: int | None = None
-) -> dict[str, float | None]:
-    """Lower median of each DOUBLE expression: the smallest value with at least half of the values at or below it.
+def _within(value: Column, bracket: Bracket) -> Column:
+    """Cell of a value in the bracket, -1 below it, NULL above it."""
+    share = (value - F.lit(bracket.low)) / F.lit(bracket.high - bracket.low)
+    cell = F.least(F.floor(share * F.lit(float(CELLS - 1))), F.lit(CELLS - 1))
+    return F.when(value < bracket.low, F.lit(-1)).when(value <= bracket.high, cell)
 
-    Equal values are merged before the shuffle, so what is sorted is the table of distinct values.
-    """
-    names = list(values)
-    wide = df.select(*[values[n].alias(f"m{i}") for i, n in enumerate(names)])
-    counted = durable(
-        wide.unpivot([], wide.columns, "which", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("which", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+
+def _narrowed(df: DataFrame, values: Mapping[int, Column], brackets: Mapping[int, Bracket]) -> dict[int, Bracket]:
+    """One pass over the table: a bracket, or a narrower one, for each column that has values."""
+    wide = df.select(*[value.alias(f"m{i}") for i, value in values.items()])
+    cells = []
+    for i in values:
+        value = F.col(f"m{i}") + F.lit(0.0)  # -0.0 becomes 0.0
+        cells += [F.lit(i), (_within(value, brackets[i]) if i in brackets else _leading(value)).cast("int"), value]
+    long = wide.select(F.stack(F.lit(len(values)), *cells).alias("which", "cell", "value"))
+    counted = (
+        long.where(F.col("cell").isNotNull())
+        .groupBy("which", "cell")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
-    sizes = counted.groupBy("which").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).collect()
-    if not sizes:
-        return dict.fromkeys(names)
-    totals = F.create_map(*[F.lit(x) for row in sizes for x in (row["which"], row["total"])])
-    ranked = running_total(
-        counted,
-        group="which",
-        order=[F.col("value")],
-        weight=F.col("n"),
-        rows=sum(row["distinct"] for row in sizes),
-        name="below",
-        rows_per_slice=rows_per_slice,
+    # A column has CELLS + 1 rows here at most.
+    up_to = Window.partitionBy("which").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from_here = Window.partitionBy("which").orderBy("cell").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    totals = {i: bracket.total for i, bracket in brackets.items()}
+    total = F.sum("n").over(Window.partitionBy("which"))
+    if totals:
+        total = F.create_map(*[F.lit(x) for pair in totals.items() for x in pair])[F.col("which")]
+    placed = counted.select(
+        "which",
+        "n",
+        F.sum("n").over(up_to).alias("reached"),
+        total.alias("total"),
+        F.min("low").over(from_here).alias("low"),
+        F.max("high").over(up_to).alias("high"),
     )
-    half = totals[F.col("which")] / 2
-    middle = ranked.where((F.col("below") < half) & (F.col("below") + F.col("n") >= half))
-    found = {row["which"]: row["value"] for row in middle.select("which", "value").collect()}
-    return {n: found.get(f"m{i}") for i, n in enumerate(names)}
+    middle = placed.where((F.col("reached") * 2 >= F.col("total")) & ((F.col("reached") - F.col("n")) * 2 < F.col("total")))
+    return {row["which"]: Bracket(row["low"], row["high"], row["n"], row["total"]) for row in middle.collect()}
+
+
+def radix_medians(df: DataFrame, values: Mapping[str, Column], rank_error: float = 0.0) -> dict[str, float | None]:
+    """Lower median of each DOUBLE expression; NULLs are ignored, no value at all gives None.
+
+    With ``rank_error`` a column is done as soon as the cell that holds its median has at most that share of the values,
+    and the smallest of them is the answer: a value that occurs, off by fewer ranks than that.
+    """
+    names = list(values)
+    open_ = {i: values[name] for i, name in enumerate(names)}
+    brackets: dict[int, Bracket] = {}
+    done: dict[int, float] = {}
+    while open_:
+        brackets = _narrowed(df, open_, brackets)
+        for i, bracket in brackets.items():
+            if bracket.low == bracket.high or bracket.inside <= rank_error * bracket.total:
+                done[i] = bracket.low
+        open_ = {i: open_[i] for i in brackets if i not in done}
+        brackets = {i: brackets[i] for i in open_}
+    return {name: done.get(i) for i, name in enumerate(names)}
+
+
+def approximate_medians(df: DataFrame, values: Mapping[str, Column]) -> dict[str, float | None]:
+    """Medians within ``RANK_ERROR`` in rank; as a rule two passes."""
+    return radix_medians(df, values, RANK_ERROR)
+
+
+def exact_medians(df: DataFrame, values: Mapping[str, Column]) -> dict[str, float | None]:
+    """The smallest value with at least half of the values at or below it; two to five passes."""
+    return radix_medians(df, values)

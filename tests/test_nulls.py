@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import spineloom as sl
-from spineloom.operators import nulls, ranking
+from spineloom.operators import medians, nulls, ranking
 from spineloom.operators.medians import approximate_medians, exact_medians
 
 RUN = "2024-02-01"
@@ -136,22 +136,70 @@ def test_independent_medians_share_one_pass(gaps, monkeypatch):
     assert passes == [["amount"], ["b"]]
 
 
-def test_exact_medians_over_many_slices(spark):
+def lower_median(values):
+    present = sorted(x for x in values if x is not None)
+    return present[(len(present) + 1) // 2 - 1] if present else None
+
+
+def test_medians_are_exact_for_mixed_columns(spark):
     pick = random.Random(5)
     rows = [(pick.choice([None, float(pick.randint(0, 40)), pick.random() * 40]), pick.randint(0, 3)) for _ in range(997)]
     df = spark.createDataFrame(rows, "x double, few int").repartition(5)
     values = {"x": F.col("x"), "few": F.col("few").cast("double"), "none": F.lit(None).cast("double")}
-    present = sorted(x for x, _ in rows if x is not None)
-    expected = {
-        "x": present[(len(present) + 1) // 2 - 1],
-        "few": float(sorted(f for _, f in rows)[(len(rows) + 1) // 2 - 1]),
-        "none": None,
-    }
-    for slice_rows in (None, 50, 1):
-        assert exact_medians(df, values, rows_per_slice=slice_rows) == expected
-    near = approximate_medians(df, values)["x"]
-    rank = sum(x <= near for x in present) / len(present)
-    assert abs(rank - 0.5) <= 0.01
+    expected = {"x": lower_median(x for x, _ in rows), "few": float(lower_median(f for _, f in rows)), "none": None}
+    assert exact_medians(df, values) == expected
+
+
+EXTREMES = {
+    "neighbours": [1.0 + k * 2.0**-52 for k in range(101)],
+    "far apart": [-1.7e308, 1.7e308, 3.0, 1e-300, -1e300],
+    "infinite": [float("inf")] * 3 + [float("-inf")] * 3 + [7.0],
+    "mostly infinite": [float("-inf")] * 5 + [1.0, 2.0],
+    "smallest": [5e-324 * k for k in range(-3, 9)],
+    "zeros": [0.0, -0.0, 0.0, -1.0, 1.0],
+    "negative": [-(1.1**k) for k in range(64)],
+    "one": [42.5],
+    "magnitudes in one bracket": [1e15 + 0.125 * k for k in range(50)] + [1.0] * 20,
+}
+
+
+@pytest.mark.parametrize("name", EXTREMES)
+def test_medians_of_extreme_doubles(spark, name):
+    df = spark.createDataFrame([(x,) for x in EXTREMES[name]], "x double").repartition(3)
+    assert exact_medians(df, {"x": F.col("x")})["x"] == lower_median(EXTREMES[name])
+
+
+def test_approximate_medians_do_not_depend_on_the_layout(spark):
+    pick = random.Random(11)
+    rows = [(pick.lognormvariate(3, 2), pick.choice([None, 0.5, 1.5]), pick.gauss(0, 1)) for _ in range(4000)]
+    columns = {c: F.col(c) for c in "xyz"}
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    layouts = [df.coalesce(1), df.repartition(7), df.repartitionByRange(5, "x"), df.repartition(3, "y"), df.sort("z")]
+    found = [approximate_medians(layout, columns) for layout in layouts]
+    assert all(f == found[0] for f in found)
+    for i, c in enumerate("xyz"):
+        present = [r[i] for r in rows if r[i] is not None]
+        assert found[0][c] in present
+        below, reached = (sum(test(x, found[0][c]) for x in present) for test in (float.__lt__, float.__le__))
+        assert below <= (0.5 + medians.RANK_ERROR) * len(present)
+        assert reached >= (0.5 - medians.RANK_ERROR) * len(present)
+
+
+def test_median_passes_move_counts_only(spark, monkeypatch):
+    """No pass has more rows than cells, and few passes are needed, whatever the number of distinct values."""
+    df = spark.range(300_000).select((F.hash("id") / 7.0).alias("x"))
+    passes = []
+    narrowed = medians._narrowed
+
+    def spy(df, values, brackets):
+        found = narrowed(df, values, brackets)
+        passes.append(found[0].inside)
+        return found
+
+    monkeypatch.setattr(medians, "_narrowed", spy)
+    assert exact_medians(df, {"x": F.col("x")})["x"] == df.approxQuantile("x", [0.5], 0.0)[0]
+    assert len(passes) <= 4
+    assert passes[-1] == 1
 
 
 def test_running_total_over_slices(spark):
