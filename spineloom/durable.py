@@ -28,6 +28,22 @@ def fresh_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def passing_path(spark: SparkSession, purpose: str) -> str:
+    """A fresh path for intermediate data: its filesystem deletes what is there when the session's JVM ends."""
+    path = fresh_path(spark, purpose)
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+def stored(df: DataFrame, purpose: str = "table") -> DataFrame:
+    """Compute a table once, as Parquet in the shared folder, and read it back with a short lineage."""
+    path = passing_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Compute a small fitted table once and keep it on shared storage."""
     context = df.sparkSession.sparkContext

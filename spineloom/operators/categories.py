@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
 from typing import NamedTuple
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spineloom.durable import durable
+from spineloom.durable import durable, stored
 from spineloom.functions.columns import number_array, text_array
 from spineloom.operators.ranking import running_total
 
@@ -26,10 +26,12 @@ LITERAL_BYTES = 16 * 1024
 
 @dataclass(frozen=True)
 class Source:
-    """One categorical attribute to fit: a STRING expression and the rows it is taken from (None: all)."""
+    """One categorical attribute to fit: a STRING expression, the rows it is taken from (None: all), and a BIGINT that orders
+    them (None: no order)."""
 
     category: Column
     keep: Column | None = None
+    when: Column | None = None
 
 
 class Known(NamedTuple):
@@ -50,13 +52,39 @@ class Known(NamedTuple):
 
 @dataclass(frozen=True)
 class Attribute:
-    """Measured facts about one fitted attribute; ``known`` is set if its map is small."""
+    """Measured facts about one fitted attribute; ``known`` is set if its map is small. ``first`` and ``last`` are the ends
+    of the order of its rows, None where no row has a place in it."""
 
     labels: int
     rows: int
     longest: int
     plain_text: bool = True
     known: Known | None = None
+    first: int | None = None
+    last: int | None = None
+
+    @property
+    def bits(self) -> int:
+        """Binary digits of a category's place."""
+        return (self.labels + 1).bit_length()
+
+    def dated(self, when: Column | None, place: Column) -> Column:
+        """One number that orders rows by time and then by the place of their category; rows without a time come first.
+
+        A BIGINT where the measured range of times leaves room for the place, else a decimal of fixed width: the maximum
+        of either is taken by hashing.
+        """
+        if when is None or self.first is None:
+            return place.cast("long")
+        if (self.last - self.first + 2) << self.bits < 1 << 63:
+            since_first = F.coalesce(when - F.lit(self.first) + F.lit(1), F.lit(0))
+            return F.shiftleft(since_first, self.bits) + place
+        when = F.coalesce(when, F.lit(-(2**63 - 1))).cast("decimal(20,0)")
+        return (when * F.lit(1 << self.bits) + place).cast("decimal(38,0)")
+
+    def place_of(self, dated: Column) -> Column:
+        """The place within such a number."""
+        return F.pmod(dated, F.lit(1 << self.bits)).cast("long")
 
     @property
     def small(self) -> bool:
@@ -98,6 +126,19 @@ class CategoryMaps:
             F.col("position").cast("double").alias("label"),
         )
 
+    def dictionary(self, indices: Iterable[int]) -> DataFrame:
+        """One row per category of these attributes: ``n``, ``label`` and ``code``, its 0-based place in alphabetical order."""
+        named = self.counted.where(F.col("attribute").isin(list(indices)) & F.col("category").isNotNull())
+        rows = sum(self.attributes[i].labels for i in indices)
+
+        def ranked(df: DataFrame, name: str, *order: Column) -> DataFrame:
+            return running_total(
+                df, group="attribute", order=order, weight=F.lit(1), rows=rows, name=name, rows_per_slice=self.rows_per_slice
+            )
+
+        coded = ranked(named.select("attribute", "category", "n"), "code", F.col("category"))
+        return ranked(coded, "label", F.col("n").desc(), F.col("category"))
+
     def map_of(self, index: int) -> DataFrame:
         return self.frame.where(F.col("attribute") == index).select("category", "n", "share", "label")
 
@@ -110,26 +151,31 @@ def fit_categories(
     df: DataFrame, sources: Sequence[Source], rows_per_slice: int | None = None
 ) -> CategoryMaps:
     """Count all categories of all sources in one scan and measure the result."""
-    pairs: list[Column] = []
+    parts: list[Column] = []
     for i, source in enumerate(sources):
         # Rows outside a source fall into one group without an attribute, which is left out after counting.
-        pairs.append(F.lit(i) if source.keep is None else F.when(source.keep, F.lit(i)))
-        pairs.append(source.category if source.keep is None else F.when(source.keep, source.category))
+        parts.append(F.lit(i) if source.keep is None else F.when(source.keep, F.lit(i)))
+        parts.append(source.category if source.keep is None else F.when(source.keep, source.category))
+        parts.append(F.lit(None).cast("long") if source.when is None else source.when)
     counted = durable(
-        df.select(F.stack(F.lit(len(sources)), *pairs).alias("attribute", "category"))
+        df.select(F.stack(F.lit(len(sources)), *parts).alias("attribute", "category", "when"))
         .groupBy("attribute", "category")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("when").alias("first"), F.max("when").alias("last"))
         .where(F.col("attribute").isNotNull())
     )
 
     measured = {
-        row["attribute"]: Attribute(row["labels"], row["rows"], row["longest"] or 0, row["plain_text"] is not False)
+        row["attribute"]: Attribute(
+            row["labels"], row["rows"], row["longest"] or 0, row["plain_text"] is not False, None, row["first"], row["last"]
+        )
         for row in counted.groupBy("attribute")
         .agg(
             F.count("category").alias("labels"),
             F.sum("n").alias("rows"),
             F.max(F.octet_length("category")).alias("longest"),
             F.bool_and(F.is_valid_utf8("category")).alias("plain_text"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
         )
         .collect()
     }
@@ -151,9 +197,9 @@ def _known(counts: dict[str, int], rows: int) -> Known:
     return Known(categories, [counts[c] / rows for c in categories], [rank[c] for c in categories])
 
 
-def _name(category: Column) -> list[Column]:
+def _name(*category: Column) -> list[Column]:
     """128 bits that stand for a category's name, whatever its length."""
-    return [F.xxhash64(category).alias("__name1"), F.xxhash64(F.lit(1), category).alias("__name2")]
+    return [F.xxhash64(*category).alias("__name1"), F.xxhash64(F.lit(1), *category).alias("__name2")]
 
 
 def look_up(
@@ -192,3 +238,35 @@ def look_up(
         .drop("__cold")
     )
     return resolved.unionByName(rest)
+
+
+def latest_codes(pairs: DataFrame, maps: CategoryMaps, indices: Sequence[int], entity: Column) -> DataFrame:
+    """``entity`` with ``__label<i>`` and ``__share<i>`` of the latest category of each attribute ``i``; of equal times the
+    alphabetically last.
+
+    ``pairs`` has an entity's latest time (``when``) of each category it met (``attribute``, ``category``). Every pair gets its
+    category's code, so that what is aggregated by entity are numbers of fixed width, by hashing and for all attributes at
+    once. Hot categories are broadcast, ``BROADCAST_ROWS`` at most for all attributes together; the pairs of others take a
+    shuffle join in which none dominates. The pairs are read for both, so they are stored.
+    """
+    pairs = stored(pairs, "pairs")
+    words = stored(maps.dictionary(indices), "dictionary")
+    rows_of = F.create_map(*[F.lit(x) for i in indices for x in (i, maps.attributes[i].rows)])
+    is_hot = F.col("n") * max(1, BROADCAST_ROWS // len(indices)) >= rows_of[F.col("attribute")]
+    hot = words.where(is_hot).select(*_name(F.col("attribute"), F.col("category")), "code", "label", "n")
+    cold = words.where(~is_hot).select("attribute", "category", "code", "label", "n")
+
+    first, second = _name(F.col("attribute"), F.col("category"))
+    tried = pairs.withColumns({"__name1": first, "__name2": second})
+    tried = tried.join(F.broadcast(hot), ["__name1", "__name2"], "left").drop("__name1", "__name2")
+    rest = tried.where(F.col("code").isNull()).drop("code", "label", "n").join(cold, ["attribute", "category"])
+    coded = tried.where(F.col("code").isNotNull()).unionByName(rest)
+
+    found: list[Column] = []
+    for i in indices:
+        mine = F.col("attribute") == i
+        attribute = maps.attributes[i]
+        order = F.when(mine, attribute.dated(F.col("when"), F.col("code")))
+        found.append(F.max_by(F.when(mine, F.col("label").cast("double")), order).alias(f"__label{i}"))
+        found.append((F.max_by(F.when(mine, F.col("n")), order) / attribute.rows).alias(f"__share{i}"))
+    return coded.groupBy(entity).agg(*found)

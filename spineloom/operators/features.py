@@ -6,8 +6,9 @@ hot entity is reduced on the map side like any other.
 
 Spark aggregates by hashing only while every aggregation buffer has a fixed width; a string in one of them turns the
 whole aggregation into a sort of all input rows. The latest category is therefore kept as a number, day and place of
-the category in its (small) map; attributes with many categories, and minima or maxima of text, go into narrow
-aggregations of their own that are joined by entity.
+the category in its (small) map. Attributes with many categories are reduced to pairs of entity and category, coded by
+their dictionaries and reduced again as numbers, all of them together; minima or maxima of text go into a narrow
+aggregation of their own. Both are joined by entity.
 """
 
 from __future__ import annotations
@@ -23,13 +24,12 @@ from pyspark.sql import types as T
 from spineloom.functions.columns import as_run_date, calendar, instant, numeric, ref, since
 from spineloom.functions.trend import ols_slope
 from spineloom.operators.categories import (
-    LITERAL_LABELS,
+    Attribute,
     CategoryMaps,
-    Known,
     Source,
     as_category,
     fit_categories,
-    look_up,
+    latest_codes,
 )
 from spineloom.operators.nulls import Cleaned, compile_all
 from spineloom.recipe import Aggregation, Definition, Encoding, OwnFeature, TimeWindow, definitions, distinct_keys
@@ -159,39 +159,38 @@ def time_window_column(feature: TimeWindow, rows: _Rows) -> Column:
     return ols_slope(rows.day_number(feature.lookback), rows.real(feature.source_column), inside)
 
 
-def latest_category(
-    df: DataFrame, rows: _Rows, name: str, key: Column, entity_key: str, category_as: str
-) -> DataFrame:
-    """(entity, category) of the most recent row that has one; on the same date the alphabetically last.
+def _when(rows: _Rows) -> Column | None:
+    """What orders the rows of an entity, as BIGINT; None without a date column."""
+    return None if rows.date_column is None else instant(rows._raw_date(), rows.view.types[rows.date_column])
+
+
+def latest_pairs(df: DataFrame, large: Mapping[int, tuple[_Rows, str]], key: Column, entity_key: str) -> DataFrame:
+    """(entity, attribute, category, when): when each entity last met each category of each large attribute, in one scan.
 
-    Events are reduced by hashing to one row per entity and category; only those rows are sorted.
+    Names are grouping keys here and in no buffer, so this hashes.
     """
-    named = rows.view.columns[name].isNotNull()
-    if rows.view.keep is not None:
-        named = named & rows.view.keep
-    category = as_category(rows.view.columns[name], rows.view.types[name])
-    when = F.lit(0).cast("long")
-    if rows.date_column is not None:
-        when = F.coalesce(instant(rows._raw_date(), rows.view.types[rows.date_column]), F.lit(-(2**63 - 1)))
-    pairs = (
-        df.where(named)
-        .select(key.alias(entity_key), category.alias(category_as), when.alias("__when"))
-        .groupBy(ref(entity_key), category_as)
-        .agg(F.max("__when").alias("__when"))
+    parts: list[Column] = []
+    for i, (rows, name) in large.items():
+        named = rows.view.columns[name].isNotNull()
+        if rows.view.keep is not None:
+            named = named & rows.view.keep
+        category = as_category(rows.view.columns[name], rows.view.types[name])
+        when = _when(rows)
+        parts += [F.when(named, F.lit(i)), category, F.lit(None).cast("long") if when is None else when]
+    return (
+        df.where(key.isNotNull())
+        .select(key.alias(entity_key), F.stack(F.lit(len(large)), *parts).alias("attribute", "category", "when"))
+        .where(F.col("attribute").isNotNull())
+        .groupBy(ref(entity_key), "attribute", "category")
+        .agg(F.max("when").alias("when"))
     )
-    latest = F.max(F.struct("__when", category_as))[category_as]
-    return pairs.groupBy(ref(entity_key)).agg(latest.alias(category_as))
 
 
-def latest_position(rows: _Rows, name: str, known: Known) -> Column:
+def latest_position(rows: _Rows, name: str, attribute: Attribute) -> Column:
     """The place of the latest category in a small map, by the same rule, from a maximum over plain numbers."""
-    place = known.position(rows.category(name))
-    if rows.date_column is not None:
-        # Rows without a date come before every dated one. A decimal of fixed width holds any instant and place, and
-        # its maximum is still taken by hashing.
-        when = F.coalesce(rows.instant(), F.lit(-(2**63 - 1))).cast("decimal(20,0)")
-        place = (when * (2 * LITERAL_LABELS) + place).cast("decimal(38,0)")
-    return F.pmod(F.max(_where(rows.kept(), place)), F.lit(2 * LITERAL_LABELS)).cast("long")
+    place = attribute.known.position(rows.category(name))
+    when = None if rows.date_column is None else rows.instant()
+    return attribute.place_of(F.max(_where(rows.kept(), attribute.dated(when, place))))
 
 
 def present(feature: Aggregation | Encoding | TimeWindow, view: Cleaned) -> bool:
@@ -243,7 +242,7 @@ def _aggregate(
     sorted_: dict[str, Column] = {}
     encodings: dict[str, tuple[Encoding, int]] = {}
     helpers: dict[str, Column] = {}
-    categories: dict[int, DataFrame] = {}
+    large: dict[int, tuple[_Rows, str]] = {}
     for view_id, recipe, rows in members:
         for feature in recipe.features:
             if not present(feature, rows.view):
@@ -261,13 +260,11 @@ def _aggregate(
                 encodings[feature.name] = (feature, i)
                 known = maps.attributes[i].known
                 if known:
-                    place = latest_position(rows, feature.source_column, known)
+                    place = latest_position(rows, feature.source_column, maps.attributes[i])
                     helpers[f"__share{i}"] = known.value("share", place)
                     helpers[f"__label{i}"] = known.value("label", place)
                 else:
-                    categories[i] = latest_category(
-                        df, rows, feature.source_column, key, entity_key, f"__category{i}"
-                    )
+                    large[i] = (rows, feature.source_column)
                 if rows.view.keep is not None:
                     helpers[f"__seen{i}"] = F.bool_or(rows.kept())
 
@@ -290,10 +287,9 @@ def _aggregate(
         wide = grouped.agg(*wide_part, *narrow_part)
     else:
         wide = df.select(key.alias(entity_key)).distinct()
-    # Each attribute is looked up by itself and joined by entity, so the plan grows by the same amount for each.
-    for i, latest in categories.items():
-        found = look_up(latest, f"__category{i}", maps, i, {"share": f"__share{i}", "label": f"__label{i}"})
-        wide = wide.join(found, entity_key, "left")
+    if large:
+        pairs = latest_pairs(df, large, key, entity_key)
+        wide = wide.join(latest_codes(pairs, maps, list(large), entity), entity_key, "left")
 
     def finished(name: str) -> Column:
         if name not in encodings:
@@ -359,7 +355,8 @@ def entity_features(
             name = feature.source_column
             if name in rows.view and (view_id, name) not in attribute_of:
                 attribute_of[view_id, name] = len(sources)
-                sources.append(Source(as_category(rows.view.columns[name], rows.view.types[name]), rows.view.keep))
+                category = as_category(rows.view.columns[name], rows.view.types[name])
+                sources.append(Source(category, rows.view.keep, _when(rows)))
     maps = fit_categories(df, sources) if sources else None
 
     def aggregated(part: list[tuple[int, Definition, _Rows]], key: Column) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 import spineloom as sl
 from checks.assembly import ACTIVITY, SPEND
 from checks.cleaning import rule
-from checks.encoding import encoding
+from checks.encoding import enc_multi_entity_large, encoding
 from checks.fixtures import EVENTS_RUN_DATE, events, events_gaps
 from checks.windows import agg, time
 from spineloom.operators import categories
@@ -80,10 +80,9 @@ def test_encodings_of_few_categories_add_no_join_and_no_sort(static_plans):
 def test_encodings_of_many_categories_leave_the_numbers_hashed(static_plans, monkeypatch):
     monkeypatch.setattr(categories, "LITERAL_LABELS", 0)
     text = plan(assemble(events_gaps(static_plans, SF), ACTIVITY, SPEND))
-    # Two for the features, and for the attribute two that reduce events to pairs; the pairs alone are sorted.
-    assert count(text, "HashAggregate") >= 4
-    assert count(text, "SortAggregate") % 2 == 0
-    assert all("user_id" in x and "category" in x for x in re.findall(r"SortAggregate\(key=[^)]*\)[^\n]*", text))
+    # Two for the features, and two that reduce coded pairs to one row per user.
+    assert count(text, "HashAggregate") == 4
+    assert "SortAggregate" not in text
     assert "Cartesian" not in text
     assert "NestedLoop" not in text
 
@@ -160,6 +159,19 @@ def test_large_encodings_grow_the_plan_evenly(static_plans, monkeypatch):
         assert two - one == three - two, node
 
 
+def test_large_encodings_take_three_scans_and_no_sort(static_plans, monkeypatch):
+    """One scan counts the categories, one gathers the pairs of all attributes, one finds the entities."""
+    texts = []
+    for name in ("durable", "stored"):
+        keep = getattr(categories, name)
+        monkeypatch.setattr(categories, name, lambda df, *a, keep=keep: texts.append(plan(df)) or keep(df, *a))
+    texts.append(plan(enc_multi_entity_large(static_plans, SF)))
+    assert sum(len(re.findall(r"FileScan parquet[^\n]*lineitem", text)) for text in texts) == 3
+    assert all("SortAggregate" not in text for text in texts)
+    assert count(texts[-1], "HashAggregate") == 4
+    assert count(texts[-1], "Exchange hashpartitioning") <= 4
+
+
 def test_a_timestamp_column_takes_one_scan_and_no_sort(static_plans):
     df = events_gaps(static_plans, SF)
     text = plan(sl.assemble_features(df, [ACTIVITY, SPEND], "user_id", "ts", EVENTS_RUN_DATE))
