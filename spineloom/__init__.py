@@ -24,8 +24,10 @@ from spineloom.plans.assemble import (
 )
 from spineloom.plans.daily import Run, run_daily
 from spineloom.recipe import Aggregation, Definition, Encoding, NullRule, OwnFeature, Settings, TimeWindow, definition, definitions
+from spineloom.sources.landing import Landed, land_day, read_landed
+from spineloom.sources.publish import remove_replaced
 from spineloom.sources.raw import read_raw, require_rows
-from spineloom.sources.registry import latest_entries, read_registry, registry_entry, update_registry, upsert
+from spineloom.sources.registry import latest_entries, read_registry, registry_entry, registry_history, update_registry, upsert
 from spineloom.sources.store import Written, read_features, write_features
 
 __all__ = [
@@ -33,6 +35,7 @@ __all__ = [
     "DataQualityError",
     "Definition",
     "Encoding",
+    "Landed",
     "NullRule",
     "OwnFeature",
     "Run",
@@ -49,6 +52,7 @@ __all__ = [
     "entity_spine",
     "failures",
     "handle_nulls",
+    "land_day",
     "latest_entries",
     "left_join_spine",
     "lookback",
@@ -57,9 +61,12 @@ __all__ = [
     "quality_gate",
     "quality_report",
     "read_features",
+    "read_landed",
     "read_raw",
     "read_registry",
     "registry_entry",
+    "registry_history",
+    "remove_replaced",
     "require_rows",
     "run_daily",
     "schema_report",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,7 +160,25 @@ def quality_gate(
     """
     report = quality_report(df, entity_key, date_column, max_null_rate, required, expected_types)
     rows = report.collect()
+    fail_if_any(rows, pipeline_name)
+    return df.sparkSession.createDataFrame(rows, REPORT)
+
+
+def fail_if_any(rows: Iterable[Row], pipeline_name: str = "") -> None:
+    """Raise ``DataQualityError`` naming every failed check of a report."""
     failed = [row["detail"] for row in rows if not row["passed"]]
     if failed:
         raise DataQualityError(GATE_FAILED.format(pipeline_name, "\n  ".join(failed)))
-    return df.sparkSession.createDataFrame(rows, REPORT)
+
+
+def null_checks(nulls: Mapping[str, int], row_count: int, max_null_rate: float) -> list[Row]:
+    """The rows of ``null_report``, from counts that something else has taken."""
+    if not row_count:
+        return [Row(column="*", check="null_rate", passed=False, detail=EMPTY)]
+    out = []
+    for name, n in nulls.items():
+        rate = n / row_count
+        passed = rate <= max_null_rate
+        detail = "" if passed else TOO_MANY_NULLS % (name, rate * 100, max_null_rate * 100)
+        out.append(Row(column=name, check="null_rate", passed=passed, detail=detail))
+    return out

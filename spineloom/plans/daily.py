@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import NamedTuple
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from spineloom.operators.quality import quality_gate
 from spineloom.plans.assemble import assemble_features
 from spineloom.recipe import Definition, Settings, definitions
+from spineloom.sources.landing import land_day, read_landed
 from spineloom.sources.raw import read_raw
 from spineloom.sources.registry import registry_entry, update_registry
 from spineloom.sources.store import write_features
@@ -25,9 +26,31 @@ def run_daily(spark: SparkSession, settings: Settings, specs: Iterable[Mapping |
     """Read, check, compute, store, register. A failed check raises before anything is written.
 
     With ``lookback_days`` the run reads that many days of history; otherwise, like a snapshot source, only the
-    partition of the run date.
+    partition of the run date. With a ``landing_path`` the raw day is landed first, and history is what was landed before.
     """
     recipes = definitions(specs, settings.entity_key)
+    raw = landed_day(spark, settings) if settings.landing_path else checked_raw(spark, settings)
+    features = assemble_features(
+        raw, recipes, settings.entity_key, settings.date_column, settings.run_date, **options
+    )
+    written = write_features(features, settings.store_path, settings.entity_type, settings.run_date)
+    columns = [name for name in features.columns if name != settings.entity_key]
+    entry = registry_entry(
+        spark,
+        settings.pipeline_name,
+        settings.entity_type,
+        settings.entity_key,
+        settings.run_date,
+        written.path,
+        columns,
+        recipes,
+    )
+    update_registry(settings.registry_path, entry)
+    return Run(written.path, written.rows, len(columns))
+
+
+def checked_raw(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The raw files as they are, after the row gate and the quality gate."""
     raw = read_raw(
         spark,
         settings.raw_path,
@@ -46,20 +69,24 @@ def run_daily(spark: SparkSession, settings: Settings, specs: Iterable[Mapping |
         expected_types=settings.expected_types,
         pipeline_name=settings.pipeline_name,
     )
-    features = assemble_features(
-        raw, recipes, settings.entity_key, settings.date_column, settings.run_date, **options
+    return raw
+
+
+def landed_day(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The raw day landed as Parquet, with both gates in the pass that writes it, and the landed days of the lookback."""
+    raw = read_raw(
+        spark, settings.raw_path, settings.input_format, run_date=settings.run_date, schema=settings.schema, min_row_count=0
     )
-    written = write_features(features, settings.store_path, settings.entity_type, settings.run_date)
-    columns = [name for name in features.columns if name != settings.entity_key]
-    entry = registry_entry(
-        spark,
-        settings.pipeline_name,
-        settings.entity_type,
-        settings.entity_key,
+    land_day(
+        raw,
+        settings.landing_path,
         settings.run_date,
-        written.path,
-        columns,
-        recipes,
+        settings.entity_key,
+        settings.date_column,
+        max_null_rate=settings.max_null_rate,
+        min_row_count=settings.min_row_count,
+        required=settings.required,
+        expected_types=settings.expected_types,
+        pipeline_name=settings.pipeline_name,
     )
-    update_registry(settings.registry_path, entry)
-    return Run(written.path, written.rows, len(columns))
+    return read_landed(spark, settings.landing_path, settings.run_date, settings.lookback_days)

@@ -29,7 +29,7 @@ DEFAULT_LOOKBACK = {"rolling_mean": 7, "rolling_slope": 30}
 
 
 #: Columns that the feature store adds, and the start of the names of helper columns.
-RESERVED = ("date", "entity_type")
+RESERVED = ("date", "entity_type", "run")
 HELPERS = "__"
 
 
@@ -159,6 +159,8 @@ class Settings:
     schema: str | None = None
     required: tuple[str, ...] = ()
     expected_types: Mapping[str, str] | None = None
+    #: Where the raw day is landed as checked Parquet; None: the raw files are read as they are.
+    landing_path: str | None = None
 
     def __post_init__(self):
         distinct_keys(self.entity_key, self.date_column)

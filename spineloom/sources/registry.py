@@ -72,18 +72,20 @@ def latest_entries(history: DataFrame) -> DataFrame:
 
 
 def update_registry(path: str, entry: DataFrame) -> None:
-    """Replace the entry of this pipeline and keep all others.
+    """Append the entry: it replaces the pipeline's entry before for every reader, and no other.
 
-    The entry is its own partition and only that partition is overwritten: nothing is read back, so no read error can
-    wipe the catalogue, and pipelines that finish at the same time do not touch each other's files.
+    The catalogue is the history of its entries and readers take the newest of each pipeline. An entry is one file, there or
+    not: no reader sees a gap, no read error can wipe the catalogue, and pipelines that finish at the same time do not touch
+    each other's files.
     """
-    (
-        entry.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("pipeline_name")
-        .parquet(path)
-    )
+    entry.coalesce(1).write.mode("append").partitionBy("pipeline_name").parquet(path)
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The newest entry of each pipeline."""
+    return latest_entries(registry_history(spark, path))
+
+
+def registry_history(spark: SparkSession, path: str) -> DataFrame:
+    """All entries that were ever made, one a run."""
     return spark.read.schema(ENTRY).parquet(path).select(*ENTRY.names)

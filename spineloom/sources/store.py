@@ -1,18 +1,17 @@
-"""The feature store: Parquet partitioned by entity type and date, one replaceable partition per run."""
+"""The feature store: Parquet by entity type and date, one run of each published at a time."""
 
 from __future__ import annotations
 
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spineloom.functions.columns import as_run_date
+from spineloom.functions.columns import as_run_date, ref
 from spineloom.recipe import RESERVED
-
-# Fixed value: the characters that Spark percent-encodes in the names of partition directories.
-_ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(1, 32))))
+from spineloom.sources.publish import RUN, place_of, publish, published, stage
 
 
 class Written(NamedTuple):
@@ -20,47 +19,48 @@ class Written(NamedTuple):
     rows: int
 
 
-def _type_path(root: str, entity_type: str) -> str:
-    name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in entity_type)
-    return f"{root.rstrip('/')}/entity_type={name}"
+def _refuse_reserved(df: DataFrame) -> None:
+    if clashing := [c for c in df.columns if c.lower() in RESERVED]:
+        raise ValueError(f"the store keeps these columns in its directories: {', '.join(clashing)}")
 
 
 def write_features(df: DataFrame, root: str, entity_type: str, run_date: str | dt.date) -> Written:
-    """Write one run to ``root/entity_type=.../date=...`` and return that path and the row count.
+    """Write one run to ``root/entity_type=.../date=.../run=...``, publish it, and return that path and the row count.
 
-    The run's directory is overwritten, also by a run without rows, so a rerun is idempotent and other days stay. The
-    count is observed while writing: the plan is executed once.
+    It takes the place of the day's run before, also without rows, so a rerun is idempotent and other days stay. Readers see
+    the old run until the new one is complete, and for good if it fails. The count is observed while writing: the plan is
+    executed once.
     """
-    if clashing := [c for c in df.columns if c.lower() in RESERVED]:
-        raise ValueError(f"the store keeps these columns in its directories: {', '.join(clashing)}")
-    path = f"{_type_path(root, entity_type)}/date={as_run_date(run_date).isoformat()}"
-    counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return Written(path, counted.get["rows"])
+    _refuse_reserved(df)
+    staged = stage(df, root, place_of(entity_type=entity_type, date=as_run_date(run_date).isoformat()))
+    publish(df.sparkSession, staged)
+    return Written(staged.path, staged.metrics["rows"])
 
 
 def read_features(
     spark: SparkSession, root: str, entity_type: str | None = None, run_date: str | dt.date | None = None
 ) -> DataFrame:
-    """Read the store with ``entity_type`` (STRING) and ``date`` (DATE) after the features.
+    """Read the published runs with ``entity_type`` (STRING) and ``date`` (DATE) after the features.
 
-    An entity type is read from its own directory and has its own columns; over several days the columns of all of
+    An entity type is read from its own directories and has its own columns; over several days the columns of all of
     them. Without an entity type the columns of all types are united.
     """
-    day = None if run_date is None else as_run_date(run_date)
-    if entity_type is None:
-        merged = spark.read.option("mergeSchema", True).parquet(root).schema
-        # Given types keep a directory name as it is: entity type 007 is text.
-        features = [f"`{f.name}` {f.dataType.simpleString()}" for f in merged.fields if f.name not in RESERVED]
-        df = spark.read.schema(", ".join([*features, "entity_type string", "date date"])).parquet(root)
-        return df if day is None else df.where(F.col("date") == F.lit(day))
-    path = _type_path(root, entity_type)
-    if day is None:
-        df = spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
-        date = F.col("date").cast("date")
-    else:
-        path = f"{path}/date={day.isoformat()}"
-        df = spark.read.option("basePath", path).parquet(path)
-        date = F.lit(day)
-    features = [c for c in df.columns if c != "date"]
-    return df.select(*[df[f"`{c}`"] for c in features], F.lit(entity_type).alias("entity_type"), date.alias("date"))
+    root = root.rstrip("/")
+    keys = {} if entity_type is None else {"entity_type": entity_type}
+    if entity_type is not None and run_date is not None:
+        keys["date"] = as_run_date(run_date).isoformat()
+    runs = published(spark, root, place_of(**keys))
+    if entity_type is None and run_date is not None:
+        day = f"date={as_run_date(run_date).isoformat()}"
+        runs = {place: path for place, path in runs.items() if place.endswith(day)}
+    if not runs:
+        raise ValueError(f"nothing is published below {root} for {run_date}")
+    reader = spark.read.option("basePath", root)
+    paths = sorted(runs.values())
+    merged = reader.option("mergeSchema", len(paths) > 1).parquet(*paths).schema
+    features = [T.StructField(f.name, f.dataType) for f in merged.fields if f.name not in (*RESERVED, RUN)]
+    # Given types keep a directory name as it is: entity type 007 is text.
+    added = [T.StructField("entity_type", T.StringType()), T.StructField("date", T.DateType()), T.StructField(RUN, T.StringType())]
+    df = spark.read.option("basePath", root).schema(T.StructType([*features, *added])).parquet(*paths)
+    return df.select(*[ref(f.name) for f in features], F.col("entity_type"), F.col("date"))
+

@@ -86,7 +86,7 @@ def test_rerun_replaces_only_its_partition(spark, tmp_path):
     first = sl.write_features(df, root, "customer", "2024-01-02")
     again = sl.write_features(df.limit(5), root, "customer", "2024-01-02")
     assert (other.rows, first.rows, again.rows) == (3, 12, 5)
-    assert again.path == f"{root}/entity_type=customer/date=2024-01-02"
+    assert again.path.startswith(f"{root}/entity_type=customer/date=2024-01-02/run=") and again.path != first.path
     counts = {(r[0], str(r[1])): r[2] for r in sl.read_features(spark, root).groupBy("entity_type", "date").count().collect()}
     assert counts == {("customer", "2024-01-01"): 12, ("customer", "2024-01-02"): 5, ("supplier", "2024-01-01"): 3}
     assert sl.read_features(spark, root, "customer", "2024-01-02").count() == 5
@@ -203,10 +203,12 @@ def test_daily_run(spark, tmp_path):
     assert (run.rows, run.feature_count) == (4, 2)
     assert sorted(spark.read.parquet(run.output_path).collect()) == [(f"c{i}", 1, 0) for i in range(4)]
     again = sl.run_daily(spark, settings(tmp_path, lookback_days=4), [SPEC])
-    assert again == run
-    assert sorted(spark.read.parquet(run.output_path).collect()) == [(f"c{i}", 3, 0) for i in range(4)]
+    assert again[1:] == run[1:]
+    assert sorted(spark.read.parquet(again.output_path).collect()) == [(f"c{i}", 3, 0) for i in range(4)]
     registered = sl.read_registry(spark, str(tmp_path / "registry")).collect()
-    assert [(r["pipeline_name"], r["output_path"], r["feature_count"]) for r in registered] == [("daily", run.output_path, 2)]
+    assert [(r["pipeline_name"], r["output_path"], r["feature_count"]) for r in registered] == [("daily", again.output_path, 2)]
+    history = sl.registry_history(spark, str(tmp_path / "registry")).collect()
+    assert sorted(r["output_path"] for r in history) == sorted([run.output_path, again.output_path])
 
 
 def test_failed_check_writes_nothing(spark, tmp_path):
@@ -218,3 +220,74 @@ def test_failed_check_writes_nothing(spark, tmp_path):
         sl.run_daily(spark, settings(tmp_path, min_row_count=5), [SPEC])
     assert not (tmp_path / "store").exists()
     assert not (tmp_path / "registry").exists()
+
+
+def failing(df):
+    """The same rows, but the task that reaches the last of them fails."""
+    broken = F.when(F.col("amount") == 3, F.raise_error(F.lit("no power"))).otherwise(F.col("amount"))
+    return df.repartition(4, "amount").withColumn("amount", broken.cast("double"))
+
+
+def test_a_run_that_fails_midway_leaves_the_old_day_readable(spark, tmp_path):
+    root = str(tmp_path / "store")
+    old = sl.write_features(events(spark), root, "customer", "2024-01-02")
+    reader = sl.read_features(spark, root, "customer", "2024-01-02")
+    with pytest.raises(Exception, match="no power"):
+        sl.write_features(failing(events(spark)), root, "customer", "2024-01-02")
+    assert sl.read_features(spark, root, "customer", "2024-01-02").count() == old.rows
+    new = sl.write_features(events(spark).limit(2), root, "customer", "2024-01-02")
+    # A reader that started before goes on with the files it began with.
+    assert reader.count() == old.rows
+    assert sl.read_features(spark, root, "customer", "2024-01-02").count() == 2
+    assert sl.remove_replaced(spark, root) == []
+    removed = sl.remove_replaced(spark, root, dt.timedelta(seconds=-5))
+    assert old.path in removed and new.path not in removed and len(removed) == 2
+    assert sl.read_features(spark, root, "customer", "2024-01-02").count() == 2
+
+
+def test_a_day_that_was_never_published_is_no_day(spark, tmp_path):
+    root = str(tmp_path / "store")
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        sl.read_features(spark, root, "customer")
+    sl.write_features(events(spark), root, "customer", "2024-01-02")
+    with pytest.raises(Exception, match="no power"):
+        sl.write_features(failing(events(spark)), root, "customer", "2024-01-03")
+    assert [str(r["date"]) for r in sl.read_features(spark, root).select("date").distinct().collect()] == ["2024-01-02"]
+    with pytest.raises(ValueError, match="nothing is published"):
+        sl.read_features(spark, root, run_date="2024-01-03")
+
+
+def test_landing_checks_while_it_writes(spark, tmp_path):
+    root = str(tmp_path / "landed")
+    landed = sl.land_day(events(spark), root, "2024-01-05", "customer_id", "event_date", min_row_count=12)
+    assert landed.rows == 12
+    assert {(r["column"], r["check"], r["passed"]) for r in landed.report.collect()} == {
+        ("customer_id", "presence", True),
+        ("event_date", "presence", True),
+        *((c, "null_rate", True) for c in ("customer_id", "event_date", "amount")),
+    }
+    day = sl.read_landed(spark, root, "2024-01-05")
+    assert day.columns == ["customer_id", "event_date", "amount", "date"] and day.count() == 12
+    gaps = events(spark).withColumn("amount", F.when(F.col("amount") > 0, F.col("amount")))
+    with pytest.raises(sl.DataQualityError, match=r"pipeline 'daily':\n  Column 'amount' null rate 25.00% exceeds threshold 5.00%"):
+        sl.land_day(gaps, root, "2024-01-05", "customer_id", "event_date", pipeline_name="daily")
+    with pytest.raises(ValueError, match="Ingested 12 rows .* 13"):
+        sl.land_day(events(spark), root, "2024-01-05", "customer_id", "event_date", min_row_count=13)
+    with pytest.raises(sl.DataQualityError, match="is empty"):
+        sl.land_day(events(spark).where("false"), root, "2024-01-05", "customer_id", "event_date", min_row_count=0)
+    with pytest.raises(sl.DataQualityError, match="expected date, got StringType"):
+        sl.land_day(events(spark).withColumn("event_date", F.lit("x")), root, "2024-01-05", "customer_id", "event_date", expected_types={"event_date": "date"})
+    # The day is still the one that passed, and refused runs are no days.
+    assert sl.read_landed(spark, root).count() == 12
+    with pytest.raises(ValueError, match="no day is published"):
+        sl.read_landed(spark, root, "2024-01-04")
+
+
+def test_daily_run_over_landed_days(spark, tmp_path):
+    daily = events(spark).withColumn("date", F.col("event_date"))
+    daily.write.partitionBy("date").option("header", True).csv(str(tmp_path / "raw"))
+    options = {"input_format": "csv", "landing_path": str(tmp_path / "landed"), "lookback_days": 4}
+    for day in ("2024-01-01", "2024-01-02", "2024-01-05"):
+        run = sl.run_daily(spark, settings(tmp_path, run_date=day, **options), [SPEC])
+    assert sorted(spark.read.parquet(run.output_path).collect()) == [(f"c{i}", 3, 0) for i in range(4)]
+    assert sl.read_landed(spark, str(tmp_path / "landed")).count() == 12
