@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from checks.fixtures import (
     ORDERS_RUN_DATE,
     Part,
     check,
+    events,
     events_gaps,
     joined,
     orders_gaps,
@@ -305,3 +307,139 @@ def registry_upsert(spark, sf_dir):
     _run(spark, raw, "activity", [ACTIVITY, SPEND], path)
     _run(spark, raw, "activity", [ACTIVITY], path)
     return _entries(spark, sl.read_registry(spark, path))
+
+
+@check(
+    "registry_merge",
+    _entries_sql({"activity": [ACTIVITY], "spend": [SPEND]}),
+)
+def registry_merge(spark, sf_dir):
+    """Two catalogues united: of a pipeline that both know, the newer entry."""
+    raw = _raw(spark, sf_dir)
+    old, new = fresh_path(spark, "registry"), fresh_path(spark, "registry")
+    _run(spark, raw, "activity", [ACTIVITY, SPEND], old)
+    _run(spark, raw, "spend", [SPEND], old)
+    _run(spark, raw, "activity", [ACTIVITY], new)
+    return _entries(spark, sl.upsert(sl.read_registry(spark, old), sl.read_registry(spark, new)))
+
+
+@check(
+    "store_vector_all_types",
+    """SELECT 'user' AS entity_type, user_id AS entity, CAST(COUNT(*) AS DOUBLE) AS n FROM events GROUP BY user_id
+    UNION ALL SELECT 'customer', o_custkey, COUNT(*) FROM orders GROUP BY o_custkey""",
+)
+def store_vector_all_types(spark, sf_dir):
+    """The whole store read at once, where one type keeps sparse vectors and another a name with a backtick."""
+    root = fresh_path(spark, "store")
+    kinds = [encoding("kind", "event_type", "onehot")]
+    spec = {"entity_type": "user", "aggregations": [agg("n", "event_id", "count")], "encodings": kinds}
+    users = sl.assemble_features(events_gaps(spark, sf_dir), [spec], "user_id", "event_date", EVENTS_RUN_DATE, onehot="vector")
+    orders = sl.aggregate_features(orders_gaps(spark, sf_dir), [agg("n`o", "o_orderkey", "count")], "o_custkey", "order_date", ORDERS_RUN_DATE)
+    sl.write_features(users, root, "user", EVENTS_RUN_DATE)
+    sl.write_features(orders, root, "customer", ORDERS_RUN_DATE)
+    found = sl.read_features(spark, root)
+    # A one-hot vector has one 1 in it, so its sum tells whether it was read.
+    ones = F.aggregate(vector_to_array("kind"), F.lit(0.0), lambda total, x: total + x)
+    return found.select(
+        "entity_type",
+        F.coalesce("user_id", "o_custkey").alias("entity"),
+        F.coalesce(F.col("n") * ones, F.col("`n``o`")).cast("double").alias("n"),
+    )
+
+
+@check(
+    "store_side_by_side",
+    """WITH evt AS (SELECT *, CAST(ts AS DATE) AS event_date FROM events),
+    old AS (SELECT user_id, COUNT(*) AS n, SUM(value) AS total FROM evt WHERE event_date >= DATE '2024-01-30' - 7 GROUP BY user_id),
+    now AS (SELECT user_id, COUNT(*) AS n, SUM(value) AS total FROM evt WHERE event_date >= DATE '2024-01-31' - 7 GROUP BY user_id)
+    SELECT s.user_id, now.n AS n_20240131, ROUND(now.total, 8) AS total_20240131, old.n AS n_20240130,
+        ROUND(old.total, 8) AS total_20240130
+    FROM (SELECT DISTINCT user_id FROM evt) s LEFT JOIN now ON now.user_id = s.user_id LEFT JOIN old ON old.user_id = s.user_id""",
+)
+def store_side_by_side(spark, sf_dir):
+    """Two days of the store, kept in buckets by user, joined without an exchange."""
+    root = fresh_path(spark, "store")
+    specs = [agg("n", "event_id", "count", 7), agg("total", "value", "sum", 7)]
+    for day in ("2024-01-30", EVENTS_RUN_DATE):
+        features = sl.aggregate_features(events(spark, sf_dir), specs, "user_id", "event_date", day)
+        sl.write_features(features, root, "user", day, buckets=("user_id", 8))
+    return tidy(sl.side_by_side(spark, root, "user", "user_id", [EVENTS_RUN_DATE, "2024-01-30"]))
+
+
+def _own(name: str, column, days: int | None = None) -> dict:
+    return {"name": name, "column": column, "window_days": days}
+
+
+@check(
+    "own_feature",
+    """WITH evt AS (SELECT *, CAST(ts AS DATE) AS event_date FROM events),
+    s AS (SELECT DISTINCT user_id FROM evt),
+    a AS (SELECT user_id, COUNT(*) AS n FROM evt GROUP BY user_id),
+    w AS (SELECT user_id, ROUND(MAX(value) - MIN(value), 8) AS spread_7d, MAX(event_type) AS last_type_7d,
+        COUNT(DISTINCT event_type) AS types_7d FROM evt WHERE event_date >= DATE '2024-01-31' - 7 GROUP BY user_id)
+    SELECT s.user_id, a.n, w.spread_7d, w.last_type_7d, COALESCE(w.types_7d, 0) AS types_7d
+    FROM s LEFT JOIN a ON a.user_id = s.user_id LEFT JOIN w ON w.user_id = s.user_id""",
+)
+def own_feature(spark, sf_dir):
+    """Features of the caller's over numbers, over text and over sets, beside a plain count."""
+    spec = {
+        "entity_type": "user",
+        "aggregations": [agg("n", "event_id", "count")],
+        "own": [
+            _own("spread_7d", lambda r: F.max(r.value("value")) - F.min(r.value("value")), 7),
+            _own("last_type_7d", lambda r: F.max(r.value("event_type")), 7),
+            _own("types_7d", lambda r: F.size(F.collect_set(r.value("event_type"))).cast("bigint"), 7),
+        ],
+    }
+    return tidy(sl.assemble_features(events(spark, sf_dir), [spec], "user_id", "event_date", EVENTS_RUN_DATE))
+
+
+# What the states hold: everything of SPEND but its encoding, and some all-time features beside.
+STATED = {
+    **SPEND,
+    "aggregations": [
+        *SPEND["aggregations"],
+        agg("spends", "event_id", "count"),
+        agg("spend_mean", "value", "mean"),
+        agg("spend_stddev", "value", "stddev"),
+        agg("spend_stddev_14d", "value", "stddev", 14),
+        agg("spend_min", "value", "min"),
+    ],
+    "encodings": [],
+    "time_windows": [*SPEND["time_windows"], time("days_since_spend", "event_date", "days_diff")],
+}
+
+
+@check(
+    "states_merged_by_era",
+    with_views(
+        joined(
+            "evt_gaps",
+            "user_id",
+            [
+                *[p for p in SPEND_PARTS if p.name != "spend_type_share"],
+                Part("spends", "COUNT(event_id)", "spend", double=False),
+                Part("spend_mean", "AVG(value)", "spend"),
+                Part("spend_stddev", "STDDEV_SAMP(value)", "spend"),
+                Part("spend_stddev_14d", "STDDEV_SAMP(value)", "spend", _since(14)),
+                Part("spend_min", "MIN(value)", "spend"),
+                Part("days_since_spend", "CAST(date_diff('day', MAX(event_date), DATE '2024-01-31') AS INTEGER)", "spend", double=False),
+            ],
+        ),
+        "evt_gaps",
+        spend=SPEND_VIEW,
+    ),
+)
+def states_merged_by_era(spark, sf_dir):
+    """The events arrive in three parts; each is reduced to its daily states, and days no window reaches are merged."""
+    df = events_gaps(spark, sf_dir)
+    first, second = F.lit("2024-01-11").cast("date"), F.lit("2024-01-22").cast("date")
+    date = F.col("event_date")
+    root, states = fresh_path(spark, "states"), None
+    for day, part in (("2024-01-10", date < first), ("2024-01-21", (date >= first) & (date < second)), (EVENTS_RUN_DATE, date >= second)):
+        more = sl.day_states(df.where(part), [STATED], "user_id", "event_date")
+        both = more if states is None else states.unionByName(more)
+        keep_from = dt.date.fromisoformat(day) - dt.timedelta(days=14)
+        written = sl.write_features(sl.merge_states(both, [STATED], "user_id", keep_from), root, "user", day)
+        states = spark.read.parquet(written.path)
+    return tidy(sl.features_from_states(states, [STATED], "user_id", EVENTS_RUN_DATE))

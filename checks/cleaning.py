@@ -198,6 +198,18 @@ def dq_null_report(spark, sf_dir):
     return sl.null_report(events_holes(spark, sf_dir), 0.05)
 
 
+@check(
+    "dq_null_rates_files",
+    """SELECT "column", CAST(nulls AS BIGINT) AS null_count, n AS row_count, nulls / n AS null_rate FROM (
+        SELECT COUNT(*) AS n, COUNT(*) - COUNT(doc_id) AS doc_id, COUNT(*) - COUNT(text) AS text,
+            COUNT(*) - COUNT(lang) AS lang, COUNT(*) - COUNT(source) AS source, COUNT(*) - COUNT(n_chars) AS n_chars
+        FROM documents) UNPIVOT (nulls FOR "column" IN (doc_id, text, lang, source, n_chars))""",
+)
+def dq_null_rates_files(spark, sf_dir):
+    """Null rates of whole files from their footers."""
+    return sl.file_null_rates(spark, f"{sf_dir}/documents.parquet")
+
+
 @check(
     "dq_null_rates_empty",
     """SELECT '*' AS "column", 'null_rate' AS "check", FALSE AS passed,

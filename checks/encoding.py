@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,6 +162,24 @@ def enc_onehot_entity(spark, sf_dir):
     return slots(entity_codes(spark, sf_dir, "onehot"), "user_id", "code")
 
 
+@check(
+    "enc_onehot_vector",
+    with_views(
+        slots_sql("SELECT * FROM coded"),
+        "evt_holes",
+        m=EVENT_MAP,
+        l=EVENT_LATEST,
+        coded=f"""SELECT l.user_id, CASE WHEN l.user_id IS NOT NULL THEN COALESCE(m.label, {LABELS}) END AS label
+            FROM l LEFT JOIN m ON l.category = m.category""",
+    ),
+)
+def enc_onehot_vector(spark, sf_dir):
+    """One-hot codes as sparse vectors."""
+    spec = encoding("code", "event_type", "onehot")
+    coded = sl.encode_entities(events_holes(spark, sf_dir), [spec], "user_id", "event_date", onehot="vector")
+    return slots(coded.withColumn("code", F.when(F.col("code").isNotNull(), vector_to_array("code"))), "user_id", "code")
+
+
 @check(
     "enc_multi_entity",
     with_views(

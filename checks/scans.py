@@ -95,3 +95,24 @@ def scan_lookback_csv(spark, sf_dir):
 def ingest_row_gate(spark, sf_dir):
     gated = sl.require_rows(shipments(spark, sf_dir), 100)
     return gated.select("l_orderkey", "l_linenumber", "l_quantity", F.col("ship_date").cast("string"))
+
+
+@check(
+    "landing_gate",
+    """SELECT event_id, user_id, event_type, value, CAST(ts AS DATE)::VARCHAR AS event_date, '2024-01-31' AS "date" FROM events
+    UNION ALL SELECT event_id, user_id, event_type, value, CAST(ts AS DATE)::VARCHAR, '2024-01-30' FROM events WHERE value > 1""",
+)
+def landing_gate(spark, sf_dir):
+    """Two days are landed, their checks taken while they are written; a third run, too full of gaps, is not published."""
+    root = fresh_path(spark, "landed")
+    df = events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "event_date")
+    keys = ("user_id", "event_date")
+    sl.land_day(df.where("value > 1"), root, "2024-01-30", *keys)
+    sl.land_day(df, root, "2024-01-31", *keys, min_row_count=100)
+    try:
+        sl.land_day(df.withColumn("value", F.when(F.col("value") > 1000, F.col("value"))), root, "2024-01-31", *keys)
+    except sl.DataQualityError:
+        landed = sl.read_landed(spark, root, "2024-01-31", lookback_days=1)
+        dates = {c: F.col(c).cast("string") for c in ("event_date", "date")}
+        return landed.withColumns(dates).select("event_id", "user_id", "event_type", "value", "event_date", "date")
+    raise AssertionError("a day full of gaps was published")

@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
     """Reference a top-level column by its exact name, dots and backticks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def as_run_date(run_date: str | dt.date) -> dt.date:

@@ -8,16 +8,19 @@ Spark aggregates by hashing only while every aggregation buffer has a fixed widt
 whole aggregation into a sort of all input rows. The latest category is therefore kept as a number, day and place of
 the category in its (small) map. Attributes with many categories are reduced to pairs of entity and category, coded by
 their dictionaries and reduced again as numbers, all of them together; minima or maxima of text go into a narrow
-aggregation of their own. Both are joined by entity.
+aggregation of their own, and so do features of the caller's that hashing cannot keep. Both are joined by entity.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import io
+import re
 from collections.abc import Iterable, Mapping
+from contextlib import redirect_stdout
 
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,6 +152,14 @@ def fixed_width(feature: Aggregation, view: Cleaned) -> bool:
     )
 
 
+def hashes(grouped: GroupedData, column: Column) -> bool:
+    """Whether an aggregate of the caller's keeps its state in fixed width: analysed alone, Spark plans it by hashing."""
+    shown = io.StringIO()
+    with redirect_stdout(shown):
+        grouped.agg(column.alias("own")).explain()
+    return re.search(r"\b(Sort|ObjectHash)Aggregate\b", shown.getvalue()) is None
+
+
 def time_window_column(feature: TimeWindow, rows: _Rows) -> Column:
     if feature.feature_type == "days_diff":
         latest = F.max(_where(rows.kept(), rows.date()))
@@ -240,6 +251,7 @@ def _aggregate(
     names: list[str] = []
     hashed: dict[str, Column] = {}
     sorted_: dict[str, Column] = {}
+    own: dict[str, Column] = {}
     encodings: dict[str, tuple[Encoding, int]] = {}
     helpers: dict[str, Column] = {}
     large: dict[int, tuple[_Rows, str]] = {}
@@ -252,7 +264,7 @@ def _aggregate(
                 part = hashed if fixed_width(feature, rows.view) else sorted_
                 part[feature.name] = aggregation_column(feature, rows)
             elif isinstance(feature, OwnFeature):
-                hashed[feature.name] = feature.column(FeatureRows(feature, rows))
+                own[feature.name] = feature.column(FeatureRows(feature, rows))
             elif isinstance(feature, TimeWindow):
                 hashed[feature.name] = time_window_column(feature, rows)
             else:
@@ -274,6 +286,8 @@ def _aggregate(
     readers = {id(rows): rows for _, _, rows in members}.values()
     inputs = [column.alias(alias) for rows in readers for alias, column in rows.inputs.values()]
     grouped = df.select(key.alias(entity_key), *inputs).groupBy(entity)
+    for name, column in own.items():
+        (hashed if hashes(grouped, column) else sorted_)[name] = column
 
     # A row without an entity has a group of its own, but no features.
     def owned(features: dict[str, Column]) -> list[Column]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +99,22 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return _null_counts(df, columns, None).withColumn("null_rate", F.try_divide("null_count", "row_count"))
 
 
+def file_null_rates(spark: SparkSession, path: str) -> DataFrame:
+    """``null_rates`` of a Parquet table from the statistics in its footers: no data page is read.
+
+    Aggregates are pushed down only into scans of the second generation, which a session of its own switches on; the result
+    belongs to it. Columns of arrays, maps and structs have no such statistics and are counted by reading them.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    df = session.read.parquet(path)
+    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    plain = [c for c in df.columns if c not in nested]
+    found = [null_rates(df, names) for names in (plain, nested) if names]
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
 def null_report(df: DataFrame, max_null_rate: float = 0.05, columns: Sequence[str] | None = None) -> DataFrame:
     """Null-rate check of every column; an empty table gives a single failed row for column ``*``."""
     limit = F.lit(float(max_null_rate))

@@ -78,7 +78,7 @@ def read_landed(
         runs = {place: path for place, path in runs.items() if place in days}
     if not runs:
         raise ValueError(f"no day is published below {root} for {run_date}")
-    paths = sorted(runs.values())
+    paths = sorted(run.path for run in runs.values())
     merged = spark.read.option("basePath", root).option("mergeSchema", len(paths) > 1).parquet(*paths).schema
     fields = [T.StructField(f.name, f.dataType) for f in merged.fields if f.name not in (PARTITION, RUN)]
     schema = T.StructType([*fields, T.StructField(PARTITION, T.DateType()), T.StructField(RUN, T.StringType())])

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spineloom.functions.columns import quoted, ref
+
 RUN = "run"
 _COMMITS = "_commits"
 
@@ -28,6 +30,8 @@ RECORD = T.StructType(
         T.StructField("run", T.StringType(), False),
         T.StructField("rows", T.LongType(), False),
         T.StructField("committed_at", T.TimestampType(), False),
+        T.StructField("bucket_column", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
     ]
 )
 
@@ -35,18 +39,31 @@ RECORD = T.StructType(
 _ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(1, 32))))
 
 
+class Buckets(NamedTuple):
+    """Files by hash of a column: runs with equal buckets join on it without an exchange."""
+
+    column: str
+    number: int
+
+
 class Staged(NamedTuple):
-    """A run whose files are complete but not visible yet, and what was observed while they were written."""
+    """A run whose files are complete, and what was observed while they were written."""
 
     root: str
     place: str
     run: str
     metrics: dict
+    buckets: Buckets | None = None
 
     @property
     def path(self) -> str:
         return f"{self.root}/{self.place}/{RUN}={self.run}"
 
+    @property
+    def table(self) -> str:
+        """The name under which a run in buckets is known to the session: only tables tell Spark of buckets."""
+        return f"spineloom_{self.run.replace('-', '_')}"
+
 
 def place_of(**keys: str) -> str:
     """The directories of partition values, in the order given."""
@@ -56,18 +73,38 @@ def place_of(**keys: str) -> str:
     return "/".join(f"{name}={escaped(value)}" for name, value in keys.items())
 
 
-def stage(df: DataFrame, root: str, place: str, metrics: Iterable[Column] = ()) -> Staged:
+def stage(
+    df: DataFrame, root: str, place: str, metrics: Iterable[Column] = (), buckets: Buckets | None = None
+) -> Staged:
     """Write a run without publishing it. Its rows (metric ``rows``) and further aggregates are observed on the way, so the
     input is read once."""
     started = dt.datetime.now(tz=dt.UTC).strftime("%Y%m%dT%H%M%S")
     run = f"{started}-{uuid.uuid4().hex[:12]}"
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics)
-    out = Staged(root.rstrip("/"), place, run, {})
-    observed.write.parquet(out.path)
+    out = Staged(root.rstrip("/"), place, run, {}, buckets)
+    if buckets is None:
+        observed.write.parquet(out.path)
+    else:  # one file for each bucket
+        dealt = observed.repartition(buckets.number, ref(buckets.column)).write.format("parquet").option("path", out.path)
+        dealt.bucketBy(buckets.number, buckets.column).sortBy(buckets.column).saveAsTable(out.table)
+        df.sparkSession.sql(f"DROP TABLE {out.table}")  # the files stay, as their place was given
     return out._replace(metrics=seen.get)
 
 
+def bucketed_table(spark: SparkSession, staged: Staged) -> DataFrame:
+    """A run in buckets as a table of the session that knows them."""
+    fields = spark.read.parquet(staged.path).schema.fields
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+    key = quoted(staged.buckets.column)
+    place = staged.path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {staged.table} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key})"
+        f" INTO {staged.buckets.number} BUCKETS LOCATION '{place}'"
+    )
+    return spark.table(staged.table)
+
+
 def publish(spark: SparkSession, staged: Staged) -> None:
     """Append the commit record: from then on readers of the place read this run."""
     record = spark.range(1).select(
@@ -75,6 +112,8 @@ def publish(spark: SparkSession, staged: Staged) -> None:
         F.lit(staged.run).alias("run"),
         F.lit(staged.metrics["rows"]).cast("bigint").alias("rows"),
         F.lit(dt.datetime.now(tz=dt.UTC)).cast("timestamp").alias("committed_at"),
+        F.lit(staged.buckets and staged.buckets.column).cast("string").alias("bucket_column"),
+        F.lit(staged.buckets and staged.buckets.number).cast("int").alias("buckets"),
     )
     record.coalesce(1).write.mode("append").parquet(f"{staged.root}/{_COMMITS}/{staged.place}")
 
@@ -85,11 +124,14 @@ def commits(spark: SparkSession, root: str, below: str = "") -> DataFrame:
     return spark.read.schema(RECORD).option("recursiveFileLookup", True).parquet(path)
 
 
-def published(spark: SparkSession, root: str, below: str = "") -> dict[str, str]:
-    """Place -> directory of its latest published run, for the places below one: a row for each place reaches the driver."""
-    latest = F.max_by("run", F.struct("committed_at", "run")).alias("run")
-    rows = commits(spark, root, below).groupBy("place").agg(latest).collect()
-    return {row["place"]: f"{root.rstrip('/')}/{row['place']}/{RUN}={row['run']}" for row in rows}
+def published(spark: SparkSession, root: str, below: str = "") -> dict[str, Staged]:
+    """Place -> its latest published run, for the places below one: a row for each place reaches the driver."""
+    latest = F.max_by(F.struct(*RECORD.names), F.struct("committed_at", "run")).alias("latest")
+    found = {}
+    for row in commits(spark, root, below).groupBy("place").agg(latest).select("latest.*").collect():
+        buckets = Buckets(row["bucket_column"], row["buckets"]) if row["buckets"] else None
+        found[row["place"]] = Staged(root.rstrip("/"), row["place"], row["run"], {"rows": row["rows"]}, buckets)
+    return found
 
 
 def is_missing(error: AnalysisException) -> bool:
@@ -99,7 +141,7 @@ def is_missing(error: AnalysisException) -> bool:
 def remove_replaced(spark: SparkSession, root: str, keep: dt.timedelta = dt.timedelta(days=1)) -> list[str]:
     """Delete the directories of runs that are no place's latest and were started longer ago than ``keep``: replaced runs
     that readers may still use, and unpublished runs that may still be writing, are spared that long. Returns their paths."""
-    current = set(published(spark, root).values())
+    current = {run.path for run in published(spark, root).values()}
     context = spark.sparkContext
     hadoop = context._jvm.org.apache.hadoop.fs
     top = hadoop.Path(root.rstrip("/"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import spineloom as sl
 from checks.assembly import ACTIVITY, SPEND
@@ -179,3 +180,74 @@ def test_a_timestamp_column_takes_one_scan_and_no_sort(static_plans):
     assert count(text, "Exchange") == 1
     assert "Sort" not in text
     assert "Join" not in text
+
+
+def test_days_in_equal_buckets_join_without_an_exchange(static_plans, tmp_path):
+    df = events(static_plans, SF)
+    root = str(tmp_path / "store")
+    features = sl.aggregate_features(df, [agg("n", "value", "count", 7)], "user_id", "event_date", EVENTS_RUN_DATE)
+    for day in ("2024-01-29", "2024-01-30", "2024-01-31"):
+        sl.write_features(features, root, "user", day, buckets=("user_id", 6))
+    both = sl.side_by_side(static_plans, root, "user", "user_id", ["2024-01-31", "2024-01-30", "2024-01-29"])
+    text = plan(both)
+    assert "Exchange" not in text
+    assert count(text, "SortMergeJoin") == 2
+    assert "SelectedBucketsCount: 6 out of 6" in text
+    assert both.columns == ["user_id", "n_20240131", "n_20240130", "n_20240129"]
+    assert sorted(both.collect()) == sorted((r["user_id"], r["n"], r["n"], r["n"]) for r in features.collect())
+
+
+def test_days_without_buckets_are_joined_as_well(spark, tmp_path):
+    root = str(tmp_path / "store")
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, None)], "k string, n int")
+    sl.write_features(df, root, "boat", "2024-01-01")
+    sl.write_features(df.where("k = 'a'"), root, "boat", "2024-01-02", buckets=("k", 3))
+    rows = sl.side_by_side(spark, root, "boat", "k", ["2024-01-01", "2024-01-02"]).collect()
+    assert sorted(map(tuple, rows), key=repr) == [("a", 1, 1), ("b", 2, None), (None, None, None)]
+    with pytest.raises(ValueError, match="nothing is published"):
+        sl.side_by_side(spark, root, "boat", "k", ["2024-01-01", "2024-01-03"])
+
+
+def test_null_rates_of_files_read_no_page(spark, tmp_path):
+    text = plan(sl.file_null_rates(spark, f"{SF}/documents.parquet"))
+    assert re.search(r"PushedAggregation: \[COUNT\(\*\), COUNT\(doc_id\), COUNT\(text\)", text)
+    # The caller's session still reads as it did.
+    assert "PushedAggregation: [COUNT" not in plan(sl.null_rates(spark.read.parquet(f"{SF}/documents.parquet")))
+    path = str(tmp_path / "nested")
+    spark.sql("SELECT 1 AS a, array(1) AS b UNION ALL SELECT NULL, NULL").write.parquet(path)
+    assert {tuple(r) for r in sl.file_null_rates(spark, path).collect()} == {("a", 1, 2, 0.5), ("b", 1, 2, 0.5)}
+
+
+def test_own_features_of_text_leave_the_numbers_hashed(static_plans):
+    own = [
+        {"name": "last", "column": lambda r: F.max(r.value("event_type"))},
+        {"name": "kinds", "column": lambda r: F.size(F.collect_set(r.value("event_type"))), "window_days": 7},
+        {"name": "spread", "column": lambda r: F.max(r.value("value")) - F.min(r.value("value"))},
+    ]
+    text = plan(assemble(events_gaps(static_plans, SF), {**NUMBERS, "own": own}))
+    hashed = re.findall(r"(?<![A-Za-z])HashAggregate\(keys[^\n]*", text)
+    assert len(hashed) == 2
+    assert all("regr" not in line and "min(" in line and "collect_set" not in line for line in hashed)
+    numbers_only = plan(assemble(events_gaps(static_plans, SF), {**NUMBERS, "own": own[2:]}))
+    assert "Sort" not in numbers_only and count(numbers_only, "HashAggregate") == 2
+
+
+def test_states_of_a_day_hash(static_plans):
+    text = plan(sl.day_states(events_gaps(static_plans, SF), [NUMBERS], "user_id", "event_date"))
+    assert count(text, "HashAggregate") == 2
+    assert count(text, "Exchange") == 1
+    assert "Sort" not in text
+
+
+def test_landing_reads_the_input_once(spark, tmp_path):
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    df = events(spark, SF).select("event_id", "user_id", "value", "event_date")
+    n = df.count()
+    landed = sl.land_day(df.mapInArrow(counted, df.schema), str(tmp_path / "landed"), "2024-01-31", "user_id", "event_date", min_row_count=100)
+    assert rows.value == landed.rows == n
