@@ -65,7 +65,8 @@ def _narrowed(df: DataFrame, values: Mapping[int, Column], brackets: Mapping[int
     )
     # A column has CELLS + 1 rows here at most.
     up_to = Window.partitionBy("which").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    from_here = Window.partitionBy("which").orderBy("cell").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Backwards, as a frame that ends at the last row would be summed anew for every row.
+    from_here = Window.partitionBy("which").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = {i: bracket.total for i, bracket in brackets.items()}
     total = F.sum("n").over(Window.partitionBy("which"))
     if totals:
