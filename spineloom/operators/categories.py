@@ -19,6 +19,9 @@ from spineloom.operators.ranking import running_total
 # by arithmetic. Names are broadcast as two hashes, so the size does not depend on them.
 BROADCAST_ROWS = 100_000
 
+# Dictionaries of up to so many categories together, as hashes and numbers of about a hundred bytes each, are broadcast whole.
+DICTIONARY_ROWS = 250_000
+
 # A map up to this size is small enough to be written into the plan as array literals.
 LITERAL_LABELS = 256
 LITERAL_BYTES = 16 * 1024
@@ -139,6 +142,16 @@ class CategoryMaps:
         coded = ranked(named.select("attribute", "category", "n"), "code", F.col("category"))
         return ranked(coded, "label", F.col("n").desc(), F.col("category"))
 
+    def portable(self, indices: Iterable[int]) -> list[int]:
+        """Those of the attributes whose dictionaries may be broadcast whole, the smallest first."""
+        found, rows = [], 0
+        for i in sorted(indices, key=lambda i: self.attributes[i].labels):
+            rows += self.attributes[i].labels
+            if rows > DICTIONARY_ROWS:
+                break
+            found.append(i)
+        return found
+
     def map_of(self, index: int) -> DataFrame:
         return self.frame.where(F.col("attribute") == index).select("category", "n", "share", "label")
 
@@ -240,7 +253,39 @@ def look_up(
     return resolved.unionByName(rest)
 
 
-def latest_codes(pairs: DataFrame, maps: CategoryMaps, indices: Sequence[int], entity: Column) -> DataFrame:
+def name_hashes(category: Column) -> tuple[Column, Column]:
+    """The two halves of a category's hashed name; NULL for a missing one, so that it meets nothing."""
+    return tuple(F.when(category.isNotNull(), half) for half in _name(category))
+
+
+class Dictionaries:
+    """The categories of large attributes with their codes, on shared storage, and the two ways to look one up in a broadcast."""
+
+    def __init__(self, maps: CategoryMaps, indices: Sequence[int]):
+        self.maps = maps
+        self.words = stored(maps.dictionary(indices), "dictionary")
+
+    def _of(self, index: int) -> DataFrame:
+        return self.words.where(F.col("attribute") == index)
+
+    def codes_by_name(self, df: DataFrame, index: int, names: Sequence[str], code: str) -> DataFrame:
+        """``df`` with the code of the category whose hashed name the columns ``names`` hold."""
+        by_name = self._of(index).select(
+            *[half.alias(name) for half, name in zip(_name(F.col("category")), names, strict=True)], F.col("code").alias(code)
+        )
+        return df.join(F.broadcast(by_name), list(names), "left")
+
+    def values_by_code(self, df: DataFrame, index: int, code: str, label: str, share: str) -> DataFrame:
+        """``df`` with label and share of the category whose code the column ``code`` holds."""
+        by_code = self._of(index).select(
+            F.col("code").alias(code),
+            F.col("label").cast("double").alias(label),
+            (F.col("n") / self.maps.attributes[index].rows).alias(share),
+        )
+        return df.join(F.broadcast(by_code), code, "left").drop(code)
+
+
+def latest_codes(pairs: DataFrame, dictionaries: Dictionaries, indices: Sequence[int], entity: Column) -> DataFrame:
     """``entity`` with ``__label<i>`` and ``__share<i>`` of the latest category of each attribute ``i``; of equal times the
     alphabetically last.
 
@@ -249,8 +294,9 @@ def latest_codes(pairs: DataFrame, maps: CategoryMaps, indices: Sequence[int], e
     once. Hot categories are broadcast, ``BROADCAST_ROWS`` at most for all attributes together; the pairs of others take a
     shuffle join in which none dominates. The pairs are read for both, so they are stored.
     """
+    maps = dictionaries.maps
     pairs = stored(pairs, "pairs")
-    words = stored(maps.dictionary(indices), "dictionary")
+    words = dictionaries.words.where(F.col("attribute").isin(list(indices)))
     rows_of = F.create_map(*[F.lit(x) for i in indices for x in (i, maps.attributes[i].rows)])
     is_hot = F.col("n") * max(1, BROADCAST_ROWS // len(indices)) >= rows_of[F.col("attribute")]
     hot = words.where(is_hot).select(*_name(F.col("attribute"), F.col("category")), "code", "label", "n")

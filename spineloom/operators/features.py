@@ -6,9 +6,9 @@ hot entity is reduced on the map side like any other.
 
 Spark aggregates by hashing only while every aggregation buffer has a fixed width; a string in one of them turns the
 whole aggregation into a sort of all input rows. The latest category is therefore kept as a number, day and place of
-the category in its (small) map. Attributes with many categories are reduced to pairs of entity and category, coded by
-their dictionaries and reduced again as numbers, all of them together; minima or maxima of text go into a narrow
-aggregation of their own, and so do features of the caller's that hashing cannot keep. Both are joined by entity.
+the category in its (small) map or in a dictionary that is broadcast. Attributes with more categories than that are reduced to
+pairs of entity and category, coded by their dictionaries and reduced again as numbers, all of them together; minima or maxima
+of text go into a narrow aggregation of their own, and so do features of the caller's that hashing cannot keep. Both are joined by entity.
 """
 
 from __future__ import annotations
@@ -29,10 +29,12 @@ from spineloom.functions.trend import ols_slope
 from spineloom.operators.categories import (
     Attribute,
     CategoryMaps,
+    Dictionaries,
     Source,
     as_category,
     fit_categories,
     latest_codes,
+    name_hashes,
 )
 from spineloom.operators.nulls import Cleaned, compile_all
 from spineloom.recipe import Aggregation, Definition, Encoding, OwnFeature, TimeWindow, definitions, distinct_keys
@@ -93,6 +95,14 @@ class _Rows:
             return self.value(name)
         return self._input(("category", name), as_category(self.view.columns[name], self.view.types[name]))
 
+    def hashed_name(self, name: str) -> list[str]:
+        """The input columns that hold a category's hashed name."""
+        category = as_category(self.view.columns[name], self.view.types[name])
+        halves = name_hashes(category)
+        for k, half in enumerate(halves):
+            self._input(("name", k, name), half)
+        return [self.inputs["name", k, name][0] for k in range(len(halves))]
+
     def inside(self, days: int | None) -> Column | None:
         """Flag of the rows a feature looks at; None when it looks at every row."""
         if days is None:
@@ -283,9 +293,23 @@ def _aggregate(
     if not names:
         return df.select(key.alias(entity_key)).distinct()
 
+    # Large attributes: whole dictionaries are looked up row by row as far as they may be broadcast, and their codes sit in
+    # the aggregation like any number; those of the rest meet pairs of entity and category.
+    dictionaries = Dictionaries(maps, list(large)) if large else None
+    coded = {i: large[i] for i in (maps.portable(large) if large else ())}
+    paired = {i: large[i] for i in large if i not in coded}
+    names_of = {}
+    for i, (rows, name) in coded.items():
+        names_of[i] = rows.hashed_name(name)
+        when = None if rows.date_column is None else rows.instant()
+        helpers[f"__dated{i}"] = F.max(_where(rows.kept(), maps.attributes[i].dated(when, F.col(f"__code{i}"))))
+
     readers = {id(rows): rows for _, _, rows in members}.values()
     inputs = [column.alias(alias) for rows in readers for alias, column in rows.inputs.values()]
-    grouped = df.select(key.alias(entity_key), *inputs).groupBy(entity)
+    read = df.select(key.alias(entity_key), *inputs)
+    grouped = read.groupBy(entity)
+    for i, halves in names_of.items():
+        read = dictionaries.codes_by_name(read, i, halves, f"__code{i}")
     for name, column in own.items():
         (hashed if hashes(grouped, column) else sorted_)[name] = column
 
@@ -295,15 +319,19 @@ def _aggregate(
 
     wide_part = owned(hashed) + [column.alias(name) for name, column in helpers.items()]
     narrow_part = owned(sorted_)
+    fused = read.groupBy(entity)
     if wide_part and narrow_part:
-        wide = grouped.agg(*wide_part).join(grouped.agg(*narrow_part), entity_key, "left")
+        wide = fused.agg(*wide_part).join(grouped.agg(*narrow_part), entity_key, "left")
     elif wide_part or narrow_part:
-        wide = grouped.agg(*wide_part, *narrow_part)
+        wide = fused.agg(*wide_part, *narrow_part)
     else:
         wide = df.select(key.alias(entity_key)).distinct()
-    if large:
-        pairs = latest_pairs(df, large, key, entity_key)
-        wide = wide.join(latest_codes(pairs, maps, list(large), entity), entity_key, "left")
+    for i in coded:
+        place = maps.attributes[i].place_of(F.col(f"__dated{i}"))
+        wide = dictionaries.values_by_code(wide.withColumn(f"__code{i}", place), i, f"__code{i}", f"__label{i}", f"__share{i}")
+    if paired:
+        pairs = latest_pairs(df, paired, key, entity_key)
+        wide = wide.join(latest_codes(pairs, dictionaries, list(paired), entity), entity_key, "left")
 
     def finished(name: str) -> Column:
         if name not in encodings:

@@ -134,8 +134,11 @@ def test_one_hot_vectors_at_row_grain(skewed):
     )
 
 
-@pytest.mark.parametrize(("broadcast_rows", "slice_rows"), [(100_000, 1_000_000), (5, 1_000_000), (1, 40)])
-def test_maps_too_large_for_literals_for_broadcast_or_for_one_sort(skewed, monkeypatch, broadcast_rows, slice_rows):
+@pytest.mark.parametrize(
+    ("dictionary_rows", "broadcast_rows", "slice_rows"),
+    [(250_000, 100_000, 1_000_000), (0, 100_000, 1_000_000), (0, 5, 1_000_000), (0, 1, 40)],
+)
+def test_maps_too_large_for_literals_for_broadcast_or_for_one_sort(skewed, monkeypatch, dictionary_rows, broadcast_rows, slice_rows):
     """Every combination of limits gives the result of the small-map plan."""
     specs = [enc("label", "t", "label"), enc("share", "t", "frequency"), enc("hot", "t", "onehot")]
 
@@ -146,6 +149,7 @@ def test_maps_too_large_for_literals_for_broadcast_or_for_one_sort(skewed, monke
 
     expected = results()
     monkeypatch.setattr(categories, "LITERAL_LABELS", 0)
+    monkeypatch.setattr(categories, "DICTIONARY_ROWS", dictionary_rows)
     monkeypatch.setattr(categories, "BROADCAST_ROWS", broadcast_rows)
     monkeypatch.setattr(ranking, "ROWS_PER_SLICE", slice_rows)
     assert results() == expected
@@ -188,3 +192,23 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "customer_id string, event_date date, t string")
     assert sl.encode_entities(df, [enc("a", "t", "label")], "customer_id", "event_date").count() == 0
     assert sl.encode_rows(df, enc("a", "t", "onehot"), "customer_id").count() == 0
+
+
+@pytest.mark.parametrize("dictionary_rows", [250_000, 3, 0])
+def test_latest_categories_of_awkward_tables(spark, monkeypatch, dictionary_rows):
+    """Missing keys, dates and categories, ties, repeated rows, and times that are too far apart for one BIGINT."""
+    day = dt.datetime
+    rows = [
+        ("a", day(2024, 1, 1, 10), "x", 1), ("a", day(2024, 1, 1, 10), "y", 2), ("a", None, "z", 3),
+        ("b", None, "x", 1), ("b", None, "w", 1), ("c", day(2024, 1, 2), None, None), ("c", day(2023, 1, 2), "x", 7),
+        ("d", day(2024, 1, 5), "q", 4), ("d", day(2024, 1, 5), "q", 4), (None, day(2024, 1, 6), "x", 5), ("e", None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "customer_id string, ts timestamp, t string, u int")
+    specs = [enc("label", "t", "label"), enc("share", "t", "frequency"), enc("other", "u", "label")]
+    early = df.unionByName(spark.sql("select 'f' as customer_id, timestamp'0001-01-01' as ts, 'x' as t, 1 as u"))
+    for table in (df, early, df.where("false")):
+        small = sorted(map(repr, sl.encode_entities(table, specs, "customer_id", "ts").collect()))
+        with monkeypatch.context() as patched:
+            patched.setattr(categories, "LITERAL_LABELS", 0)
+            patched.setattr(categories, "DICTIONARY_ROWS", dictionary_rows)
+            assert sorted(map(repr, sl.encode_entities(table, specs, "customer_id", "ts").collect())) == small

@@ -81,6 +81,12 @@ def test_encodings_of_few_categories_add_no_join_and_no_sort(static_plans):
 def test_encodings_of_many_categories_leave_the_numbers_hashed(static_plans, monkeypatch):
     monkeypatch.setattr(categories, "LITERAL_LABELS", 0)
     text = plan(assemble(events_gaps(static_plans, SF), ACTIVITY, SPEND))
+    # Codes from broadcast dictionaries sit in the one aggregation.
+    assert count(text, "HashAggregate") == 2
+    assert count(text, "Exchange hashpartitioning") == 1
+    assert "SortAggregate" not in text and "SortMergeJoin" not in text
+    monkeypatch.setattr(categories, "DICTIONARY_ROWS", 0)
+    text = plan(assemble(events_gaps(static_plans, SF), ACTIVITY, SPEND))
     # Two for the features, and two that reduce coded pairs to one row per user.
     assert count(text, "HashAggregate") == 4
     assert "SortAggregate" not in text
@@ -147,8 +153,10 @@ def test_no_python_workers_and_no_cross_joins(spark):
             assert node not in text
 
 
-def test_large_encodings_grow_the_plan_evenly(static_plans, monkeypatch):
+@pytest.mark.parametrize("broadcast", [250_000, 0])
+def test_large_encodings_grow_the_plan_evenly(static_plans, monkeypatch, broadcast):
     monkeypatch.setattr(categories, "LITERAL_LABELS", 0)
+    monkeypatch.setattr(categories, "DICTIONARY_ROWS", broadcast)
     df = events(static_plans, SF)
     texts = []
     for k in (1, 2, 3):
@@ -160,16 +168,18 @@ def test_large_encodings_grow_the_plan_evenly(static_plans, monkeypatch):
         assert two - one == three - two, node
 
 
-def test_large_encodings_take_three_scans_and_no_sort(static_plans, monkeypatch):
-    """One scan counts the categories, one gathers the pairs of all attributes, one finds the entities."""
+@pytest.mark.parametrize(("broadcast", "scans"), [(250_000, 2), (0, 3), (3000, 3)])
+def test_large_encodings_take_few_scans_and_no_sort(static_plans, monkeypatch, broadcast, scans):
+    """One scan counts the categories and one aggregates by entity; pairs that no broadcast can code take a third."""
+    monkeypatch.setattr(categories, "DICTIONARY_ROWS", broadcast)
     texts = []
     for name in ("durable", "stored"):
         keep = getattr(categories, name)
         monkeypatch.setattr(categories, name, lambda df, *a, keep=keep: texts.append(plan(df)) or keep(df, *a))
     texts.append(plan(enc_multi_entity_large(static_plans, SF)))
-    assert sum(len(re.findall(r"FileScan parquet[^\n]*lineitem", text)) for text in texts) == 3
+    assert sum(len(re.findall(r"FileScan parquet[^\n]*lineitem", text)) for text in texts) == scans
     assert all("SortAggregate" not in text for text in texts)
-    assert count(texts[-1], "HashAggregate") == 4
+    assert count(texts[-1], "HashAggregate") == 2 * (scans - 1)
     assert count(texts[-1], "Exchange hashpartitioning") <= 4
 
 
