@@ -23,7 +23,7 @@ pytestmark = pytest.mark.skipif(not TABLES, reason="the given tables are not her
 
 def test_one_query_an_operator_is_registered():
     names = contract.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(contract.oracle_sql()) <= set(names)
 
 
