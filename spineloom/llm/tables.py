@@ -1,10 +1,12 @@
-"""Intermediate tables in the shared folder: computed once, as Parquet, and read back with a short lineage."""
+"""Intermediate tables in the shared folder: computed once, as Parquet, and read back with a short lineage; they go when the
+session's JVM ends."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from spineloom.durable import fresh_path
+from spineloom.durable import passing_path
 
 
 class Tables:
@@ -12,7 +14,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark = spark
-        self.path = fresh_path(spark, purpose)
+        self.path = passing_path(spark, purpose)
         self.count = 0
 
     def __call__(self, df: DataFrame) -> DataFrame:
@@ -21,3 +23,8 @@ class Tables:
         path = f"{self.path}/{self.count:03}"
         df.write.parquet(path)
         return self.spark.read.parquet(path)
+
+
+def widened(schema: T.StructType, added: str) -> T.StructType:
+    """The columns of a schema, whatever they are called, and more given as text."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(added).fields])
