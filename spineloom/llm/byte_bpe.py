@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spineloom.functions.columns import ref
+from spineloom.llm.tables import widened
 from spineloom.llm.words import slices
 
 MOST_CACHED = 400_000
@@ -126,8 +128,8 @@ def _per_text(docs: DataFrame, text_col: str, path: str, pattern: str, added: st
     itself is not sent back."""
     names = [part.split()[0] for part in added.split(", ")]
     kept = [c for c in docs.columns if c not in names and (keep or c != text_col)]
-    source = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    source = docs.select(*map(ref, kept), F.coalesce(ref(text_col).cast("string"), F.lit("")).alias("__text"))
+    schema = widened(source.drop("__text").schema, added)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
@@ -136,7 +138,7 @@ def _per_text(docs: DataFrame, text_col: str, path: str, pattern: str, added: st
                 columns = part.columns[:-1]
                 yield pa.RecordBatch.from_arrays([*columns, *work(own, part.column(len(columns)).to_pylist())], [*kept, *names])
 
-    return source.mapInArrow(task, f"{schema}, {added}")
+    return source.mapInArrow(task, schema)
 
 
 def encode(
@@ -169,7 +171,8 @@ def encode(
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded`` (binary): the bytes that the ids stand for; null ids decode to nothing."""
     kept = [c for c in encoded.columns if c != "decoded"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*kept).schema.fields)
+    given = encoded.select(*map(ref, kept))
+    schema = widened(given.schema, "decoded binary")
     place = kept.index(ids_col)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +181,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") ->
             decoded = [own.decode_bytes(ids or ()) for ids in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*kept, "decoded"])
 
-    return encoded.select(*kept).mapInArrow(task, f"{schema}, decoded binary")
+    return given.mapInArrow(task, schema)
 
 
 def digests(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:

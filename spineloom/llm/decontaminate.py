@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spineloom.durable import durable
+from spineloom.functions.columns import ref
 from spineloom.llm.fm_index import FMIndex
+from spineloom.llm.tables import widened
 from spineloom.llm.words import NOT_ALPHANUMERIC, slices, texts_of, word_hashes
 
 BLOCK = 50_000
@@ -129,7 +131,7 @@ def _search(df: DataFrame, block: Block, text_col: str) -> DataFrame:
     """``df`` with the hits of one block merged into ``n_words``, ``spans`` and ``items``."""
     shared = df.sparkSession.sparkContext.broadcast(block)
     kept = [c for c in df.columns if c not in ("n_words", "spans", "items")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema.fields)
+    schema = widened(df.select(*map(ref, kept)).schema, ADDED)
     names = [*kept, "n_words", "spans", "items"]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +180,7 @@ def _search(df: DataFrame, block: Block, text_col: str) -> DataFrame:
                     names,
                 )
 
-    return df.mapInArrow(task, f"{schema}, {ADDED}")
+    return df.mapInArrow(task, schema)
 
 
 def find_benchmark(
@@ -195,8 +197,8 @@ def find_benchmark(
     """
     kept = [c for c in docs.columns if c not in ("n_words", "spans", "items", text_col)]
     df = docs.select(
-        *kept,
-        F.col(text_col).cast("string").alias(text_col),
+        *map(ref, kept),
+        ref(text_col).cast("string").alias(text_col),
         F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<struct<first:int,last:int,begin:int,end:int>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),

@@ -30,7 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spineloom.functions.columns import ref
 from spineloom.llm.dom import Node, Page, parse
+from spineloom.llm.tables import widened
 from spineloom.llm.words import slices
 
 MOST_PAGES = 2000
@@ -257,8 +259,8 @@ def extract(pages: DataFrame, html_col: str = "html", model: Model | None = None
     """``pages`` with ``text`` and ``n_chars`` (its code points); without a model, one is trained first."""
     shared = pages.sparkSession.sparkContext.broadcast(model or fit(pages, html_col))
     kept = [c for c in pages.columns if c not in ("text", "n_chars", html_col)]
-    source = pages.select(*kept, F.col(html_col).cast("string").alias("__html"))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
+    source = pages.select(*map(ref, kept), ref(html_col).cast("string").alias("__html"))
+    schema = widened(source.drop("__html").schema, "text string, n_chars long")
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -270,4 +272,4 @@ def extract(pages: DataFrame, html_col: str = "html", model: Model | None = None
                     [*kept, "text", "n_chars"],
                 )
 
-    return source.mapInArrow(task, f"{schema}text string, n_chars long")
+    return source.mapInArrow(task, schema)

@@ -31,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spineloom.functions.columns import ref
 from spineloom.llm import gather
 from spineloom.llm.components import components
-from spineloom.llm.tables import Tables
+from spineloom.llm.tables import Tables, widened
 from spineloom.llm.words import mix, sequence_hash, slices, texts_of, windows, word_hashes
 
 SKETCH_BITS = 20
@@ -92,10 +93,10 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes | None]]]:
+def _batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes | None]]]:
     for batch in batches:
         for part in slices(batch, "text"):
-            yield part.column(0).to_pylist(), texts_of(part.column(1))
+            yield part.column(0), texts_of(part.column(1))
 
 
 def _described(docs: DataFrame, words: int) -> DataFrame:
@@ -103,14 +104,16 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+        kind = None
         for ids, texts in _batches(batches):
+            kind = ids.type
             sets = _sets(texts, words)
             if sets:
                 sketch += np.bincount(_bucket(np.concatenate(sets)), minlength=sketch.size).astype(np.uint32)
             none = pa.nulls(len(ids))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
+                    ids,
                     pa.array([s.size for s in sets], pa.int64()),
                     pa.array([_class_of(s) for s in sets], pa.int64()),
                     pa.array([_signature(s) if s.size else None for s in sets], pa.binary()),
@@ -119,13 +122,16 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
                 ],
                 ["id", "n", "cls", "sig", "slot", "cells"],
             )
+        if kind is None:  # no row, nothing to add
+            return
         part = gather.part_batch(sketch)
         none = pa.nulls(part.num_rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.nulls(part.num_rows, pa.binary()), *part.columns], ["id", "n", "cls", "sig", "slot", "cells"]
+            [pa.nulls(part.num_rows, kind), none, none, pa.nulls(part.num_rows, pa.binary()), *part.columns], ["id", "n", "cls", "sig", "slot", "cells"]
         )
 
-    return docs.mapInArrow(task, "id long, n long, cls long, sig binary, slot int, cells binary")
+    added = "n long, cls long, sig binary, slot int, cells binary"
+    return docs.mapInArrow(task, widened(docs.select("id").schema, added))
 
 
 def _prefixes(docs: DataFrame, sketch, words: int, percent: int, shared=None) -> DataFrame:
@@ -189,14 +195,14 @@ def _chosen_sets(docs: DataFrame, bitmap, words: int) -> DataFrame:
             chosen = batch.filter(pa.array(_held(bitmap.value, batch.column(2).to_numpy())))
             for ids, texts in _batches([chosen] if chosen.num_rows else []):
                 rows = []
-                for own, shingles in zip(ids, _sets(texts, words), strict=True):
+                for own, shingles in zip(ids.to_pylist(), _sets(texts, words), strict=True):
                     name = _class_of(shingles)
                     if (own, name) not in seen:
                         seen.add((own, name))
                         rows.append((own, name, shingles))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([own for own, _, _ in rows], pa.int64()),
+                        pa.array([own for own, _, _ in rows], ids.type),
                         pa.array([name for _, name, _ in rows], pa.int64()),
                         pa.array([s.size for _, _, s in rows], pa.int64()),
                         pa.array([s.tobytes() for _, _, s in rows], pa.binary()),
@@ -205,7 +211,7 @@ def _chosen_sets(docs: DataFrame, bitmap, words: int) -> DataFrame:
                 )
 
     named = docs.select("id", "text", F.xxhash64("id").alias("hash"))
-    return named.mapInArrow(task, "id long, cls long, n long, shingles binary")
+    return named.mapInArrow(task, widened(docs.select("id").schema, "cls long, n long, shingles binary"))
 
 
 def _bitmap(values: DataFrame) -> np.ndarray:
@@ -287,7 +293,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: ``id_col``, ``n_shingles`` (size of its set), ``component_id`` (smallest id reachable by
     links, its own included)."""
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(ref(id_col).alias("id"), ref(text_col).cast("string").alias("text"))
     stored = Tables(spark, "jaccard")
     described = stored(_described(source, words))
     counts = described.where("slot is not null").select("slot", "cells")

@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spineloom.functions.columns import ref
 from spineloom.llm import gather
+from spineloom.llm.tables import widened
 from spineloom.llm.words import slices
 
 MOST_EACH = 4000
@@ -193,8 +195,9 @@ def identify(docs: DataFrame, training, id_col: str = "doc_id", text_col: str =
     kept = [c for c in docs.columns if c not in added]
     text = F.col(text_col).cast("string")
     lettered = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(*kept, F.when(lettered, text).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    source = docs.select(*map(ref, kept), F.when(lettered, text).alias("__text"))
+    added_columns = "lang_pred string, score double, spans array<struct<lang:string,first:int,last:int>>"
+    schema = widened(source.drop("__text").schema, added_columns)
     arrow = pa.struct([("lang", pa.string()), ("first", pa.int32()), ("last", pa.int32())])
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,4 +233,4 @@ def identify(docs: DataFrame, training, id_col: str = "doc_id", text_col: str =
                     [*kept, *added],
                 )
 
-    return source.mapInArrow(task, f"{schema}, lang_pred string, score double, spans array<struct<lang:string,first:int,last:int>>")
+    return source.mapInArrow(task, schema)

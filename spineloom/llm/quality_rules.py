@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spineloom.functions.columns import ref
+
 SPACE = " \t\n\x0b\f\r"
 APART = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -84,7 +86,7 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     trimmed = F.btrim(text, F.lit(SPACE))
     no_words = F.array().cast("array<string>")
     df = docs.select(
-        *kept,
+        *map(ref, kept),
         text.alias("__text"),
         F.when(trimmed == "", no_words).otherwise(F.split(trimmed, APART)).alias("__words"),
         F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(SPACE)) != "").alias("__lines"),
@@ -132,7 +134,7 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_bullet_lines": line(r"^[\x20\x09-\x0D]*[-*•]"),
         "n_ellipsis_lines": line(r"(\.\.\.|…)[\x20\x09-\x0D]*$"),
     }
-    return df.select(*kept, *[column.alias(name) for name, column in found.items()])
+    return df.select(*map(ref, kept), *[column.alias(name) for name, column in found.items()])
 
 
 MEASURES = (

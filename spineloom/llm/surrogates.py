@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spineloom.durable import durable
+from spineloom.functions.columns import ref
 
 MOST_ATTEMPTS = 40
 #: Draws of the mention's own length; each further one is a digit longer.
@@ -265,8 +266,8 @@ def surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with every entity of ``text_col`` replaced, ``n_entities``, and ``entities``: an array of (type,
     surrogate) in the order of the text."""
     kept = [c for c in docs.columns if c not in ("n_entities", "entities")]
-    docs = docs.select(*[F.col(c).cast("string").alias(c) if c == text_col else F.col(c) for c in kept])
-    text = F.col(text_col)
+    docs = docs.select(*[ref(c).cast("string").alias(c) if c == text_col else ref(c) for c in kept])
+    text = ref(text_col)
     found = docs.withColumn("__found", _mentions(text))
     has = F.coalesce(F.size("__found") > 0, F.lit(False))
     name_of_text = {"__a": F.xxhash64(text), "__b": F.xxhash64(F.lit(1), text)}
@@ -291,7 +292,7 @@ def surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     )
     with_entities = found.where(has).drop("__found").withColumns(name_of_text).join(replaced, ["__a", "__b"])
     entity = "array<struct<type:string,surrogate:string>>"
-    others = [c for c in kept if c != text_col]
+    others = [ref(c) for c in kept if c != text_col]
     changed = with_entities.select(
         *others,
         joined.alias(text_col),
@@ -301,4 +302,4 @@ def surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     same = found.where(~has).select(
         *others, text, F.lit(0).cast("long").alias("n_entities"), F.array().cast(entity).alias("entities")
     )
-    return changed.union(same).select(*kept, "n_entities", "entities")
+    return changed.union(same).select(*map(ref, kept), "n_entities", "entities")

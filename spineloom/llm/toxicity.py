@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spineloom.durable import durable
+from spineloom.functions.columns import ref
+from spineloom.llm.tables import widened
 from spineloom.llm.words import NOT_ALPHANUMERIC, slices, texts_of, word_hashes
 
 MOST_LABELLED = 20_000
@@ -218,8 +220,7 @@ def toxicity(
     by chance) of each toxic passage. ``training`` is the condition on ``id_col`` that training rows meet."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, training, id_col, text_col, label_col))
     kept = [c for c in docs.columns if c not in ("score", "passages")]
-    source = docs.select(*kept, F.col(text_col).cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    source = docs.select(*map(ref, kept), ref(text_col).cast("string").alias("__text"))
     passage = "first int, last int, score double, expected double".split(", ")
     types = {"int": pa.int32(), "double": pa.float64()}
     arrow = pa.struct([(p.split()[0], types[p.split()[1]]) for p in passage])
@@ -239,4 +240,5 @@ def toxicity(
                 )
 
     fields = ",".join(p.replace(" ", ":") for p in passage)
-    return source.mapInArrow(task, f"{schema}, score double, passages array<struct<{fields}>>")
+    schema = widened(source.drop("__text").schema, f"score double, passages array<struct<{fields}>>")
+    return source.mapInArrow(task, schema)
