@@ -1,7 +1,8 @@
 """A cleaning pipeline over ``documents``: each stage is one operator of ``spineloom.llm`` and its decisions.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's
-documents. All but the last return the columns of ``documents`` as they came, clashing or further ones included.
+documents. All but the last return the columns of ``documents`` as they came, clashing or further ones included; the last returns
+``doc_id``, ``n_tokens``, ``ids`` and ``round_trip`` alone.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spineloom.durable import durable, fresh_path
+from spineloom.durable import passing_path
+from spineloom.functions.columns import ref
 from spineloom.llm import byte_bpe
 from spineloom.llm.decontaminate import find_benchmark, without_spans
 from spineloom.llm.jaccard_join import jaccard_join
@@ -27,7 +29,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def _carried(docs: DataFrame) -> DataFrame:
     """(own, text): all columns but the text as one, so that no name clashes with an operator's."""
-    return docs.select(F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("own"), "text")
+    return docs.select(F.struct(*[ref(c) for c in docs.columns if c != "text"]).alias("own"), "text")
 
 
 def _restored(found: DataFrame, columns: list[str], text: Column, changed: Column) -> DataFrame:
@@ -58,12 +60,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # job may pack the same files into other partitions.
     rows = Tables(spark, "rows")(docs.withColumn("__row", F.monotonically_increasing_id()))
     links = jaccard_join(rows.select("__row", "text"), id_col="__row")
-    groups = links.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
-    linked = durable(links.join(groups, "component_id", "left_semi").select("__row", "component_id"))
+    # A group of any size is a handful of partial rows, one for each task that met it; nothing is joined by group.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
-    first = rows.select("__row", "doc_id").join(linked, "__row").groupBy("component_id").agg(F.min(order).alias("first"))
-    lost = linked.join(first.select(F.col("first.__row").alias("__row")), "__row", "left_anti").select("__row")
-    return rows.join(lost, "__row", "left_anti").select(*docs.columns)
+    placed = rows.select("__row", "doc_id").join(links.select("__row", "component_id"), "__row")
+    first = placed.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.__row").alias("__row"))
+    return rows.join(first, "__row", "left_semi").select(*map(ref, docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -105,7 +106,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each written to the shared checkpoint folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    path = fresh_path(spark, "pipeline")
+    path = passing_path(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{path}/{name}")
         docs = spark.read.parquet(f"{path}/{name}")
