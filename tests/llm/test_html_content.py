@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import itertools
 import math
+import time
+
+import pytest
 
 from spineloom.llm import html_content as H
 from spineloom.llm.dom import parse
@@ -65,6 +68,50 @@ def test_broken_and_empty_pages():
     assert [t for _, t in parse("<table><tr><td>a<td>b<tr><td>c</table><dl><dt>d<dd>e</dl>").blocks] == ["a", "b", "c", "d", "e"]
 
 
+HARD = {
+    "quotes that never close": '<p "',
+    "attributes that never end": '<b a="',
+    "ends in quotes only": '<a ">"',
+    "both quotes": "<p '\"",
+    "declarations without end": "<!",
+    "instructions without end": "<?x",
+    "deep nests": "<div>",
+    "elements that could end a paragraph": "<li><center>",
+    "paragraphs": "<p>",
+    "closing tags of nothing": "</x>",
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_time_follows_the_size_of_the_page(name):
+    """Two megabytes of what is hard to read; reading them anew for each tag would take hours."""
+    unit = HARD[name]
+    started = time.perf_counter()
+    parse(unit * (2_000_000 // len(unit)))
+    assert time.perf_counter() - started < 60
+
+
+def test_deep_nests_and_closing_tags_of_others():
+    started = time.perf_counter()
+    parse("<div>" * 100_000 + "</x>" * 100_000)
+    page = parse("<p><button><li>" + "<center>" * 100_000 + "text")
+    assert time.perf_counter() - started < 60
+    assert page.blocks == [(100_003, "text")]
+
+
+def test_drawings_formulas_and_fallbacks_swallow_nothing():
+    for tag in ("svg", "math", "object", "noscript"):
+        page = parse(f"<article><p>before</p><{tag}><text>x</text><p>after</p><div>end</div></article>")
+        assert [t for _, t in page.blocks] == ["before", "x", "after", "end"]
+    assert [t for _, t in parse("<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds").blocks] == ["where x=2 holds"]
+    assert parse("<p>kept</p><script>if (a < b) { '<p>' }<p>lost</p>").blocks == [(1, "kept")]
+
+
+def test_tags_end_outside_quotes_where_they_can():
+    assert [t for _, t in parse("<p title='a > b'>one</p><p title='a > b>two</p>").blocks] == ["one", "b>two"]
+    assert [t for _, t in parse('<p "x>y').blocks] == ["y"]
+
+
 def test_marginals_are_those_of_all_assignments():
     page = parse("<div class=post><p>Some words, here.</p><ul class=menu><li>x<li>y</ul></div><p>tail</p>")
     own, m = model(), H.marginals(parse("<div class=post><p>Some words, here.</p><ul class=menu><li>x<li>y</ul></div><p>tail</p>"), model())
