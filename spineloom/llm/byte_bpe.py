@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spineloom.functions.columns import ref
-from spineloom.llm.tables import widened
+from spineloom.llm.tables import through_arrow, widened
 from spineloom.llm.words import slices
 
 MOST_CACHED = 400_000
@@ -81,7 +81,7 @@ class Codec:
         found = {p: self._encoded(p) for p in new}
         long = {p: i for p, i in found.items() if len(p) > LONGEST_CACHED}
         known.update((p, i) for p, i in found.items() if len(p) <= LONGEST_CACHED)
-        return known | long if long else known
+        return {p: long[p] if p in long else known[p] for p in wanted} if long else known
 
     def encode(self, text: str | None) -> list[int]:
         pieces = self.pieces(text or "")
@@ -138,7 +138,7 @@ def _per_text(docs: DataFrame, text_col: str, path: str, pattern: str, added: st
                 columns = part.columns[:-1]
                 yield pa.RecordBatch.from_arrays([*columns, *work(own, part.column(len(columns)).to_pylist())], [*kept, *names])
 
-    return source.mapInArrow(task, schema)
+    return through_arrow(source, task, schema)
 
 
 def encode(
@@ -181,7 +181,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") ->
             decoded = [own.decode_bytes(ids or ()) for ids in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*kept, "decoded"])
 
-    return given.mapInArrow(task, schema)
+    return through_arrow(given, task, schema)
 
 
 def digests(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:

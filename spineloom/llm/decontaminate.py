@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from spineloom.durable import durable
 from spineloom.functions.columns import ref
 from spineloom.llm.fm_index import FMIndex
-from spineloom.llm.tables import widened
+from spineloom.llm.tables import through_arrow, widened
 from spineloom.llm.words import NOT_ALPHANUMERIC, slices, texts_of, word_hashes
 
 BLOCK = 50_000
@@ -180,7 +180,7 @@ def _search(df: DataFrame, block: Block, text_col: str) -> DataFrame:
                     names,
                 )
 
-    return df.mapInArrow(task, schema)
+    return through_arrow(df, task, schema)
 
 
 def find_benchmark(

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from spineloom.functions.columns import ref
 from spineloom.llm.dom import Node, Page, parse
-from spineloom.llm.tables import widened
+from spineloom.llm.tables import through_arrow, widened
 from spineloom.llm.words import slices
 
 MOST_PAGES = 2000
@@ -272,4 +272,4 @@ def extract(pages: DataFrame, html_col: str = "html", model: Model | None = None
                     [*kept, "text", "n_chars"],
                 )
 
-    return source.mapInArrow(task, schema)
+    return through_arrow(source, task, schema)

@@ -5,8 +5,8 @@ candidates to the languages written in its scripts. Under each candidate a word
 trigrams, its borders included; Viterbi's algorithm over the words, with a penalty for every switch, labels spans of one
 language. The predicted language is the one with most bytes, and its share is the score.
 
-Training reads texts of at most about ``MOST_EACH`` rows a language, chosen by a hash of the id, and knows the
-``MOST_LANGUAGES`` most frequent languages; both are parameters. The model has a fixed size a language.
+Training reads texts of at most about ``MOST_EACH`` rows a language, a parameter, chosen by a hash of id and text, and knows
+every language that occurs. The model has a fixed size a language. A very long text is labelled piece by piece.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; a null language trains nothing; without any
 training row every text is ``und``; ties go to the first language by name; repeated rows are judged alike; an empty table
@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from spineloom.functions.columns import ref
 from spineloom.llm import gather
-from spineloom.llm.tables import widened
+from spineloom.llm.tables import through_arrow, widened
 from spineloom.llm.words import slices
 
 MOST_EACH = 4000
-MOST_LANGUAGES = 200
+#: Texts of more bytes are labelled piece by piece, in memory that does not follow their length in bytes.
+LONG = 1 << 22
+PIECE = 1 << 19
 BUCKETS = 1 << 15
 SWITCH = 12.0
 #: What a word costs under a language that is not written in its script.
@@ -83,7 +85,10 @@ class Model:
 
 def _words(texts: list[str | None]):
     """(trigram bucket of each letter, starts, ends, script bits of each word, first word of each text)."""
-    parts = [(t or "").lower().encode("utf-8", "replace") for t in texts]
+    return _words_of([(t or "").lower().encode("utf-8", "replace") for t in texts])
+
+
+def _words_of(parts: list[bytes]):
     raw = np.frombuffer(b" ".join(parts) + b"  ", np.uint8)
     letter = _LETTER[raw]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], letter))))
@@ -146,17 +151,66 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float = SWITCH) -> n
     return labels
 
 
+def _pieces(text: str) -> Iterator[bytes]:
+    """The lower-cased text in parts of about PIECE bytes that split no word."""
+    data = text.lower().encode("utf-8", "replace")
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + PIECE)
+        while end < len(data) and _LETTER[data[end]]:
+            end += 1
+        yield data[at:end]
+        at = end
+
+
+def label_long(text: str, model: Model, penalty: float = SWITCH) -> tuple[np.ndarray, np.ndarray]:
+    """(label, bytes) of each word of one text, as ``viterbi`` gives them: the row of values is carried from piece to piece, and
+    of earlier ones only the back pointers are kept, a few bytes a word."""
+    value: np.ndarray | None = None
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    sizes: list[np.ndarray] = []
+    for piece in _pieces(text):
+        bucket, letter, starts, ends, bits, _ = _words_of([piece])
+        if not starts.size:
+            continue
+        scores = _scores(model, bucket, letter, starts, ends, bits)
+        stay, source = np.ones(scores.shape, bool), np.zeros(len(scores), np.int16)
+        for t, row in enumerate(scores):
+            if value is None:
+                value = row
+                continue
+            top = int(value.argmax())
+            best = value[top] - penalty
+            keep = value >= best
+            stay[t], source[t] = keep, top
+            value = np.where(keep, value, best) + row
+        kept.append((stay, source))
+        sizes.append((ends - starts).astype(np.int32))
+    if value is None:
+        return np.zeros(0, np.int16), np.zeros(0, np.int32)
+    label, out = int(value.argmax()), []
+    for stay, source in reversed(kept):
+        labels = np.zeros(len(source), np.int16)
+        for t in range(len(source) - 1, -1, -1):
+            labels[t] = label
+            if not stay[t, label]:
+                label = int(source[t])
+        out.append(labels)
+    return np.concatenate(out[::-1]), np.concatenate(sizes)
+
+
 def fit(docs: DataFrame, training, id_col: str, text_col: str, lang_col: str) -> Model:
     spark = docs.sparkSession
     own = docs.where(F.col(lang_col).isNotNull()).where(training)
-    sizes = own.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGUAGES).collect()
+    sizes = own.groupBy(lang_col).count().collect()
     languages = sorted(str(row[0]) for row in sizes)
     counts = {str(row[0]): row[1] for row in sizes}
     if not languages:
         return Model([], np.empty((0, BUCKETS)), np.empty(0, np.uint32))
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, int(min(1, MOST_EACH / counts[k]) * (1 << 30)))])
     lang = F.col(lang_col).cast("string")
-    chosen = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < share[lang]
+    # By id and text, so that rows that share an id are not all taken or all left.
+    chosen = F.pmod(F.xxhash64(ref(id_col), ref(text_col).cast("string")), F.lit(1 << 30)) < share[lang]
     rows = own.where(chosen).select(F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
     place = {k: i for i, k in enumerate(languages)}
     width = BUCKETS + len(SCRIPTS)
@@ -207,22 +261,27 @@ def identify(docs: DataFrame, training, id_col: str = "doc_id", text_col: str =
             for part in slices(batch, "__text"):
                 texts = part.column(part.num_columns - 1).to_pylist()
                 predicted, scores, spans = ["und"] * len(texts), [0.0] * len(texts), [[] for _ in texts]
+
+                def told(k: int, labels: np.ndarray, sizes: np.ndarray) -> None:
+                    share = np.bincount(labels, weights=sizes, minlength=len(names))
+                    top = int(share.argmax())
+                    predicted[k], scores[k] = names[top], float(share[top] / share.sum())
+                    cuts = np.concatenate(([0], np.flatnonzero(np.diff(labels)) + 1, [labels.size])).tolist()
+                    spans[k] = [{"lang": names[labels[x]], "first": x, "last": y} for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+
                 if names:
+                    for k in [k for k, t in enumerate(texts) if t and len(t) > LONG]:
+                        labels, sizes = label_long(texts[k], own)
+                        if labels.size:
+                            told(k, labels, sizes)
+                        texts[k] = ""
                     bucket, letter, starts, ends, bits, first = _words(texts)
                     labels = viterbi(_scores(own, bucket, letter, starts, ends, bits), first)
                     sizes = (ends - starts).astype(np.float64)
                     for k in range(len(texts)):
                         a, b = first[k], first[k + 1]
-                        if a == b:
-                            continue
-                        share = np.bincount(labels[a:b], weights=sizes[a:b], minlength=len(names))
-                        top = int(share.argmax())
-                        predicted[k], scores[k] = names[top], float(share[top] / share.sum())
-                        cuts = np.concatenate(([0], np.flatnonzero(np.diff(labels[a:b])) + 1, [b - a])).tolist()
-                        spans[k] = [
-                            {"lang": names[labels[a + x]], "first": x, "last": y}
-                            for x, y in zip(cuts[:-1], cuts[1:], strict=True)
-                        ]
+                        if a < b:
+                            told(k, labels[a:b], sizes[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [
                         *part.columns[:-1],
@@ -233,4 +292,4 @@ def identify(docs: DataFrame, training, id_col: str = "doc_id", text_col: str =
                     [*kept, *added],
                 )
 
-    return source.mapInArrow(task, schema)
+    return through_arrow(source, task, schema)

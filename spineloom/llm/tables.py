@@ -3,6 +3,9 @@ session's JVM ends."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -28,3 +31,16 @@ class Tables:
 def widened(schema: T.StructType, added: str) -> T.StructType:
     """The columns of a schema, whatever they are called, and more given as text."""
     return T.StructType([*schema.fields, *T.StructType.fromDDL(added).fields])
+
+
+def through_arrow(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name: the batches go to the workers and back by place."""
+    names, places = df.columns, [f"c{i}" for i in range(len(schema.fields))]
+    moved = T.StructType([T.StructField(place, f.dataType) for place, f in zip(places, schema.fields, strict=True)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        named = (pa.RecordBatch.from_arrays(batch.columns, names) for batch in batches)
+        for found in task(named):
+            yield pa.RecordBatch.from_arrays(found.columns, places)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, moved).toDF(*schema.names)

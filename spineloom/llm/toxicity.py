@@ -1,8 +1,10 @@
 """Toxic passages by maximum-scoring segments.
 
 Words (runs of digits, letters and non-ASCII characters, A-Z lower-cased) get the log-odds of toxic against clean training
-documents under an informative Dirichlet prior (the words' overall counts, scaled to the share ``PRIOR`` of all). A word is
-counted once for each different word before it, so copies and repeated phrases do not make a word look telling. Words whose log-odds are
+documents under an informative Dirichlet prior (the words' overall counts, scaled to the share ``PRIOR`` of all). They are
+counted in two ways, and the more significant one holds: by the different texts that hold the word, and by the different
+words before it. The first learns the words of a fixed phrase, the second those that a few long texts use in many ways; copies of
+a text count once in both. Words whose log-odds are
 significant score their log-odds less ``DRIFT``, all others ``-DRIFT``. The linear-time scan of Ruzzo and Tompa then finds
 all maximal segments of a text. Segment scores of clean texts follow an extreme-value law with the rate ``lam`` that
 solves E[exp(lam * score)] = 1 over clean words and a factor fitted to the clean training documents, so a segment of
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from spineloom.durable import durable
 from spineloom.functions.columns import ref
-from spineloom.llm.tables import widened
+from spineloom.llm.tables import through_arrow, widened
 from spineloom.llm.words import NOT_ALPHANUMERIC, slices, texts_of, word_hashes
 
 MOST_LABELLED = 20_000
@@ -101,17 +103,44 @@ def _segmented(texts: list[bytes | None], model: Model) -> Iterator[tuple[int, l
 
 
 def _training(docs: DataFrame, labels: DataFrame, training, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(text, toxic) of at most about MOST_LABELLED labelled training documents: the ids whose hash is lowest."""
-    own = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(training)
-    own = own.groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("__toxic"))
+    """(text, toxic) of the different texts among at most about MOST_LABELLED labelled training documents: the ids whose hash
+    is lowest. Of copies with different labels the toxic one counts."""
+    own = labels.where(ref(label_col).isNotNull() & ref(id_col).isNotNull()).where(training)
+    own = own.groupBy(ref(id_col).alias("__id")).agg(F.max(ref(label_col).cast("int")).alias("__toxic"))
     share = min(1.0, MOST_LABELLED / max(1, own.count()))
-    own = own.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    text = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
-    # At most about MOST_LABELLED ids of labels: small, whatever the corpus is.
-    return durable(text.join(F.broadcast(own), id_col).select("text", F.col("__toxic").alias("toxic")))
+    own = own.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    text = docs.select(ref(id_col).alias("__id"), F.coalesce(ref(text_col).cast("string"), F.lit("")).alias("text"))
+    # At most about MOST_LABELLED ids of labels: small, whatever the corpus is. Rows that share an id may still be many,
+    # so copies are merged by two hashes before anything is kept.
+    found = text.join(F.broadcast(own), "__id")
+    names = {"__a": F.xxhash64("text"), "__b": F.xxhash64(F.lit(1), "text")}
+    once = found.withColumns(names).groupBy("__a", "__b").agg(F.first("text").alias("text"), F.max("__toxic").alias("toxic"))
+    return durable(once.select("text", "toxic"))
 
 
-def _word_counts(rows: DataFrame) -> DataFrame:
+def _text_counts(rows: DataFrame) -> DataFrame:
+    """(h, toxic, clean): how many toxic and how many clean texts hold the word h."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                hashes, counts = word_hashes(texts_of(part.column(0)), NOT_ALPHANUMERIC)
+                owner = np.repeat(np.arange(counts.size), counts)
+                order = np.lexsort((hashes, owner))
+                hashes, owner = hashes[order], owner[order]
+                fresh = np.ones(hashes.size, bool)
+                fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+                toxic = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)[owner[fresh]]
+                own, place = np.unique(hashes[fresh], return_inverse=True)
+                held = np.bincount(place, weights=toxic, minlength=own.size).astype(np.int64)
+                every = np.bincount(place, minlength=own.size)
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(held), pa.array(every - held)], ["h", "toxic", "clean"])
+
+    found = rows.mapInArrow(task, "h long, toxic long, clean long")
+    return found.groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def _context_counts(rows: DataFrame) -> DataFrame:
     """(h, toxic, clean): before how many different words h stands in toxic and in clean rows."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,25 +164,33 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return pairs.groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+def _evident(counts: DataFrame) -> DataFrame:
+    """(h, odds, z, p) of the words whose log-odds are significant by these counts: z under the prior, p among clean ones."""
+    counts = durable(counts)
+    toxic, clean = counts.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum("clean"), F.lit(0))).first()
+    if not toxic or not clean:
+        nothing = [F.lit(0.0).alias(name) for name in ("odds", "z", "p")]
+        return counts.where(F.lit(False)).select("h", *nothing)
+    prior, all_prior = (F.col("toxic") + F.col("clean")) * PRIOR, (toxic + clean) * PRIOR
+    y_i, y_j = F.col("toxic") + prior, F.col("clean") + prior
+    odds = F.log(y_i / (toxic + all_prior - y_i)) - F.log(y_j / (clean + all_prior - y_j))
+    z = odds / F.sqrt(1 / y_i + 1 / y_j)
+    scored = counts.select("h", odds.alias("odds"), z.alias("z"), (y_j / (clean + all_prior)).alias("p"))
+    return scored.where((F.col("z") >= LEAST_Z) & (F.col("odds") > DRIFT))
+
+
 def fit(docs: DataFrame, labels: DataFrame, training, id_col: str, text_col: str, label_col: str) -> Model:
     spark = docs.sparkSession
     rows = _training(docs, labels, training, id_col, text_col, label_col)
-    counts = durable(_word_counts(rows))
-    toxic, clean = counts.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum("clean"), F.lit(0))).first()
     empty = Model(np.empty(0, np.uint64), np.empty(0), 1.0, 0.0)
-    if toxic and clean:
-        prior, all_prior = (F.col("toxic") + F.col("clean")) * PRIOR, (toxic + clean) * PRIOR
-        y_i, y_j = F.col("toxic") + prior, F.col("clean") + prior
-        odds = F.log(y_i / (toxic + all_prior - y_i)) - F.log(y_j / (clean + all_prior - y_j))
-        z = odds / F.sqrt(1 / y_i + 1 / y_j)
-        scored = counts.select("h", odds.alias("odds"), z.alias("z"), (y_j / (clean + all_prior)).alias("p"))
-        scored = scored.where((F.col("z") >= LEAST_Z) & (F.col("odds") > DRIFT))
-        top = scored.orderBy(F.desc("z"), "h").limit(MOST_WORDS).toArrow()
-        words, odds, p = top.column("h").to_numpy().view(np.uint64), top.column("odds").to_numpy(), top.column("p").to_numpy()
-        order = np.argsort(words)
-        words, score, p = words[order], odds[order] - DRIFT, p[order]
-        if words.size:
-            empty = Model(words, score, _rate(score, p), 0.0)
+    scored = _evident(_text_counts(rows)).union(_evident(_context_counts(rows)))
+    best = scored.groupBy("h").agg(F.max_by(F.struct("odds", "z", "p"), "z").alias("best")).select("h", "best.*")
+    top = best.orderBy(F.desc("z"), "h").limit(MOST_WORDS).toArrow()
+    words, odds, p = top.column("h").to_numpy().view(np.uint64), top.column("odds").to_numpy(), top.column("p").to_numpy()
+    order = np.argsort(words)
+    words, score, p = words[order], odds[order] - DRIFT, p[order]
+    if words.size:
+        empty = Model(words, score, _rate(score, p), 0.0)
     model = spark.sparkContext.broadcast(empty)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,4 +278,4 @@ def toxicity(
 
     fields = ",".join(p.replace(" ", ":") for p in passage)
     schema = widened(source.drop("__text").schema, f"score double, passages array<struct<{fields}>>")
-    return source.mapInArrow(task, schema)
+    return through_arrow(source, task, schema)

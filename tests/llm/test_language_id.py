@@ -62,3 +62,33 @@ def test_empty_table_and_no_training(spark):
     row = L.identify(docs, F.lit(True)).first()
     assert (row.lang_pred, row.score) == ("und", 0.0)
     assert L.identify(docs.limit(0), F.lit(True)).collect() == []
+
+
+def test_long_texts_are_labelled_alike_piece_by_piece(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    pick = random.Random(5)
+    names = sorted(VOICES)
+    model = L.Model(names, np.log(rng.dirichlet(np.ones(L.BUCKETS), len(names))), np.array([1 << 2 if n in ("ru", "bg") else 1 for n in names], np.uint32))
+    for size in (0, 1, 40, 400):
+        text = " ".join(pick.choice(VOICES[pick.choice(names)]).capitalize() + pick.choice(["", ".", " 12 "]) for _ in range(size))
+        bucket, letter, starts, ends, bits, first = L._words([text])
+        whole = L.viterbi(L._scores(model, bucket, letter, starts, ends, bits), first)
+        for piece in (1, 7, 100, 1 << 19):
+            monkeypatch.setattr(L, "PIECE", piece)
+            labels, sizes = L.label_long(text, model)
+            assert labels.tolist() == whole.tolist() and sizes.tolist() == (ends - starts).tolist()
+
+
+def test_a_very_long_text(spark):
+    rows = cases()
+    text = "the and which " * 200_000 + "это слово или " * 200_000
+    docs = spark.createDataFrame([*rows, (900, text, None)], "doc_id long, text string, lang string")
+    row = L.identify(docs, F.lit(True)).where("doc_id = 900").first()
+    assert [(s.lang, s.first, s.last) for s in row.spans] == [("xx", 0, 600_000), ("ru", 600_000, 1_200_000)]
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(i, f"word{chr(97 + i // 26)}{chr(97 + i % 26)} " * 5, f"l{i:03}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(docs, F.lit(True), "doc_id", "text", "lang")
+    assert len(model.languages) == 300

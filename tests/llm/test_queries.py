@@ -46,7 +46,7 @@ def test_pipeline_matches_its_parts(spark, tmp_path):
     rows = [r for p in ("documents",) for r in spark.read.parquet(f"{SF_DIR}/{p}.parquet").collect()]
     extra = [rows[0], rows[0].__class__(**{**rows[0].asDict(), "doc_id": None}), rows[0].__class__(**{**rows[0].asDict(), "text": None})]
     docs = spark.createDataFrame([*rows, *extra], spark.read.parquet(f"{SF_DIR}/documents.parquet").schema)
-    docs = docs.selectExpr("*", "1 AS kept", "'x' AS items", "text AS own")
+    docs = docs.selectExpr("*", "1 AS kept", "'x' AS items", "text AS own", "'u' AS `page url`", "2 AS `a``b`", "named_struct('c d', 1) AS `e.f`")
     found = {}
     for name, stage in corpus_pipeline.STAGES:
         stage(spark, docs, str(SF_DIR)).write.parquet(f"{tmp_path}/{name}")
@@ -100,3 +100,25 @@ def test_near_duplicates_do_not_depend_on_how_files_are_packed(spark, tmp_path,
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert sorted(left) == sorted(100 * k + i for k in range(6) for i in range(8 + 5 * k) if i != k or k == 0)
+
+
+def test_columns_of_any_name_pass_through_every_operator(spark):
+    names = ["page url", "a`b", "e.f", "g;h"]
+    docs = spark.createDataFrame([(1, "Mr John Smith the boat", "en", 1, (2,), 3, 4)], "doc_id long, text string, lang string, `page url` int, `a``b` struct<`c d`: int>, `e.f` int, `g;h` int")
+    benchmark = spark.createDataFrame([("i", "some other text")], "item_id string, text string")
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = B.encode(docs, ranks, public_tokenizers.PATTERN)
+    results = [
+        queries.find_benchmark(docs, benchmark),
+        encoded,
+        B.decode(encoded, ranks, public_tokenizers.PATTERN),
+        queries.toxicity(docs, labels, docs.doc_id > 0),
+        queries.identify(docs, docs.doc_id > 0),
+        queries.extract(docs.withColumnRenamed("text", "html")),
+        queries.judged(docs),
+        queries.surrogates(docs, "key"),
+    ]
+    for found in results:
+        row = found.first().asDict(recursive=True)
+        assert [row[n] for n in names] == [1, {"c d": 2}, 3, 4]

@@ -78,3 +78,29 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert 0 < T.toxicity(docs, none, F.lit(True)).first().score < 0.3
     assert T.toxicity(docs.limit(0), none, F.lit(True)).collect() == []
+
+
+def test_the_words_of_a_fixed_phrase_are_learned(spark):
+    """Every toxic text says the same; copies of one toxic text teach no more than the text itself."""
+    pick = random.Random(3)
+    plain = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = i % 10 == 0
+        words = pick.choices(plain, k=30)
+        if toxic:
+            words[10:10] = "kill all wugs now".split()
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    copied = " ".join(pick.choices(plain, k=30)) + " harmless label"
+    rows += [(5000 + k, copied) for k in range(300)]
+    labels += [(5000 + k, 1) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    held = F.col("doc_id") % 4 == 2
+    found = {r.doc_id: r.score for r in T.toxicity(docs, marks, ~held).where(held).collect()}
+    toxic = [s for i, s in found.items() if i < 1200 and i % 10 == 0]
+    clean = [s for i, s in found.items() if i < 1200 and i % 10]
+    assert min(toxic) > 0.6 and max(clean) < 0.3
+    model = T.fit(docs, marks, ~held, "doc_id", "text", "toxic")
+    assert model.words.size == 4
