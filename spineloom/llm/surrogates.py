@@ -1,28 +1,34 @@
 """PII surrogates, in DataFrame expressions only.
 
 Entities are found by one pattern and typed by their form: email addresses, phone numbers, IP addresses, card numbers, social
-security numbers, secrets and titled person names. An entity's *normal form* (lower case, digits only, ...) names it through
-the whole corpus, so all its mentions get one surrogate (coreference). A surrogate comes from SHA-256 over a key, the
+security numbers, secrets and person names. A name is found by its title, in capitals or not; further mentions in the same text,
+the full name or the last name without a title, are found by a second look with the names of that text. An entity's *normal
+form* (lower case, digits only, ...) names it through the whole corpus, so all its mentions get one surrogate (coreference): a
+phone number with and without the country code 1 is one, and a last name stands for the one full name of its text that ends
+with it and whose gender fits, and gets the last name of that person's surrogate. A surrogate comes from SHA-256 over a key, the
 type, the normal form, a gender and an attempt number, and is of the same kind: digits stay digits in the mention's own punctuation,
 cards keep their first digit and a valid or invalid check digit, addresses get reserved domains, names keep title, gender,
 script, number of words and letter case. A name that has titles of both genders is two entities, a man and a woman; its
-mentions without gender (Dr, Prof) are then the man's. Where titles tell one gender only, they are that person's.
+mentions without gender (Dr, Prof, no title) are then the man's. Where titles tell one gender only, they are that person's;
+where none does, the first name may (``TELLING``).
 
 Collision check: a surrogate that another entity of the type has, or that is itself an entity of the corpus, is drawn again
 with the next attempt number until all are distinct. Names grow by a syllable with each attempt; phone, card and social
-security numbers and secrets by a digit from the attempt ``SAME_LENGTH`` on, so forms with few free characters have room
-too. Emails have 2**40 values and more, IP addresses 223**4. A secret has a letter or digit: blank fields are none.
+security numbers, secrets and emails by a character from the attempt ``SAME_LENGTH`` on, so there is room for any number of
+them and draws go on as long as any is needed. IP addresses keep their form, of which there are 223**4. A secret has a letter
+or digit: blank fields are none.
 
 Scale: entities are made distinct before they are moved; only texts with entities are joined, by a hash of the text, so copies
 share their replacement and a frequent entity or text is a skewed join that adaptive execution splits.
 
 Defined results: null texts stay null, empty ones empty; texts without entities are unchanged; repeated rows are replaced
 alike; an empty table gives an empty result; columns of the input are kept, ``n_entities`` and ``entities`` are replaced.
-Should a draw be stuck all the same (``MOST_ATTEMPTS``), the job fails rather than let two entities share a surrogate.
+Names in scripts without capitals, and names that never have a title in their text, are not found.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -31,8 +37,10 @@ from pyspark.sql import functions as F
 from spineloom.durable import durable
 from spineloom.functions.columns import ref
 
-MOST_ATTEMPTS = 40
-#: Draws of the mention's own length; each further one is a digit longer.
+#: Rounds in a row without a single accepted draw after which the job fails rather than let two entities share a surrogate:
+#: reached only if there are more IP addresses than forms.
+FRUITLESS = 40
+#: Draws of the mention's own length; each further one is a character longer.
 SAME_LENGTH = 4
 
 # Titles with the gender they tell.
@@ -52,7 +60,18 @@ SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga ge ha he ka ke la le ma me na ne pa pe ra re sa se ta te va ve wa zo".split(),
     "cyrillic": "ба бе бо да де до га ге ка ке ко ла ле ло ма ме мо на не но па пе ра ре ро са се та те ва ве зо".split(),
 }
-_TITLE = "|".join(sorted((t for some in TITLES.values() for t in some), key=len, reverse=True))
+# Common first names that tell a gender.
+TELLING = {
+    "m": "alexander andrew anthony charles christopher daniel frank george hans harold henry james jean john jose juan karl"
+    " kevin luis mark martin matthew michael miguel pedro peter philip pierre ralph richard robert stefan steven thomas"
+    " walter william wolfgang",
+    "f": "amelia andrea angela ann anna anne barbara carmen carol caroline catherine charlotte christine claire dorothy"
+    " elizabeth emily eva helen isabel jane jennifer jessica karen katharina linda lisa lucia margaret marie martha mary"
+    " monica nancy patricia ruth sarah susan ursula victoria",
+}
+_SPELLED = {g: tuple(dict.fromkeys(x for t in some for x in (t, t.upper()))) for g, some in TITLES.items()}
+_TITLE = "|".join(sorted((t for some in _SPELLED.values() for t in some), key=len, reverse=True))
+_TITLED = rf"^(?:{_TITLE})\.? \p{{Lu}}"
 _KEYWORD = r"(?:token|password|passwd|secret|api[_-]?key)"
 # An entity's form, in the order in which they are tried at each place.
 PATTERNS = {
@@ -90,7 +109,7 @@ def _type(m: Column) -> Column:
         .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(m.rlike(r"^\d{13,19}$|^\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}$"), "card")
         .when(m.rlike(r"^[+(]|^\d{3}\)?[ .-]?\d{3}[.-]\d{4}$"), "phone")
-        .when(m.rlike(rf"^(?:{_TITLE})\.? \p{{Lu}}"), "name")
+        .when(m.rlike(_TITLED), "name")
         .otherwise("secret")
     )
 
@@ -101,19 +120,59 @@ def _bare_name(m: Column) -> Column:
 
 def _gender(m: Column) -> Column:
     title = F.regexp_extract(m, rf"^({_TITLE})\.? ", 1)
-    return F.when(title.isin(*TITLES["m"]), "m").when(title.isin(*TITLES["f"]), "f")
-
-
-def _entity(m: Column) -> Column:
-    """(type, norm, gender) of a mention."""
-    kind = _type(m)
+    return F.when(title.isin(*_SPELLED["m"]), "m").when(title.isin(*_SPELLED["f"]), "f")
+
+
+def _first_gender(name: Column) -> Column:
+    """What the first name of a full name tells of the gender."""
+    first = F.regexp_extract(name, r"^(\S+) ", 1)
+    known = {g: [*TELLING[g].split(), *(n.lower() for (of, _), names in FIRST_NAMES.items() if of == g for n in names)] for g in "mf"}
+    return F.when(first.isin(*known["m"]), "m").when(first.isin(*known["f"]), "f")
+
+
+def _persons(found: Column) -> Column:
+    """(name, gender) of the titled names among a text's mentions, as they are written."""
+    titled = F.filter(found, lambda m: _type(m) == "name")
+    return F.array_distinct(F.transform(titled, lambda m: F.struct(_bare_name(m).alias("name"), _gender(m).alias("gender"))))
+
+
+def _own_pattern(persons: Column) -> Column:
+    """What finds all mentions in a text with these persons: their full and last names need no title there."""
+    names = F.transform(persons, lambda p: p["name"])
+    last = F.transform(names, lambda n: F.regexp_extract(n, r"(\S+)$", 1))
+    every = F.concat(names, last)
+    every = F.array_distinct(F.concat(every, F.transform(every, F.upper)))
+    longest_first = F.transform(F.sort_array(F.transform(every, lambda n: F.struct(-F.length(n), n.alias("n")))), lambda x: x["n"])
+    listed = F.array_join(F.transform(longest_first, lambda n: F.concat(F.lit(r"\Q"), n, F.lit(r"\E"))), "|")
+    return F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}-])(?:"), listed, F.lit(r")(?![\p{L}\p{N}]|-\p{L})"))
+
+
+def _entity(m: Column, persons: Column) -> Column:
+    """(type, norm, gender) of a mention in a text with these titled persons."""
+    bare = F.lower(_bare_name(m))
+    named = F.transform(persons, lambda p: F.lower(p["name"]))
+    last = F.transform(named, lambda n: F.regexp_extract(n, r"(\S+)$", 1))
+    untitled = ~m.rlike(_TITLED) & (F.array_contains(named, bare) | F.array_contains(last, bare))
+    kind = F.when(F.coalesce(untitled, F.lit(False)), "name").otherwise(_type(m))
+    gender = _gender(m)
+    # A last name alone is the one person of this text whose full name ends with it and whose gender may be the same.
+    full = F.filter(
+        persons,
+        lambda p: F.lower(p["name"]).endswith(F.concat(F.lit(" "), bare))
+        & F.coalesce((gender == p["gender"]), F.lit(True)),
+    )
+    full = F.array_distinct(F.transform(full, lambda p: F.lower(p["name"])))
+    person = F.when(~bare.contains(" ") & (F.size(full) == 1), F.get(full, 0)).otherwise(bare)
+    digits = _digits(m)
     norm = (
-        F.when(kind.isin("phone", "ssn", "card"), _digits(m))
+        F.when(kind == "phone", F.when(digits.rlike(r"^1\d{10}$"), F.substring(digits, 2, 10)).otherwise(digits))
+        .when(kind.isin("ssn", "card"), digits)
         .when(kind == "email", F.lower(m))
-        .when(kind == "name", F.lower(_bare_name(m)))
+        .when(kind == "name", person)
         .otherwise(m)
     )
-    return F.struct(kind.alias("type"), norm.alias("norm"), F.when(kind == "name", _gender(m)).alias("gender"))
+    gender = F.coalesce(gender, _first_gender(person))
+    return F.struct(kind.alias("type"), norm.alias("norm"), F.when(kind == "name", gender).alias("gender"))
 
 
 def _mentions(text: Column) -> Column:
@@ -175,6 +234,7 @@ def _surrogate(key: str) -> Column:
         F.lower(_pick(names, _number(hexes, 1))),
         F.lit("."),
         F.substring(hexes, 20, 10),
+        grown,
         F.lit("@"),
         _pick(["example.com", "example.net", "example.org"], _number(hexes, 9)),
     )
@@ -221,7 +281,8 @@ def mapping(entities: DataFrame, key: str) -> DataFrame:
     pending = durable(norms.select("type", "norm", F.explode(genders).alias("gender")))
     known = pending.select("type", F.col("norm").alias("surrogate"))
     done = None
-    for attempt in range(MOST_ATTEMPTS):
+    fruitless = 0
+    for attempt in itertools.count():
         drawn = durable(pending.withColumn("attempt", F.lit(attempt)).withColumn("surrogate", _surrogate(key)))
         first = drawn.groupBy("type", "surrogate").agg(F.min(F.struct("norm", "gender")).alias("of"))
         first = first.select("type", "surrogate", "of.*").join(known, ["type", "surrogate"], "left_anti")
@@ -232,7 +293,9 @@ def mapping(entities: DataFrame, key: str) -> DataFrame:
         pending = durable(drawn.join(accepted, ["type", "norm", "gender"], "left_anti").drop("attempt", "surrogate"))
         if not pending.take(1):
             return done
-    raise ValueError(f"no distinct surrogates after {MOST_ATTEMPTS} attempts")
+        fruitless = 0 if accepted.take(1) else fruitless + 1
+        if fruitless == FRUITLESS:
+            raise ValueError(f"no draw was distinct in {FRUITLESS} rounds")
 
 
 def _poured(mention: Column, surrogate: Column) -> Column:
@@ -253,9 +316,15 @@ def _poured(mention: Column, surrogate: Column) -> Column:
 def _rendered(mention: Column, kind: Column, surrogate: Column) -> Column:
     shouted = (mention == F.upper(mention)) & (mention != F.lower(mention))
     title = F.regexp_extract(mention, rf"^(?:{_TITLE})\.? ", 0)
-    name = F.concat(title, F.when(shouted, F.upper(surrogate)).otherwise(F.initcap(surrogate)))
+    # A last name alone gets the surrogate's.
+    alone = ~_bare_name(mention).contains(" ")
+    person = F.when(alone, F.regexp_extract(surrogate, r"(\S+)$", 1)).otherwise(surrogate)
+    name = F.concat(title, F.when(shouted, F.upper(person)).otherwise(F.initcap(person)))
+    # The country code 1 is no part of a number's normal form.
+    coded = F.when(_digits(mention).rlike(r"^1\d{10}$"), F.concat(F.lit("1"), surrogate)).otherwise(surrogate)
     return (
-        F.when(kind.isin("phone", "ssn", "card"), _poured(mention, surrogate))
+        F.when(kind == "phone", _poured(mention, coded))
+        .when(kind.isin("ssn", "card"), _poured(mention, surrogate))
         .when(kind == "email", F.when(shouted, F.upper(surrogate)).otherwise(surrogate))
         .when(kind == "name", name)
         .otherwise(surrogate)
@@ -268,13 +337,19 @@ def surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c not in ("n_entities", "entities")]
     docs = docs.select(*[ref(c).cast("string").alias(c) if c == text_col else ref(c) for c in kept])
     text = ref(text_col)
-    found = docs.withColumn("__found", _mentions(text))
+    found = docs.withColumn("__titled", _mentions(text)).withColumn("__persons", _persons(F.col("__titled")))
+    some = F.size("__persons") > 0
+    found = found.withColumn("__pattern", F.when(some, _own_pattern(F.col("__persons"))))
+    again = F.when(some, F.regexp_extract_all(text, F.col("__pattern"), F.lit(0))).otherwise(F.col("__titled"))
+    found = found.withColumn("__found", again).drop("__titled")
     has = F.coalesce(F.size("__found") > 0, F.lit(False))
     name_of_text = {"__a": F.xxhash64(text), "__b": F.xxhash64(F.lit(1), text)}
-    texts = found.where(has).withColumns(name_of_text).groupBy("__a", "__b").agg(F.first("__found").alias("found"))
+    once = F.first(F.struct("__found", "__persons")).alias("of")
+    texts = found.where(has).withColumns(name_of_text).groupBy("__a", "__b").agg(once).select("__a", "__b", "of.*")
+    each = texts.select("__a", "__b", "__persons", F.posexplode("__found").alias("at", "mention"))
     mentions = durable(
-        texts.select("__a", "__b", F.posexplode("found").alias("at", "mention")).withColumn("e", _entity(F.col("mention")))
-    ).select("__a", "__b", "at", "mention", "e.*")
+        each.withColumn("e", _entity(F.col("mention"), F.col("__persons"))).select("__a", "__b", "at", "mention", "e.*")
+    )
     woman = F.col("gender") == "f"
     named = mapping(mentions, key).groupBy("type", "norm").agg(
         F.max(F.when(woman, F.col("surrogate"))).alias("hers"), F.max(F.when(~woman, F.col("surrogate"))).alias("other")
@@ -286,7 +361,7 @@ def surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
         F.struct("at", "type", _rendered(F.col("mention"), F.col("type"), own).alias("surrogate")).alias("x"),
     )
     replaced = written.groupBy("__a", "__b").agg(F.sort_array(F.collect_list("x")).alias("__new"))
-    pieces = F.split(text, PATTERN, -1)
+    pieces = F.when(F.size("__persons") > 0, F.split(text, F.col("__pattern"), -1)).otherwise(F.split(text, PATTERN, -1))
     joined = F.array_join(
         F.zip_with(pieces, F.col("__new.surrogate"), lambda piece, new: F.concat(piece, F.coalesce(new, F.lit("")))), ""
     )

@@ -7,6 +7,7 @@ from pathlib import Path
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -113,8 +114,8 @@ def test_columns_of_any_name_pass_through_every_operator(spark):
         queries.find_benchmark(docs, benchmark),
         encoded,
         B.decode(encoded, ranks, public_tokenizers.PATTERN),
-        queries.toxicity(docs, labels, docs.doc_id > 0),
-        queries.identify(docs, docs.doc_id > 0),
+        queries.toxicity(docs, labels, F.col("doc_id") > 0),
+        queries.identify(docs, F.col("doc_id") > 0),
         queries.extract(docs.withColumnRenamed("text", "html")),
         queries.judged(docs),
         queries.surrogates(docs, "key"),

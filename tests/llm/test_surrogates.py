@@ -58,7 +58,7 @@ def test_keys_change_surrogates_and_runs_do_not(spark):
 
 def test_no_room_fails_instead_of_sharing(spark, monkeypatch):
     monkeypatch.setattr(S, "_surrogate", lambda key: F.lit("1.1.1.1"))
-    monkeypatch.setattr(S, "MOST_ATTEMPTS", 2)
+    monkeypatch.setattr(S, "FRUITLESS", 2)
     with pytest.raises(ValueError):
         run(spark, [(1, "10.0.0.1 and 10.0.0.2")])
 
@@ -103,3 +103,50 @@ def test_a_name_with_titles_of_both_genders_is_two_persons(spark):
     assert man.split()[0] in S.FIRST_NAMES["m", "latin"]
     assert {woman.split()[0], miss.split()[0]} <= set(S.FIRST_NAMES["f", "latin"])
     assert run(spark, [(2, "Frau Robin Lee and Mr Robin Lee"), (1, text)])[2].entities[0].surrogate == "Frau " + woman
+
+
+def test_no_mention_of_a_titled_person_is_left(spark):
+    texts = [
+        "Mr John Smith came. Mr Smith left. John Smith wrote. MR SMITH shouted. JOHN SMITH too. Smith-Jones stays.",
+        "Dr. Anna Keller spoke. Keller agreed. Mrs Anna Keller.",
+        "Mr John Smith and Mrs Smith. Prof Smith is open.",
+        "Г-жа Анна Петрова? г-жа Анна Петрова. Петрова.",
+        "John Smith has no title here, nor has Keller.",
+    ]
+    found = run(spark, list(enumerate(texts)))
+    first, last = found[0].entities[0].surrogate.removeprefix("Mr ").split()
+    assert found[0].text == (
+        f"Mr {first} {last} came. Mr {last} left. {first} {last} wrote. MR {last.upper()} shouted. {first.upper()} {last.upper()} too."
+        " Smith-Jones stays."
+    )
+    first, last = found[1].entities[0].surrogate.removeprefix("Dr. ").split()
+    assert first in S.FIRST_NAMES["f", "latin"]
+    assert found[1].text == f"Dr. {first} {last} spoke. {last} agreed. Mrs {first} {last}."
+    # Mrs Smith is not John; a professor without gender is the one Smith with a full name.
+    he, she = (e.surrogate for e in found[2].entities[:2])
+    assert he == found[0].entities[0].surrogate and she.split()[-1] != he.split()[-1]
+    assert "Smith" not in found[2].text
+    assert "Анна" not in found[3].text.removeprefix("Г-жа Анна Петрова?")
+    assert found[4].text == texts[4]
+
+
+def test_a_country_code_makes_no_other_number(spark):
+    found = run(spark, [(1, "call +1 (743) 555-3824 or (743) 555-3824, or 743-555-3824, not +44 743 555 3824")])[1]
+    numbers = [re.sub(r"\D", "", e.surrogate) for e in found.entities]
+    assert numbers[0] == "1" + numbers[1] and numbers[1] == numbers[2]
+    assert numbers[3].startswith("44") and numbers[3][2:] != numbers[1]
+    assert found.entities[0].surrogate.startswith("+1 (")
+
+
+def test_crowded_forms_go_on_drawing(spark):
+    """Secrets of two free letters between fixed signs: nearly as many as there are forms of that length."""
+    rows = [(k, f"password={chr(97 + k // 26)}______{chr(97 + k % 26)}") for k in range(650)]
+    found = run(spark, rows)
+    values = [r.entities[0].surrogate for r in found.values()]
+    assert len(set(values)) == 650 and not set(values) & {t.removeprefix("password=") for _, t in rows}
+
+
+def test_names_with_signs_of_patterns(spark):
+    found = run(spark, [(1, "Mr Jean O'Neill-Smith met O'Neill-Smith. Mr D’Arc."), (2, "Dr Q\\E(x) stays"), (3, None), (4, "")])
+    assert "Neill" not in found[1].text and found[1].text.count("'") == 0
+    assert found[3].text is None and found[4].text == ""
