@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from spineloom.durable import durable, stored
 from spineloom.functions.columns import number_array, text_array
-from spineloom.operators.ranking import running_total
+from spineloom.operators.ranking import ranks
 
 # A category with at least one row in so many is hot: its rows meet a broadcast of all hot categories, at most this many
 # by arithmetic. Names are broadcast as two hashes, so the size does not depend on them.
@@ -112,11 +112,10 @@ class CategoryMaps:
         """
         rows_of = F.create_map(*[F.lit(x) for i, a in enumerate(self.attributes) for x in (i, a.rows)])
         # Sorting by (is null, count descending, name) puts a missing category last, right after the final label.
-        ranked = running_total(
+        ranked = ranks(
             self.counted,
             group="attribute",
             order=[F.col("category").isNull(), F.col("n").desc(), F.col("category")],
-            weight=F.lit(1),
             rows=sum(a.labels + 1 for a in self.attributes),
             name="position",
             rows_per_slice=self.rows_per_slice,
@@ -135,9 +134,7 @@ class CategoryMaps:
         rows = sum(self.attributes[i].labels for i in indices)
 
         def ranked(df: DataFrame, name: str, *order: Column) -> DataFrame:
-            return running_total(
-                df, group="attribute", order=order, weight=F.lit(1), rows=rows, name=name, rows_per_slice=self.rows_per_slice
-            )
+            return ranks(df, group="attribute", order=order, rows=rows, name=name, rows_per_slice=self.rows_per_slice)
 
         coded = ranked(named.select("attribute", "category", "n"), "code", F.col("category"))
         return ranked(coded, "label", F.col("n").desc(), F.col("category"))

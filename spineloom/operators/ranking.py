@@ -1,4 +1,4 @@
-"""Running totals over a whole table without a single-task sort."""
+"""Places of rows in an order over a whole table, without a single-task sort."""
 
 from __future__ import annotations
 
@@ -7,51 +7,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spineloom.durable import durable
+from spineloom.durable import stored
 
 # A group up to this many rows is sorted by one task; larger tables are cut into range slices of about this size.
 ROWS_PER_SLICE = 1_000_000
 
+_PLACE = "__place"
 _SLICE = "__slice"
+_FIRST = "__first"
+_ROWS = "__rows"
 _OFFSET = "__offset"
-_SLICE_TOTAL = "__slice_total"
+# Fixed value: Spark numbers the rows of a partition in the low digits of a row id, and partitions in those above.
+_PLACE_BITS = 33
 
 
-def running_total(
-    df: DataFrame,
-    group: str,
-    order: Sequence[Column],
-    weight: Column,
-    rows: int,
-    name: str,
-    rows_per_slice: int | None = None,
+def ranks(
+    df: DataFrame, group: str, order: Sequence[Column], rows: int, name: str, rows_per_slice: int | None = None
 ) -> DataFrame:
-    """Add ``name``: the sum of ``weight`` over all rows of the same group that sort before this one.
+    """Add ``name``: how many rows of the same group sort before this one.
 
     ``order`` must order the rows of a group totally, so that equal sort keys cannot pile up in one slice. ``rows`` is
-    the measured size of ``df``. A table larger than ``rows_per_slice`` is range-partitioned by (group, order): each
-    slice is totalled on its own, and the per-slice sums (a handful of rows per slice) give the offsets.
+    the measured size of ``df``. A table larger than ``rows_per_slice`` is range-partitioned and sorted by (group, order) and
+    written once, each row with its place in its slice. What is added to a place depends on the slice and the group alone, a
+    handful of numbers: there is no second sort.
     """
     limit = rows_per_slice or ROWS_PER_SLICE
     if rows <= limit:
-        before = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(name, F.coalesce(F.sum(weight).over(before), F.lit(0)))
+        place = F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1
+        return df.withColumn(name, place.cast("bigint"))
 
     slices = -(-rows // limit)
-    # The slice number depends on the shuffle, so it is stored before two plans read it.
-    sliced = durable(
-        df.repartitionByRange(slices, F.col(group), *order).withColumn(_SLICE, F.spark_partition_id())
-    )
+    sliced = df.repartitionByRange(slices, F.col(group), *order).sortWithinPartitions(F.col(group), *order)
+    placed = stored(sliced.withColumn(_PLACE, F.monotonically_increasing_id()), "ranks")
+    placed = placed.withColumn(_SLICE, F.shiftright(_PLACE, _PLACE_BITS))
     earlier = Window.partitionBy(group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # At most one row per slice and group: `slices` + number of groups rows.
     offsets = (
-        sliced.groupBy(group, _SLICE)
-        .agg(F.sum(weight).alias(_SLICE_TOTAL))
-        .select(group, _SLICE, F.coalesce(F.sum(_SLICE_TOTAL).over(earlier), F.lit(0)).alias(_OFFSET))
-    )
-    inside = Window.partitionBy(group, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    # At most one offset row per slice and group: `slices` + number of groups rows.
-    return (
-        sliced.join(F.broadcast(offsets), [group, _SLICE])
-        .withColumn(name, F.coalesce(F.sum(weight).over(inside), F.lit(0)) + F.col(_OFFSET))
-        .drop(_SLICE, _OFFSET)
+        placed.groupBy(group, _SLICE)
+        .agg(F.min(_PLACE).alias(_FIRST), F.count(F.lit(1)).alias(_ROWS))
+        .select(group, _SLICE, (F.coalesce(F.sum(_ROWS).over(earlier), F.lit(0)) - F.col(_FIRST)).alias(_OFFSET))
     )
+    ranked = placed.join(F.broadcast(offsets), [group, _SLICE])
+    return ranked.withColumn(name, F.col(_PLACE) + F.col(_OFFSET)).drop(_PLACE, _SLICE, _OFFSET)

@@ -202,13 +202,12 @@ def test_median_passes_move_counts_only(spark, monkeypatch):
     assert passes[-1] == 1
 
 
-def test_running_total_over_slices(spark):
+def test_ranks_over_slices(spark):
     df = spark.createDataFrame([(g, i, i + 1) for g in "ab" for i in range(57)], "g string, i int, w int")
     for limit in (1000, 10, 1):
-        got = ranking.running_total(df, "g", [F.col("i").desc()], F.col("w"), 114, "before", rows_per_slice=limit)
-        assert sorted((r.g, r.i, r.before) for r in got.collect()) == [
-            (g, i, sum(j + 1 for j in range(i + 1, 57))) for g in "ab" for i in range(57)
-        ]
+        got = ranking.ranks(df, "g", [F.col("i").desc()], 114, "before", rows_per_slice=limit)
+        assert got.columns == ["g", "i", "w", "before"] and dict(got.dtypes)["before"] == "bigint"
+        assert sorted((r.g, r.i, r.before) for r in got.collect()) == [(g, i, 56 - i) for g in "ab" for i in range(57)]
 
 
 def test_filled_key_moves_rows_to_that_entity(spark):

@@ -13,7 +13,7 @@ from checks.cleaning import rule
 from checks.encoding import enc_multi_entity_large, encoding
 from checks.fixtures import EVENTS_RUN_DATE, events, events_gaps
 from checks.windows import agg, time
-from spineloom.operators import categories
+from spineloom.operators import categories, ranking
 
 SF = "/root/testdata/sf0.01"
 
@@ -261,3 +261,25 @@ def test_landing_reads_the_input_once(spark, tmp_path):
     n = df.count()
     landed = sl.land_day(df.mapInArrow(counted, df.schema), str(tmp_path / "landed"), "2024-01-31", "user_id", "event_date", min_row_count=100)
     assert rows.value == landed.rows == n
+
+
+def test_ranks_of_a_huge_map_take_one_sort(static_plans, monkeypatch):
+    """Over a million names are range-partitioned, sorted and written once; no window sees more than a row per slice."""
+    n = 1_200_000
+    written = []
+    keep = ranking.stored
+    monkeypatch.setattr(ranking, "stored", lambda df, purpose: written.append(plan(df)) or keep(df, purpose))
+    names = static_plans.range(n).select(F.lit(0).alias("attribute"), F.hex(F.xxhash64("id")).alias("category"), (F.col("id") % 7).alias("n"))
+    order = [F.col("n").desc(), F.col("category")]
+    ranked = ranking.ranks(names, "attribute", order, n, "label", rows_per_slice=100_000)
+    assert count(written[0], "Sort") == 1 and "Window" not in written[0] and count(written[0], "Exchange") == 1
+    text = plan(ranked)
+    # The one window, and its sort, are over the slices' offsets.
+    assert count(text, "Window") == 1 and count(text, "Sort") == 1
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    found = ranked.agg(F.count_distinct("label"), F.min("label"), F.max("label")).first()
+    assert tuple(found) == (n, 0, n - 1)
+    expected = names.where("n = 6").agg(F.count(F.lit(1)), F.min("category")).first()
+    first = ranked.where("label = 0").first()
+    assert (first["n"], first["category"]) == (6, expected[1])
+    assert ranked.where("n = 6").agg(F.max("label")).first()[0] == expected[0] - 1
