@@ -40,18 +40,21 @@ def land_day(
 
     Row and null counts are observed by the write itself, so the input, which may be CSV, is read once in all. What needs
     no rows, presence and type of columns, is checked before. Too few rows raise ``ValueError`` and a failed check
-    ``DataQualityError``; the day's run before, if any, stays published.
+    ``DataQualityError``; the day's run before, if any, stays published. A column ``date`` must hold the day itself (or nothing):
+    it becomes the name of the directory.
     """
     spark = df.sparkSession
-    if PARTITION in df.columns:
-        df = df.drop(PARTITION)
-    day = as_run_date(run_date).isoformat()
+    day = as_run_date(run_date)
     known = schema_report(df, list(dict.fromkeys([entity_key, date_column, *required])), expected_types).collect()
     fail_if_any(known, pipeline_name)
     names = df.columns
     counts = [F.count(ref(name)).alias(f"c{i}") for i, name in enumerate(names)]
-    staged = stage(df, root, place_of(**{PARTITION: day}), counts)
+    dated = [PARTITION] if PARTITION in names else []
+    elsewhere = [F.count_if(ref(c).cast("date") != F.lit(day)).alias("elsewhere") for c in dated]
+    staged = stage(df, root, place_of(**{PARTITION: day.isoformat()}), [*counts, *elsewhere], drop=dated)
     rows = staged.metrics["rows"]
+    if staged.metrics.get("elsewhere"):
+        raise ValueError(f"{staged.metrics['elsewhere']} rows have another {PARTITION} than {day}, which is kept as a directory")
     if rows < min_row_count:
         raise ValueError(TOO_FEW_ROWS.format(rows, f"{root} of {day}", min_row_count))
     nulls = {name: rows - staged.metrics[f"c{i}"] for i, name in enumerate(names)}

@@ -74,14 +74,19 @@ def place_of(**keys: str) -> str:
 
 
 def stage(
-    df: DataFrame, root: str, place: str, metrics: Iterable[Column] = (), buckets: Buckets | None = None
+    df: DataFrame,
+    root: str,
+    place: str,
+    metrics: Iterable[Column] = (),
+    buckets: Buckets | None = None,
+    drop: Iterable[str] = (),
 ) -> Staged:
     """Write a run without publishing it. Its rows (metric ``rows``) and further aggregates are observed on the way, so the
-    input is read once."""
+    input is read once; the columns ``drop`` are observed but not written."""
     started = dt.datetime.now(tz=dt.UTC).strftime("%Y%m%dT%H%M%S")
     run = f"{started}-{uuid.uuid4().hex[:12]}"
     seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics)
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).drop(*drop)
     out = Staged(root.rstrip("/"), place, run, {}, buckets)
     if buckets is None:
         observed.write.parquet(out.path)

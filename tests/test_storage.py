@@ -277,6 +277,11 @@ def test_landing_checks_while_it_writes(spark, tmp_path):
         sl.land_day(events(spark).where("false"), root, "2024-01-05", "customer_id", "event_date", min_row_count=0)
     with pytest.raises(sl.DataQualityError, match="expected date, got StringType"):
         sl.land_day(events(spark).withColumn("event_date", F.lit("x")), root, "2024-01-05", "customer_id", "event_date", expected_types={"event_date": "date"})
+    with pytest.raises(ValueError, match="8 rows have another date than 2024-01-05"):
+        sl.land_day(events(spark).withColumn("date", F.col("event_date")), root, "2024-01-05", "customer_id", "date")
+    own = events(spark).withColumn("date", F.lit("2024-01-05").cast("date"))
+    assert sl.land_day(own, str(tmp_path / "own"), "2024-01-05", "customer_id", "date").rows == 12
+    assert sl.read_landed(spark, str(tmp_path / "own")).columns == ["customer_id", "event_date", "amount", "date"]
     # The day is still the one that passed, and refused runs are no days.
     assert sl.read_landed(spark, root).count() == 12
     with pytest.raises(ValueError, match="no day is published"):
