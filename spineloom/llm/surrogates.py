@@ -337,15 +337,17 @@ def surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c not in ("n_entities", "entities")]
     docs = docs.select(*[ref(c).cast("string").alias(c) if c == text_col else ref(c) for c in kept])
     text = ref(text_col)
-    found = docs.withColumn("__titled", _mentions(text)).withColumn("__persons", _persons(F.col("__titled")))
+    # A text has entities if the one pattern finds any, so only those few texts get a second look.
+    found = docs.withColumn("__titled", _mentions(text))
+    has = F.coalesce(F.size("__titled") > 0, F.lit(False))
+    hits = found.where(has).withColumn("__persons", _persons(F.col("__titled")))
     some = F.size("__persons") > 0
-    found = found.withColumn("__pattern", F.when(some, _own_pattern(F.col("__persons"))))
+    hits = hits.withColumn("__pattern", F.when(some, _own_pattern(F.col("__persons"))))
     again = F.when(some, F.regexp_extract_all(text, F.col("__pattern"), F.lit(0))).otherwise(F.col("__titled"))
-    found = found.withColumn("__found", again).drop("__titled")
-    has = F.coalesce(F.size("__found") > 0, F.lit(False))
+    hits = hits.withColumn("__found", again).drop("__titled")
     name_of_text = {"__a": F.xxhash64(text), "__b": F.xxhash64(F.lit(1), text)}
     once = F.first(F.struct("__found", "__persons")).alias("of")
-    texts = found.where(has).withColumns(name_of_text).groupBy("__a", "__b").agg(once).select("__a", "__b", "of.*")
+    texts = hits.withColumns(name_of_text).groupBy("__a", "__b").agg(once).select("__a", "__b", "of.*")
     each = texts.select("__a", "__b", "__persons", F.posexplode("__found").alias("at", "mention"))
     mentions = durable(
         each.withColumn("e", _entity(F.col("mention"), F.col("__persons"))).select("__a", "__b", "at", "mention", "e.*")
@@ -365,7 +367,7 @@ def surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     joined = F.array_join(
         F.zip_with(pieces, F.col("__new.surrogate"), lambda piece, new: F.concat(piece, F.coalesce(new, F.lit("")))), ""
     )
-    with_entities = found.where(has).drop("__found").withColumns(name_of_text).join(replaced, ["__a", "__b"])
+    with_entities = hits.drop("__found").withColumns(name_of_text).join(replaced, ["__a", "__b"])
     entity = "array<struct<type:string,surrogate:string>>"
     others = [ref(c) for c in kept if c != text_col]
     changed = with_entities.select(
