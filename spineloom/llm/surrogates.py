@@ -72,6 +72,8 @@ TELLING = {
 _SPELLED = {g: tuple(dict.fromkeys(x for t in some for x in (t, t.upper()))) for g, some in TITLES.items()}
 _TITLE = "|".join(sorted((t for some in _SPELLED.values() for t in some), key=len, reverse=True))
 _TITLED = rf"^(?:{_TITLE})\.? \p{{Lu}}"
+#: The first letters of titles: where none of them stands, no title is tried.
+_INITIAL = "(?=[" + "".join(sorted({t[0] for some in _SPELLED.values() for t in some})) + "])"
 _KEYWORD = r"(?:token|password|passwd|secret|api[_-]?key)"
 # An entity's form, in the order in which they are tried at each place.
 PATTERNS = {
@@ -84,11 +86,11 @@ PATTERNS = {
     "secret": r"(?<![\p{L}\p{N}])A[KS]IA[A-Z0-9]{16}(?![\p{L}\p{N}])"
     r"|(?<=[\"'=:]|[=:] )(?<=(?i:\b" + _KEYWORD + r")[\"']?[ ]?[=:][ ]?[\"']?)(?=[+/_.-]*+[A-Za-z0-9])[A-Za-z0-9+/_.-]{8,}"
     r"|(?<![\p{L}\p{N}])[0-9a-fA-F]{32,64}(?![\p{L}\p{N}])",
-    "name": r"(?<![\p{L}\p{N}-])(?:" + _TITLE + r")\.? \p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?",
+    "name": _INITIAL + r"(?<![\p{L}\p{N}-])(?:" + _TITLE + r")\.? \p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every text with an entity has.
-HINT = rf"[0-9@=:]|(?:{_TITLE})\.? \p{{Lu}}"
+HINT = rf"[0-9@=:]|{_INITIAL}(?:{_TITLE})\.? \p{{Lu}}"
 
 
 def _digits(c: Column) -> Column:
