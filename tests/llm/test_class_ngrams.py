@@ -77,6 +77,35 @@ def test_every_word_that_occurs_often_has_a_class_of_its_own(spark):
     assert after < before
 
 
+def test_what_is_held_in_tasks_changes_no_class_and_no_score(spark, monkeypatch):
+    """Every word that occurs often has its own class whatever the size: those beyond HELD take joins, with the same result."""
+    rows = grammar(3, 2500) + [(5000, None), (5001, ""), (5002, "unseen words"), (None, "aaax unseen")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held_out = F.coalesce(F.col("doc_id") % 5 == 1, F.lit(False))
+    train = Counter(t for i, text in rows if i is None or i % 5 != 1 for t in tokens(text)[:-1])
+    often = sum(c >= 8 for c in train.values())
+    monkeypatch.setattr(G, "LEAST_COUNT", 8)
+
+    def results():
+        texts = docs.where(~held_out).select("text")
+        model, counts = G.fit(texts)
+        table = counts.toPandas()
+        h = table["h"].to_numpy().view(np.uint64)
+        label, own, _ = model.assignment(h, table["bucket"].to_numpy())
+        further = table["class"].notna().to_numpy()
+        assert not (own & further).any()
+        classes = dict(zip(h.tolist(), np.where(further, table["class"].fillna(0), label).astype(int).tolist(), strict=True))
+        scores = sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 7), round(r.score, 7)) for r in G.score(docs, ~held_out).collect())
+        return int(own.sum()), int(further.sum()), classes, np.round(model.log_pair, 9).tolist(), scores
+
+    n_held, n_further, *expected = results()
+    assert (n_held, n_further) == (often, 0) and often > G.WORDS + 400
+    monkeypatch.setattr(G, "HELD", G.WORDS + 200)
+    n_held, n_further, *found = results()
+    assert n_held <= G.HELD and n_held + n_further == often
+    assert found == expected
+
+
 def test_scores_equal_a_plain_class_model(spark):
     """Class pairs, class sizes and the mixture, computed anew from the assignment alone."""
     rows = grammar(4, 300)
