@@ -56,7 +56,7 @@ class Known(NamedTuple):
 @dataclass(frozen=True)
 class Attribute:
     """Measured facts about one fitted attribute; ``known`` is set if its map is small. ``first`` and ``last`` are the ends
-    of the order of its rows, None where no row has a place in it."""
+    of the order of its rows, None where no row has a place in it. ``size`` is that of all names together, in bytes."""
 
     labels: int
     rows: int
@@ -65,6 +65,7 @@ class Attribute:
     known: Known | None = None
     first: int | None = None
     last: int | None = None
+    size: int = 0
 
     @property
     def bits(self) -> int:
@@ -119,6 +120,7 @@ class CategoryMaps:
             rows=sum(a.labels + 1 for a in self.attributes),
             name="position",
             rows_per_slice=self.rows_per_slice,
+            size=sum(a.size for a in self.attributes),
         )
         return ranked.select(
             "attribute",
@@ -132,9 +134,10 @@ class CategoryMaps:
         """One row per category of these attributes: ``n``, ``label`` and ``code``, its 0-based place in alphabetical order."""
         named = self.counted.where(F.col("attribute").isin(list(indices)) & F.col("category").isNotNull())
         rows = sum(self.attributes[i].labels for i in indices)
+        size = sum(self.attributes[i].size for i in indices)
 
         def ranked(df: DataFrame, name: str, *order: Column) -> DataFrame:
-            return ranks(df, group="attribute", order=order, rows=rows, name=name, rows_per_slice=self.rows_per_slice)
+            return ranks(df, "attribute", order, rows, name, self.rows_per_slice, size)
 
         coded = ranked(named.select("attribute", "category", "n"), "code", F.col("category"))
         return ranked(coded, "label", F.col("n").desc(), F.col("category"))
@@ -176,13 +179,21 @@ def fit_categories(
 
     measured = {
         row["attribute"]: Attribute(
-            row["labels"], row["rows"], row["longest"] or 0, row["plain_text"] is not False, None, row["first"], row["last"]
+            row["labels"],
+            row["rows"],
+            row["longest"] or 0,
+            row["plain_text"] is not False,
+            None,
+            row["first"],
+            row["last"],
+            row["size"] or 0,
         )
         for row in counted.groupBy("attribute")
         .agg(
             F.count("category").alias("labels"),
             F.sum("n").alias("rows"),
             F.max(F.octet_length("category")).alias("longest"),
+            F.sum(F.octet_length("category")).alias("size"),
             F.bool_and(F.is_valid_utf8("category")).alias("plain_text"),
             F.min("first").alias("first"),
             F.max("last").alias("last"),

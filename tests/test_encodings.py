@@ -162,6 +162,24 @@ def test_long_names_are_no_literals():
     assert not categories.Attribute(labels=257, rows=1000, longest=1).small
 
 
+def test_maps_of_long_names_are_sorted_in_slices_of_bytes(spark, monkeypatch):
+    """A few long names are more than one task should read: the map is cut by bytes, with the same labels."""
+    rows = [(f"{'x' * 2000}{i % 61}",) for i in range(150)] + [(None,), (None,), ("",)]
+    df = spark.createDataFrame(rows, "t string").repartition(3)
+    written = []
+    keep = ranking.stored
+    monkeypatch.setattr(ranking, "stored", lambda df, purpose: written.append(df.rdd.getNumPartitions()) or keep(df, purpose))
+
+    def labels():
+        return sorted((r["category"] or "", r["n"], r["label"]) for r in sl.category_map(df, "t").collect())
+
+    expected = labels()
+    assert not written and len(expected) == 63
+    monkeypatch.setattr(ranking, "BYTES_PER_SLICE", 20_000)
+    assert labels() == expected
+    assert written == [7]
+
+
 def test_categories_that_are_no_valid_text(spark):
     df = spark.sql("select * from values ('a', cast(x'ff' as string)), ('b', cast(x'fe' as string)), ('c', 'x\\'\"\\n') as t(customer_id, t)")
     got = codes(df, enc("label", "t", "label"), enc("share", "t", "frequency"))
